@@ -100,7 +100,7 @@ def merge_facts(
     The merged partitions are first written beside the table, into one slot per
     ``writer``, and then swapped in.  If a run with a ``batch`` name breaks off
     while swapping, repeating it finds the finished staged copy and swaps it in
-    again; a run that broke off earlier, or had finished, is simply redone.
+    again; a run that broke off earlier starts over.
     """
     slot = f"{path.rstrip('/')}__staging/{writer}"
     batch = batch or uuid.uuid4().hex
