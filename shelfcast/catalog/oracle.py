@@ -23,6 +23,11 @@ def r(value: str, digits: int) -> str:
     return f"(round_even(CAST({value} AS DOUBLE)*1e{digits}, 0)/1e{digits})"
 
 
+def mean(value: str) -> str:
+    """Average over exact sums, so that it does not depend on their order."""
+    return f"(CAST(sum(CAST({value} AS DECIMAL(20,6))) AS DOUBLE)/count({value}))"
+
+
 def out(*names: str) -> str:
     """Select list; ``~name`` rounds to six places, ``~name=expr`` as well."""
     items = []
@@ -152,7 +157,7 @@ def quotient(top: str, bottom: str, overflow: str = "'inf'::DOUBLE") -> str:
     """Two-place ratio: 0/0 is 0, positive/0 is ``overflow``."""
     return (
         f"CASE WHEN {bottom} <> 0 THEN {r(f'CAST({top} AS DOUBLE)/CAST({bottom} AS DOUBLE)', 2)} "
-        f"WHEN {top} = 0 THEN 0.0 WHEN {top} > 0 THEN {overflow} ELSE '-inf'::DOUBLE END"
+        f"WHEN {top} = 0 THEN 0.0 WHEN {top} > 0 THEN {overflow} WHEN {top} < 0 THEN '-inf'::DOUBLE END"
     )
 
 
@@ -450,7 +455,7 @@ def clusters(detail: str) -> dict[str, str]:
         "st_tot": f"""
       SELECT region, state, store_number, coalesce(sum(CAST(baseline_weekly_sales AS DECIMAL(20,6))), 0) AS sb,
              coalesce(sum(projected_weekly_sales), 0.0) AS store_projected, CAST(sum(push_units) AS BIGINT) AS store_push,
-             avg(current_wos) AS store_current_wos FROM {detail}
+             {mean('current_wos')} AS store_current_wos FROM {detail}
       WHERE region IS NOT NULL AND state IS NOT NULL AND store_number IS NOT NULL GROUP BY region, state, store_number""",
         "st_run": """
       SELECT *, sum(sb) OVER (ORDER BY sb DESC, store_number ROWS UNBOUNDED PRECEDING) AS srun, sum(sb) OVER () AS stot FROM st_tot""",
@@ -521,15 +526,15 @@ def trend_columns(preset: PushPreset) -> str:
 
 def summary_sql(packs: bool) -> str:
     extra = "CAST(sum(push_case_pack) AS BIGINT) AS total_push_case_pack," if packs else ""
-    weather = f"{r('avg(weather_adjustment)', 2)} AS avg_weather_adj," if packs else ""
+    weather = f"{r(mean('weather_adjustment'), 2)} AS avg_weather_adj," if packs else ""
     where = "WHERE region IS NOT NULL" if packs else ""
     listed = ["region", "total_push_units"] + (["total_push_case_pack"] if packs else [])
     listed += ["~avg_current_wos", "~avg_ly_wos", "~avg_projected_wos", "store_count"] + (["~avg_weather_adj"] if packs else [])
     listed += ["total_pipeline_ty", "total_pipeline_ly", "pipeline_change=total_pipeline_ty - total_pipeline_ly"]
     change = f"CASE WHEN total_pipeline_ly > 0 THEN {r('(total_pipeline_ty-total_pipeline_ly)/CAST(total_pipeline_ly AS DOUBLE)*100', 1)} ELSE 0.0 END"
     return f"""SELECT {out(*listed)}, {change} AS pipeline_change_pct FROM
-      (SELECT region, CAST(sum(push_units) AS BIGINT) AS total_push_units, {extra} {r('avg(current_wos)', 2)} AS avg_current_wos,
-              {r('avg(ly_wos)', 2)} AS avg_ly_wos, {r('avg(projected_wos_after_push)', 2)} AS avg_projected_wos,
+      (SELECT region, CAST(sum(push_units) AS BIGINT) AS total_push_units, {extra} {r(mean('current_wos'), 2)} AS avg_current_wos,
+              {r(mean('ly_wos'), 2)} AS avg_ly_wos, {r(mean('projected_wos_after_push'), 2)} AS avg_projected_wos,
               count(DISTINCT store_number) AS store_count, {weather} CAST(sum(total_pipeline) AS BIGINT) AS total_pipeline_ty,
               CAST(sum(total_pipeline_ly) AS BIGINT) AS total_pipeline_ly FROM detail {where} GROUP BY region)"""
 

@@ -922,8 +922,8 @@ def _(ws):
 @query(
     "push_grand_totals",
     compose(
-        f"""SELECT CAST(sum(push_units) AS BIGINT) AS total_push_units, {out('~avg_current_wos=avg(current_wos)', '~avg_ly_wos=avg(ly_wos)',
-        '~avg_projected_wos=avg(projected_wos_after_push)')}, count(DISTINCT store_number) AS store_count,
+        f"""SELECT CAST(sum(push_units) AS BIGINT) AS total_push_units, {out('~avg_current_wos=' + o.mean('current_wos'), '~avg_ly_wos=' + o.mean('ly_wos'),
+        '~avg_projected_wos=' + o.mean('projected_wos_after_push'))}, count(DISTINCT store_number) AS store_count,
         CAST(sum(total_pipeline) AS BIGINT) AS total_pipeline_ty, CAST(sum(total_pipeline_ly) AS BIGINT) AS total_pipeline_ly FROM detail""",
         TREND_ALL,
     ),

@@ -7,7 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfcast.operators.calendar import Period
+from shelfcast.operators.calendar import Period, resolve_period
 from shelfcast.plans.tables import RetailTables
 from shelfcast.sources.demo import DemoTables
 from shelfcast.sources.durable import ensure_checkpoint_folder
@@ -15,10 +15,11 @@ from shelfcast.sources.fact_store import append_facts, read_pos_all
 
 
 class Workspace:
-    """Demo tables over one folder, with the facts loaded into a fact table once.
+    """Demo tables over one folder, loaded once per application.
 
-    The facts go to the session's shared checkpoint folder, partitioned by week,
-    so every query starts from a pruned scan instead of deriving them again.
+    As in a real run, facts and dimensions are loaded first and reports read the
+    loaded tables: the facts partitioned by week, so that scans are pruned.  They
+    go to the session's shared checkpoint folder.
     """
 
     _open: dict[tuple[str, str], "Workspace"] = {}
@@ -44,13 +45,16 @@ class Workspace:
         append_facts(self.demo.facts, path)
         return read_pos_all(self.spark, path)
 
-    @property
+    @cached_property
     def period(self) -> Period:
-        return self.demo.period
+        return resolve_period(self.facts, self.tables.week_map)
 
     @cached_property
     def tables(self) -> RetailTables:
-        demo = self.demo
-        return RetailTables(
-            self.facts, demo.stores, demo.style, demo.case_pack, demo.week_map, demo.weather, demo.client_forecast
-        )
+        folder = self.new_folder("tables")
+        loaded = {}
+        for name in ("stores", "style", "case_pack", "week_map", "weather", "client_forecast"):
+            path = f"{folder}/{name}"
+            getattr(self.demo, name).write.parquet(path)
+            loaded[name] = self.spark.read.parquet(path)
+        return RetailTables(self.facts, **loaded)

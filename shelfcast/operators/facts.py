@@ -16,6 +16,7 @@ from shelfcast.schemas import (
     CATEGORY_A,
     GENERAL,
     ITEM,
+    POS_ALL_COLUMNS,
     POS_FACT,
     SOURCE,
     STORE,
@@ -40,7 +41,6 @@ STOCK_COLUMNS = {
 
 def pos_all(general: DataFrame, category_a: DataFrame) -> DataFrame:
     """Both facts stacked; the general one has no color or trait text."""
-    wanted = [f.name for f in POS_FACT.fields if f.name != "modular_based_merchandising_description"]
     hidden = [c for c in ("color_description", "trait_description") if c in general.columns]
     stacked = (
         general.drop(*hidden, SOURCE)
@@ -49,7 +49,7 @@ def pos_all(general: DataFrame, category_a: DataFrame) -> DataFrame:
     )
     types = {f.name: f.dataType for f in POS_FACT.fields}
     return stacked.select(
-        [F.col(c) if c in stacked.columns else F.lit(None).cast(types[c]).alias(c) for c in wanted]
+        [F.col(c) if c in stacked.columns else F.lit(None).cast(types[c]).alias(c) for c in POS_ALL_COLUMNS]
     )
 
 

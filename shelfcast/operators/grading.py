@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.labels import CLUSTER_CUTS, CLUSTER_LABELS, GRADE_LABELS, share_label
 from shelfcast.functions.numeric import half_even
-from shelfcast.operators.grouping import as_share, running_total
+from shelfcast.operators.grouping import as_share, exact_mean, running_total
 from shelfcast.schemas import ITEM, STORE
 
 STORE_GROUP = ["region", "state", STORE]
@@ -46,7 +46,7 @@ def store_totals(detail: DataFrame) -> DataFrame:
             F.coalesce(F.sum(as_share(F.col("baseline_weekly_sales"))), F.lit(0).cast("decimal(30,6)")).alias("_baseline"),
             F.coalesce(F.sum("projected_weekly_sales"), F.lit(0.0)).alias("store_projected"),
             F.sum("push_units").alias("store_push"),
-            F.avg("current_wos").alias("store_current_wos"),
+            exact_mean(F.col("current_wos")).alias("store_current_wos"),
         )
         .withColumn("store_baseline", F.col("_baseline").cast("double"))
         .select(*STORE_GROUP, "store_baseline", "store_projected", "store_push", "store_current_wos", "_baseline")
@@ -87,9 +87,9 @@ def region_summary_trend(detail: DataFrame) -> DataFrame:
     return _with_change(
         detail.groupBy("region").agg(
             F.sum("push_units").alias("total_push_units"),
-            half_even(F.avg("current_wos"), 2).alias("avg_current_wos"),
-            half_even(F.avg("ly_wos"), 2).alias("avg_ly_wos"),
-            half_even(F.avg("projected_wos_after_push"), 2).alias("avg_projected_wos"),
+            half_even(exact_mean(F.col("current_wos")), 2).alias("avg_current_wos"),
+            half_even(exact_mean(F.col("ly_wos")), 2).alias("avg_ly_wos"),
+            half_even(exact_mean(F.col("projected_wos_after_push")), 2).alias("avg_projected_wos"),
             F.countDistinct(STORE).alias("store_count"),
             F.sum("total_pipeline").alias("total_pipeline_ty"),
             F.sum("total_pipeline_ly").alias("total_pipeline_ly"),
@@ -103,11 +103,11 @@ def region_summary_weather(detail: DataFrame) -> DataFrame:
         detail.where(F.col("region").isNotNull()).groupBy("region").agg(
             F.sum("push_units").alias("total_push_units"),
             F.sum("push_case_pack").alias("total_push_case_pack"),
-            half_even(F.avg("current_wos"), 2).alias("avg_current_wos"),
-            half_even(F.avg("ly_wos"), 2).alias("avg_ly_wos"),
-            half_even(F.avg("projected_wos_after_push"), 2).alias("avg_projected_wos"),
+            half_even(exact_mean(F.col("current_wos")), 2).alias("avg_current_wos"),
+            half_even(exact_mean(F.col("ly_wos")), 2).alias("avg_ly_wos"),
+            half_even(exact_mean(F.col("projected_wos_after_push")), 2).alias("avg_projected_wos"),
             F.countDistinct(STORE).alias("store_count"),
-            half_even(F.avg("weather_adjustment"), 2).alias("avg_weather_adj"),
+            half_even(exact_mean(F.col("weather_adjustment")), 2).alias("avg_weather_adj"),
             F.sum("total_pipeline").alias("total_pipeline_ty"),
             F.sum("total_pipeline_ly").alias("total_pipeline_ly"),
         )
@@ -125,9 +125,9 @@ def grade_distribution(detail: DataFrame) -> DataFrame:
 def push_grand_totals(detail: DataFrame) -> DataFrame:
     return detail.agg(
         F.sum("push_units").alias("total_push_units"),
-        F.avg("current_wos").alias("avg_current_wos"),
-        F.avg("ly_wos").alias("avg_ly_wos"),
-        F.avg("projected_wos_after_push").alias("avg_projected_wos"),
+        exact_mean(F.col("current_wos")).alias("avg_current_wos"),
+        exact_mean(F.col("ly_wos")).alias("avg_ly_wos"),
+        exact_mean(F.col("projected_wos_after_push")).alias("avg_projected_wos"),
         F.countDistinct(STORE).alias("store_count"),
         F.sum("total_pipeline").alias("total_pipeline_ty"),
         F.sum("total_pipeline_ly").alias("total_pipeline_ly"),

@@ -58,3 +58,8 @@ def running_total(df: DataFrame, value: str, order: list[Column], slices: int |
 def as_share(column: Column) -> Column:
     """Double to fixed-scale decimal for order-independent sums."""
     return column.cast(SHARE_TYPE)
+
+
+def exact_mean(column: Column) -> Column:
+    """Average over an exact decimal sum: the same on every run and partitioning."""
+    return F.sum(as_share(column)).cast("double") / F.count(column)

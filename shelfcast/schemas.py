@@ -78,6 +78,8 @@ POS_FACT = StructType(
     ]
 )
 
+POS_ALL_COLUMNS = [name for name in POS_FACT.fieldNames() if name != "modular_based_merchandising_description"]
+
 DIM_STORES = StructType(
     _fields(StringType, ["store_number", "state", "region", "zip_code"])
     + _fields(IntegerType, ["merch_zone_number"])

@@ -13,8 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.operators.facts import pos_all
-from shelfcast.schemas import CATEGORY_A, FACT_KEY, GENERAL, ITEM, POS_FACT, SOURCE, STORE, SUBCATEGORY, WEEK
+from shelfcast.schemas import FACT_KEY, ITEM, POS_ALL_COLUMNS, POS_FACT, SOURCE, STORE, SUBCATEGORY, WEEK
 from shelfcast.sources.durable import materialise
 
 PARTITIONS = [SOURCE, WEEK]
@@ -45,9 +44,12 @@ def read_facts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_pos_all(spark: SparkSession, path: str) -> DataFrame:
-    """The unified view over both facts of a stored table."""
-    facts = read_facts(spark, path)
-    return pos_all(facts.where(F.col(SOURCE) == GENERAL), facts.where(F.col(SOURCE) == CATEGORY_A))
+    """The unified view of a stored table.
+
+    Both facts live in one table, so the view is a single scan; a filter on the
+    source prunes partitions instead of choosing a branch of a union.
+    """
+    return read_facts(spark, path).select(POS_ALL_COLUMNS)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
