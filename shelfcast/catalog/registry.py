@@ -1077,7 +1077,7 @@ def _export(df: DataFrame, folder: str) -> str:
     return folder
 
 
-def _history(ws) -> tuple[DataFrame, DataFrame]:
+def weekly_change(ws) -> tuple[DataFrame, DataFrame]:
     """All weeks but the latest, and a corrected copy of the last three."""
     old = ws.facts.where(F.col(WEEK) < ws.period.latest)
     fresh = ws.facts.where(F.col(WEEK) >= ws.period.recent[1]).withColumn(UNITS, F.col(UNITS) + 7)
@@ -1110,7 +1110,7 @@ def _(ws):
     compose(f"SELECT {out(*KEYS)}, {CORRECTED} AS pos_quantity_this_year FROM pos, per"),
 )
 def _(ws):
-    old, fresh = _history(ws)
+    old, fresh = weekly_change(ws)
     return fact_store.upsert_facts(old, fresh).select(*FACT_KEY, UNITS)
 
 
@@ -1119,7 +1119,7 @@ def _(ws):
     compose(f"SELECT {out(*KEYS, UNITS)} FROM pos, per WHERE f5c_calendar_week < w2"),
 )
 def _(ws):
-    old, fresh = _history(ws)
+    old, fresh = weekly_change(ws)
     return fact_store.anti_join_keys(old, fresh, FACT_KEY).select(*FACT_KEY, UNITS)
 
 
@@ -1133,7 +1133,7 @@ def _(ws):
 @query("weekly_update", AFTER_UPDATE)
 def _(ws):
     table = ws.new_folder("table")
-    old, fresh = _history(ws)
+    old, fresh = weekly_change(ws)
     wrong = fresh.withColumn(UNITS, F.col(UNITS) + 100)
     fact_store.append_facts(pos_files.conform(old), table)
     files = [_export(wrong, ws.new_folder("drop")), _export(fresh, ws.new_folder("drop")), f"{table}-absent.csv"]
@@ -1144,7 +1144,7 @@ def _(ws):
 @query("stream_weekly_updates", AFTER_UPDATE)
 def _(ws):
     table = ws.new_folder("table")
-    old, fresh = _history(ws)
+    old, fresh = weekly_change(ws)
     fact_store.append_facts(pos_files.conform(old), table)
     drop = _export(fresh, ws.new_folder("drop"))
     columns = [c for c in fresh.columns if c != SOURCE]

@@ -1,4 +1,4 @@
-"""The fact table: Parquet partitioned by source and week, with keyed upserts.
+"""The fact table: Parquet partitioned by week, with keyed upserts.
 
 One writer at a time.  An upsert rewrites only the touched week partitions, from
 a staged copy, so it can be repeated after a failure.
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from shelfcast.schemas import FACT_KEY, ITEM, POS_ALL_COLUMNS, POS_FACT, SOURCE, STORE, SUBCATEGORY, WEEK
 from shelfcast.sources.durable import materialise
 
-PARTITIONS = [SOURCE, WEEK]
+PARTITIONS = [WEEK]
+SORT = [WEEK, SOURCE, SUBCATEGORY, STORE, ITEM]
 MERGE_KEY = [SOURCE, *FACT_KEY]
 FILE_ORDER = "_file_order"
 
@@ -28,9 +29,9 @@ class UpsertResult:
 
 
 def _laid_out(df: DataFrame) -> DataFrame:
-    """Rebalanced by partition (hot weeks are split, small ones merged) and sorted
-    so that subcategory filters skip row groups."""
-    return df.hint("rebalance", *PARTITIONS).sortWithinPartitions(*PARTITIONS, SUBCATEGORY, STORE, ITEM)
+    """Rebalanced by week (hot weeks are split, small ones merged) and sorted so
+    that source and subcategory filters skip row groups."""
+    return df.hint("rebalance", *PARTITIONS).sortWithinPartitions(*SORT)
 
 
 def append_facts(df: DataFrame, path: str, overwrite: bool = False) -> None:
@@ -47,7 +48,7 @@ def read_pos_all(spark: SparkSession, path: str) -> DataFrame:
     """The unified view of a stored table.
 
     Both facts live in one table, so the view is a single scan; a filter on the
-    source prunes partitions instead of choosing a branch of a union.
+    source skips row groups instead of choosing a branch of a union.
     """
     return read_facts(spark, path).select(POS_ALL_COLUMNS)
 
@@ -81,17 +82,9 @@ def keep_latest_file(delta: DataFrame, keys: list[str] = MERGE_KEY) -> DataFrame
     return delta.join(newest, [*keys, FILE_ORDER], "inner").drop(FILE_ORDER)
 
 
-def _touched(delta: DataFrame) -> list[tuple[str, int]]:
-    """The (source, week) pairs of a delta: at most two per calendar week."""
-    return [(r[SOURCE], r[WEEK]) for r in delta.select(*PARTITIONS).distinct().toLocalIterator()]
-
-
-def _in_partitions(pairs: list[tuple[str, int]]):
-    condition = F.lit(False)
-    for source in {s for s, _ in pairs}:
-        weeks = [w for s, w in pairs if s == source]
-        condition = condition | ((F.col(SOURCE) == source) & F.col(WEEK).isin(weeks))
-    return condition
+def _touched_weeks(delta: DataFrame) -> list[int]:
+    """The weeks of a delta: bounded by the calendar, not by the data."""
+    return [row[WEEK] for row in delta.select(WEEK).distinct().toLocalIterator()]
 
 
 def merge_facts(
@@ -110,12 +103,12 @@ def merge_facts(
     result = UpsertResult(0, 0)
     if not (path_exists(spark, f"{slot}/_SUCCESS") and path_exists(spark, staged)):
         fresh = materialise(delta)
-        pairs = _touched(fresh)
-        if not pairs:
+        weeks = _touched_weeks(fresh)
+        if not weeks:
             return result
         merged, replaced = fresh, 0
         if path_exists(spark, path):
-            base = read_facts(spark, path).where(_in_partitions(pairs)).select(fresh.columns)
+            base = read_facts(spark, path).where(F.col(WEEK).isin(weeks)).select(fresh.columns)
             replaced = base.join(fresh.select(MERGE_KEY).distinct(), MERGE_KEY, "left_semi").count()
             merged = upsert_facts(base, fresh)
         result = UpsertResult(replaced, fresh.count())
