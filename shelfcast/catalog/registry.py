@@ -30,9 +30,11 @@ from shelfcast.operators.grouping import share_of_group
 from shelfcast.plans import trend_push as trend
 from shelfcast.plans import weather_push as weather
 from shelfcast.plans.kpi_report import weekly_productivity
-from shelfcast.plans.runner import run_category
+from shelfcast.plans.runner import run_all, run_all_details, run_category
 from shelfcast.schemas import CATEGORY_A, FACT_KEY, GENERAL, ITEM, KEY, SOURCE, STORE, STYLE, STYLE_KEY, SUBCATEGORY, UNITS, WEEK
+from shelfcast.sources import dimensions as dims
 from shelfcast.sources import fact_store, pos_files
+from shelfcast.sources.reports import write_report
 from shelfcast.streaming.weekly import stream_weekly_updates
 
 SEASONS = cal.season_ranges(2000, 2001)
@@ -1071,7 +1073,7 @@ CORRECTED = "CASE WHEN f5c_calendar_week >= w2 THEN pos_quantity_this_year + 7 E
 AFTER_UPDATE = compose(f"SELECT {LOADED_SQL.format(units=CORRECTED)} FROM pos, per")
 
 
-def _export(df: DataFrame, folder: str) -> str:
+def export_csv(df: DataFrame, folder: str) -> str:
     """Facts as CSV drops: no source tag, text only."""
     df.drop(SOURCE).write.option("header", True).csv(folder)
     return folder
@@ -1125,7 +1127,7 @@ def _(ws):
 
 @query("initial_load", compose(f"SELECT {LOADED_SQL.format(units='pos_quantity_this_year')} FROM pos"))
 def _(ws):
-    drop, table = _export(ws.facts, ws.new_folder("drop")), ws.new_folder("table")
+    drop, table = export_csv(ws.facts, ws.new_folder("drop")), ws.new_folder("table")
     pos_files.initial_load(ws.spark, drop, table, clear_first=True)
     return fact_store.read_pos_all(ws.spark, table).select(LOADED)
 
@@ -1136,7 +1138,7 @@ def _(ws):
     old, fresh = weekly_change(ws)
     wrong = fresh.withColumn(UNITS, F.col(UNITS) + 100)
     fact_store.append_facts(pos_files.conform(old), table)
-    files = [_export(wrong, ws.new_folder("drop")), _export(fresh, ws.new_folder("drop")), f"{table}-absent.csv"]
+    files = [export_csv(wrong, ws.new_folder("drop")), export_csv(fresh, ws.new_folder("drop")), f"{table}-absent.csv"]
     pos_files.weekly_update(ws.spark, files, table)
     return fact_store.read_pos_all(ws.spark, table).select(LOADED)
 
@@ -1146,7 +1148,7 @@ def _(ws):
     table = ws.new_folder("table")
     old, fresh = weekly_change(ws)
     fact_store.append_facts(pos_files.conform(old), table)
-    drop = _export(fresh, ws.new_folder("drop"))
+    drop = export_csv(fresh, ws.new_folder("drop"))
     columns = [c for c in fresh.columns if c != SOURCE]
     stream_weekly_updates(ws.spark, drop, table, ws.new_folder("stream"), columns).awaitTermination()
     return fact_store.read_pos_all(ws.spark, table).select(LOADED)
@@ -1157,7 +1159,7 @@ def _(ws):
     compose("SELECT 'Unknown' AS source_category, count(*) AS row_count FROM pos"),
 )
 def _(ws):
-    drop = _export(ws.facts, ws.new_folder("drop"))
+    drop = export_csv(ws.facts, ws.new_folder("drop"))
     tagged = pos_files.tag_source_file(pos_files.read_pos_csv(ws.spark, drop))
     return tagged.groupBy("source_category").agg(F.count(F.lit(1)).alias("row_count"))
 
@@ -1169,3 +1171,66 @@ def _(ws):
 def _(ws):
     text = F.concat(F.col("max_shelf_quantity_this_year").cast("string"), F.lit(".0"))
     return ws.facts.select(*FACT_KEY, integer(text).alias("shelf"))
+
+
+# --- dimension files and report sinks ---------------------------------------
+
+
+def _csv(ws, df: DataFrame, headers: dict[str, str]) -> str:
+    """A dimension as a CSV folder under the given headers."""
+    path = ws.new_folder("dimension") + ".csv"
+    df.select([F.col(c).alias(h) for c, h in headers.items()]).write.option("header", True).csv(path)
+    return path
+
+
+@query("load_dimension", compose("SELECT store_number, state, region, zip_code, merch_zone_number FROM stores"))
+def _(ws):
+    headers = {"store_number": "Store Number", "state": " State", "region": "Region", "zip_code": "Zip Code", "merch_zone_number": "Merch Zone Number"}
+    return dims.load_dimension(ws.spark, _csv(ws, ws.tables.stores, headers), dims.STORES, ws.new_folder("stores"))
+
+
+@query(
+    "load_client_forecast",
+    compose("SELECT f5c_item_nbr, subcategory_nbr, f5c_calendar_week, store_nbr, final_forecast_each_quantity FROM client_forecast"),
+)
+def _(ws):
+    headers = {c: c.upper() for c in dims.CLIENT_FORECAST.schema.fieldNames()}
+    path = _csv(ws, ws.tables.client_forecast, headers)
+    return dims.load_dimension(ws.spark, path, dims.CLIENT_FORECAST, ws.new_folder("forecast")).drop("vendor_stock_id")
+
+
+@query("load_week_mapping", compose("SELECT ty_week, ly_week FROM weekmap"))
+def _(ws):
+    path = _csv(ws, ws.tables.week_map, {"notes": "Notes", "ty_week": "TY Week", "ly_week": "LY Week"})
+    return dims.load_week_mapping(ws.spark, path, ws.new_folder("weeks")).select("ty_week", "ly_week")
+
+
+@query(
+    "load_weather_forecast",
+    compose(f"SELECT region, DATE '2001-11-05' AS week_imported, {out('~tw_pct', '~nw_pct')} FROM weather"),
+)
+def _(ws):
+    path = _csv(ws, ws.tables.weather, {"region": "Region", "tw_pct": "TW", "nw_pct": "NW"})
+    loaded = dims.load_weather_forecast(ws.spark, path, ws.new_folder("weather"), "2001-11-05")
+    return loaded.select("region", "week_imported", "tw_pct", "nw_pct")
+
+
+@query("write_report", compose("SELECT f5c_calendar_week, f5c_item_number, pos_qty_ty FROM kpi", D_STAGES))
+def _(ws):
+    paths = write_report(_kpi(ws, "category_d"), ws.new_folder("report"), "weekly", formats=("parquet",))
+    return ws.spark.read.parquet(paths[0]).select(WEEK, ITEM, "pos_qty_ty")
+
+
+def _all_categories_sql() -> str:
+    parts = []
+    for key, preset in PUSH_PRESETS.items():
+        stages = o.trend_stages(preset) if preset.method == "trend" else o.weather_stages(preset)
+        inner = compose("SELECT store_number, f5c_item_number, push_units, store_item_grade, push_reason FROM detail", stages)
+        parts.append(f"SELECT '{key}' AS category, * FROM ({inner})")
+    return " UNION ALL ".join(parts)
+
+
+@query("run_all", _all_categories_sql())
+def _(ws):
+    stacked = run_all_details(run_all(ws.tables, period=ws.period))
+    return stacked.select("category", *KEY, "push_units", "store_item_grade", "push_reason")
