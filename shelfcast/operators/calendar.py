@@ -41,6 +41,9 @@ class RetailCalendar:
     def shift(self, week: int, weeks: int) -> int:
         return self.week(self.index(week) + weeks)
 
+    def between(self, first: int, last: int) -> tuple[int, ...]:
+        return tuple(self.week(i) for i in range(self.index(first), self.index(last) + 1))
+
     def index_column(self, week: Column) -> Column:
         year = F.floor(week / 100)
         value = year * WEEKS_IN_YEAR + F.pmod(week, F.lit(100)) - 1
@@ -66,11 +69,20 @@ class Period:
     ly_current: int
     ly_next: int
     ly_window: tuple[int, ...]
+    calendar: RetailCalendar = RetailCalendar()
 
     @property
     def last_week(self) -> int:
         return self.recent[0]
 
+    @property
+    def ty_weeks(self) -> tuple[int, ...]:
+        return self.calendar.between(self.ty_start, self.latest)
+
+    @property
+    def ly_weeks(self) -> tuple[int, ...]:
+        return self.calendar.between(self.ly_start, self.ly_current)
+
 
 LY_OFFSETS = (-3, -2, -1, 0, 1, 2)
 
@@ -143,6 +155,7 @@ def resolve_period(
         ly_current=ly_current,
         ly_next=calendar.shift(ly_current, 1),
         ly_window=tuple(calendar.shift(ly_current, n) for n in LY_OFFSETS),
+        calendar=calendar,
     )
 
 

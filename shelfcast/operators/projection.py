@@ -11,7 +11,7 @@ from shelfcast.functions.labels import performance_label
 from shelfcast.functions.numeric import at_least, coerce_numeric, growth
 from shelfcast.operators.calendar import LY_OFFSETS, Period
 from shelfcast.operators.facts import inventory_position
-from shelfcast.operators.features import ly_window_name, style_weekly_avg
+from shelfcast.operators.features import ly_window_name
 from shelfcast.operators.grouping import with_group_totals
 from shelfcast.schemas import ITEM, KEY, STORE, STYLE, STYLE_KEY, UNITS, WEEK
 
@@ -21,6 +21,7 @@ BASELINE_WEEKS = 13
 # bound; a style below every bound, or without a growth rate, takes the last row.
 BASE_WEIGHTS = ((0.20, (0.70, 0.20, 0.10)), (0.05, (0.60, 0.25, 0.15)), (-0.05, (0.45, 0.35, 0.20)), (-0.20, (0.30, 0.40, 0.30)))
 FALLBACK_WEIGHTS = (0.20, 0.40, 0.40)
+MAX_WINDOW_WEEKS = 60
 WEIGHT_COLUMNS = ("weight_ty", "weight_ly", "weight_pipeline")
 
 
@@ -35,44 +36,96 @@ def style_growth(styles: DataFrame) -> DataFrame:
     )
 
 
+def _week_bit(weeks: tuple[int, ...]) -> Column:
+    """One bit per week of a window; weeks outside the calendar share bit 0."""
+    if len(weeks) > MAX_WINDOW_WEEKS:
+        raise ValueError(f"a window of {len(weeks)} weeks is too long")
+    place = F.array_position(F.array(*[F.lit(w) for w in weeks]), F.col(WEEK)) if weeks else F.lit(0)
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), place.cast("int"))
+
+
 def size_signals(styled: DataFrame, period: Period) -> DataFrame:
     """Units of both years and current inventory per (store, style, item).
 
     One conditional aggregation gives what a full outer join of three separate
-    aggregates would: a row wherever any of the three has one.
+    aggregates would: a row wherever any of the three has one.  Stock columns are
+    read for the current week only.  The weeks with a row are kept as bit sets,
+    so that style averages over the weeks present need no second pass.
     """
+    # All keys are tested here: the plan branches that read this frame then ask
+    # for the same rows, and Spark runs the shared exchange once.
+    known = styled.where(F.col(STORE).isNotNull() & F.col(STYLE).isNotNull() & F.col(ITEM).isNotNull())
     this_year = F.col(WEEK).between(period.ty_start, period.latest)
     last_year = F.col(WEEK).between(period.ly_start, period.ly_current)
-    current = F.col(WEEK) == period.latest
+    none = F.lit(None).cast("bigint")
+
+    def when(condition: Column, value: Column, name: str) -> Column:
+        return F.when(condition, value).alias(name)
+
+    sales = known.where(this_year | last_year).select(
+        STORE, STYLE, ITEM,
+        when(this_year, F.col(UNITS), "ty"), when(last_year, F.col(UNITS), "ly"), none.alias("stock"),
+        when(this_year, _week_bit(period.ty_weeks), "ty_bit"), when(last_year, _week_bit(period.ly_weeks), "ly_bit"),
+    )
+    stock = known.where(F.col(WEEK) == period.latest).select(
+        STORE, STYLE, ITEM, none.alias("ty"), none.alias("ly"), inventory_position("ty").alias("stock"),
+        none.alias("ty_bit"), none.alias("ly_bit"),
+    )
 
-    def total(condition: Column, value: Column, name: str) -> Column:
-        return F.coalesce(F.sum(F.when(condition, value)), F.lit(0)).alias(name)
+    def total(value: str, name: str) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0)).alias(name)
 
     return (
-        styled.where(F.col(STYLE).isNotNull() & (this_year | last_year | current))
+        sales.unionByName(stock)
         .groupBy(STORE, STYLE, ITEM)
         .agg(
-            total(this_year, F.col(UNITS), "size_sales_ty_13wk"),
-            total(last_year, F.col(UNITS), "size_sales_ly_13wk"),
-            total(current, inventory_position("ty"), "total_pipeline"),
+            total("ty", "size_sales_ty_13wk"),
+            total("ly", "size_sales_ly_13wk"),
+            total("stock", "total_pipeline"),
+            F.bit_or("ty_bit").alias("ty_weeks"),
+            F.bit_or("ly_bit").alias("ly_weeks"),
         )
     )
 
 
-def size_mixes(signals: DataFrame) -> DataFrame:
+def style_totals(signals: DataFrame) -> DataFrame:
+    """Style sums, and mean weekly units over the weeks present in each year."""
+
+    def mean(total: str, weeks: str) -> Column:
+        return F.col(total) / F.bit_count(weeks)
+
+    return (
+        signals.groupBy(STYLE_KEY)
+        .agg(
+            F.sum("size_sales_ty_13wk").alias("style_total_sales_ty"),
+            F.sum("size_sales_ly_13wk").alias("style_total_sales_ly"),
+            F.sum("total_pipeline").alias("style_total_pipeline"),
+            F.bit_or("ty_weeks").alias("_ty_weeks"),
+            F.bit_or("ly_weeks").alias("_ly_weeks"),
+        )
+        .withColumns(
+            {
+                "style_ty_13wk_avg": mean("style_total_sales_ty", "_ty_weeks"),
+                "style_ly_13wk_avg": F.coalesce(mean("style_total_sales_ly", "_ly_weeks"), F.lit(0.0)),
+            }
+        )
+        .drop("_ty_weeks", "_ly_weeks")
+    )
+
+
+def size_mixes(signals: DataFrame, totals: DataFrame) -> DataFrame:
     """Share of each size in its style, by sales of both years and by inventory."""
     names = {
         "ty_size_mix_pct": ("size_sales_ty_13wk", "style_total_sales_ty"),
         "ly_size_mix_pct": ("size_sales_ly_13wk", "style_total_sales_ly"),
         "pipeline_size_mix_pct": ("total_pipeline", "style_total_pipeline"),
     }
-    totals = with_group_totals(signals, STYLE_KEY, **{total: value for value, total in names.values()})
-    return totals.withColumns(
+    return signals.join(totals, STYLE_KEY, "left").withColumns(
         {
             mix: F.when(F.col(total) > 0, F.col(value) / F.col(total)).otherwise(F.lit(0.0))
             for mix, (value, total) in names.items()
         }
-    ).drop(*[total for _, total in names.values()])
+    ).drop("ty_weeks", "ly_weeks", *[total for _, total in names.values()])
 
 
 def _base_weight(rate: Column, position: int) -> Column:
@@ -137,9 +190,18 @@ def blended_size_mix(mix: DataFrame) -> DataFrame:
 
 
 def weighted_mix(styled: DataFrame, period: Period) -> DataFrame:
-    """Size mixes with style growth and adaptive weights attached."""
-    styles = style_growth(style_weekly_avg(styled, period)).drop("sigma_weekly")
-    return adaptive_weights(size_mixes(size_signals(styled, period)).join(styles, STYLE_KEY, "left"))
+    """Size mixes with style growth and adaptive weights attached.
+
+    A style without a row this year has no growth, projection or class.
+    """
+    signals = size_signals(styled, period)
+    totals = style_totals(signals)
+    sold = F.col("style_ty_13wk_avg").isNotNull()
+    grown = style_growth(totals)
+    derived = ("style_growth_rate", "style_performance", "style_projected_weekly_sales", "style_ly_13wk_avg")
+    return adaptive_weights(
+        size_mixes(signals, grown.withColumns({c: F.when(sold, F.col(c)) for c in derived}))
+    )
 
 
 def distribute_to_sizes(mix: DataFrame) -> DataFrame:

@@ -67,6 +67,15 @@ def test_no_python_and_no_cross_join_in_the_trend_plan(workspace):
         assert unwanted not in text
 
 
+def test_each_fact_slice_is_read_once(workspace):
+    """Totals joined back to their own rows share the exchange below both."""
+    scored = trend_scored(workspace.tables, registry.ALL, workspace.period)
+    scored.collect()
+    executed = plan(scored).split("== Initial Plan ==")[0]
+    scans = [line for line in executed.splitlines() if "FileScan" in line and "f5c_calendar_week" in line]
+    assert len(scans) == 4  # current rows, features, sales of both years, current stock
+
+
 @pytest.mark.parametrize("key", PUSH_PRESETS)
 def test_a_category_without_rows_gives_empty_reports(workspace, key):
     nothing = dataclasses.replace(PUSH_PRESETS[key], subcategories=("none",))

@@ -128,8 +128,8 @@ def test_mix_sums_to_one_or_zero(frame):
     df = frame(
         [("1", "S", "a", 3, 0, 1), ("1", "S", "b", 1, 0, 1), ("1", "T", "c", 0, 0, 0)],
         "store_number string, style string, f5c_item_number string, size_sales_ty_13wk bigint, size_sales_ly_13wk bigint, total_pipeline bigint",
-    )
-    rows = {r["f5c_item_number"]: r for r in proj.size_mixes(df).collect()}
+    ).selectExpr("*", "1L AS ty_weeks", "1L AS ly_weeks")
+    rows = {r["f5c_item_number"]: r for r in proj.size_mixes(df, proj.style_totals(df)).collect()}
     assert rows["a"]["ty_size_mix_pct"] + rows["b"]["ty_size_mix_pct"] == 1.0
     assert (rows["a"]["ly_size_mix_pct"], rows["c"]["ty_size_mix_pct"]) == (0.0, 0.0)
 
@@ -181,3 +181,20 @@ def test_weather_projection_baseline_counts_only_selling_weeks(frame):
     assert row["baseline_weekly_sales"] == pytest.approx(18 / 3)
     assert (row["tw_pct"], row["nw_pct"], row["weather_adjustment"]) == (-0.1, 0.0, -0.05)
     assert row["projected_weekly_sales"] == pytest.approx((6 * 0.9 + 8) / 2)
+
+
+def test_style_average_counts_weeks_of_all_sizes(frame):
+    """Two sizes sold in overlapping weeks: three distinct weeks, not four rows."""
+    rows = [(202440, "a", 6), (202441, "a", 3), (202441, "b", 3), (202444, "b", 3)]
+    df = frame(
+        [(w, "1", i, "S", u, 0, 0, 0, 0) for w, i, u in rows],
+        "f5c_calendar_week int, store_number string, f5c_item_number string, style string, pos_quantity_this_year bigint,"
+        "on_hand_ty bigint, in_warehouse_ty bigint, in_transit_ty bigint, on_order_ty bigint",
+    )
+    row = proj.style_totals(proj.size_signals(df, PERIOD)).first()
+    assert (row["style_ty_13wk_avg"], row["style_ly_13wk_avg"]) == (5.0, 0.0)
+
+
+def test_overlong_window_is_refused():
+    with pytest.raises(ValueError):
+        proj._week_bit(tuple(range(61)))
