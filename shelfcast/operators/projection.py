@@ -85,6 +85,9 @@ def size_signals(styled: DataFrame, period: Period) -> DataFrame:
             F.bit_or("ty_bit").alias("ty_weeks"),
             F.bit_or("ly_bit").alias("ly_weeks"),
         )
+        # True of every row.  It keeps the bit sets in all branches that read this
+        # frame; were they pruned from one, Spark could not share the exchange.
+        .where(F.col("ty_weeks").isNotNull() | F.col("ly_weeks").isNotNull())
     )
 
 
