@@ -525,7 +525,7 @@ def _mix(ws) -> DataFrame:
     compose(f"SELECT {out(*SK2, '~style_ty_13wk_avg=ty_avg', '~style_ly_13wk_avg=ly_avg')} FROM sty_avg", BASE),
 )
 def _(ws):
-    return feat.style_weekly_avg(_styled(ws), ws.period).drop("sigma_weekly")
+    return feat.style_weekly_avg(_styled(ws), ws.period)
 
 
 @query(
@@ -715,7 +715,7 @@ def _scored(ws, preset=ALL) -> DataFrame:
 
 
 def _caps(ws, preset=ALL_STYLE) -> DataFrame:
-    return ps.style_caps(_scored(ws, preset), feat.style_weekly_avg(_styled(ws), ws.period), preset)
+    return ps.style_caps(_scored(ws, preset), feat.style_spread(_styled(ws), ws.period), preset)
 
 
 TREND_ALL = o.trend_stages(ALL)

@@ -124,11 +124,23 @@ def feature_frame(facts: DataFrame, subcategories, period: Period) -> DataFrame:
     return coerce_numeric(joined, [*COERCED_COLUMNS, "max_shelf_quantity_this_year"])
 
 
-def style_weekly(styled: DataFrame, period: Period) -> DataFrame:
+def weather_features(facts: DataFrame, period: Period) -> DataFrame:
+    """Last week's units and the six-week window of last year in one pass."""
+    names = {ly_window_name(o): w for o, w in zip(LY_OFFSETS, period.ly_window)}
+    return (
+        facts.where(F.col(WEEK).isin(period.last_week, *period.ly_window))
+        .groupBy(KEY)
+        .agg(
+            _total(F.col(WEEK) == period.last_week, "lw_pos"),
+            *[F.coalesce(F.avg(_units_when(F.col(WEEK) == w)), F.lit(0.0)).alias(c) for c, w in names.items()],
+        )
+    )
+
+
+def style_weekly(styled: DataFrame) -> DataFrame:
     """Units per (store, style, week); sizes are collapsed."""
     return (
         styled.where(F.col(STYLE).isNotNull())
-        .where(_in(period.ty_start, period.latest) | _in(period.ly_start, period.ly_current))
         .groupBy(STORE, STYLE, WEEK)
         .agg(F.coalesce(F.sum(UNITS), F.lit(0)).alias("week_units"))
     )
@@ -137,17 +149,22 @@ def style_weekly(styled: DataFrame, period: Period) -> DataFrame:
 def style_weekly_avg(styled: DataFrame, period: Period) -> DataFrame:
     """Mean weekly style units over the weeks present, both years in one pass.
 
-    Styles without a sale this year are not listed; last year's mean is 0 when
-    there was none.  The spread of this year's weeks comes along for free.
+    Styles without a row this year are not listed; last year's mean is 0 when
+    there was none.
     """
     this_year, last_year = _in(period.ty_start, period.latest), _in(period.ly_start, period.ly_current)
     return (
-        style_weekly(styled, period)
+        style_weekly(styled.where(this_year | last_year))
         .groupBy(STORE, STYLE)
         .agg(
             F.avg(F.when(this_year, F.col("week_units"))).alias("style_ty_13wk_avg"),
             F.coalesce(F.avg(F.when(last_year, F.col("week_units"))), F.lit(0.0)).alias("style_ly_13wk_avg"),
-            F.stddev_samp(F.when(this_year, F.col("week_units"))).alias("sigma_weekly"),
         )
         .where(F.col("style_ty_13wk_avg").isNotNull())
     )
+
+
+def style_spread(styled: DataFrame, period: Period) -> DataFrame:
+    """Sample deviation of this year's weekly style units (NULL for one week)."""
+    weekly = style_weekly(styled.where(_in(period.ty_start, period.latest)))
+    return weekly.groupBy(STORE, STYLE).agg(F.stddev_samp("week_units").alias("sigma_weekly"))

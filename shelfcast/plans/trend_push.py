@@ -19,7 +19,7 @@ from shelfcast.operators.facts import (
     with_store,
     with_style_left,
 )
-from shelfcast.operators.features import feature_frame, style_weekly_avg
+from shelfcast.operators.features import feature_frame, style_spread
 from shelfcast.operators.grading import abc_grade, attach_clusters, region_summary_trend, store_clusters
 from shelfcast.operators.projection import (
     attach_projection,
@@ -101,7 +101,7 @@ def trend_pushed(tables: RetailTables, preset: PushPreset, period: Period, parit
     scored = trend_scored(tables, preset, period)
     if preset.push_strategy == "style_rop" and preset.use_style_projection:
         # The style strategy reads the rows several times; write them once.
-        spread = style_weekly_avg(styled_rows(tables.facts, tables.style, preset.subcategories, period), period)
+        spread = style_spread(styled_rows(tables.facts, tables.style, preset.subcategories, period), period)
         return push_style_rop(materialise(scored), spread, preset, parity=parity)
     return push_wos(scored, preset.target_wos, preset.hysteresis_weeks, preset.min_push_units)
 

@@ -20,7 +20,7 @@ from shelfcast.operators.facts import (
     with_store,
     with_weather,
 )
-from shelfcast.operators.features import last_week_pos, ly_window_name, ly_window_pivot
+from shelfcast.operators.features import ly_window_name, weather_features
 from shelfcast.operators.grading import abc_grade, attach_clusters, region_summary_weather, store_clusters
 from shelfcast.operators.projection import weather_projection
 from shelfcast.operators.push import (
@@ -59,7 +59,7 @@ def weather_scored(tables: RetailTables, preset: PushPreset, period: Period) ->
     category = filter_category(tables.facts, preset.subcategories)
     rows = with_store(current_rows(tables.facts, preset.subcategories, period.latest), tables.stores)
     rows = with_case_pack(lower_region(rows), tables.case_pack)
-    rows = rows.join(last_week_pos(category, period), KEY, "left").join(ly_window_pivot(category, period), KEY, "left")
+    rows = rows.join(weather_features(category, period), KEY, "left")
     rows = coerce_numeric(with_weather(rows, tables.weather), COERCED)
     projected = weather_projection(rows, category, period)
     return wos_weather(with_inventory_position(sell_through(projected)))
