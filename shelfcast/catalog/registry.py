@@ -771,9 +771,6 @@ def _(ws):
     return _caps(ws).select(*STYLE_KEY, "rop_s", "ramp_units", "style_pipeline_eff", "gate", "style_cap")
 
 
-SIZE = ["size_target_inventory", "raw_push", "candidate_push"]
-
-
 @query(
     "size_targets_capacity",
     compose(f"SELECT {out(*K2, '~size_target_inventory', '~raw_push', 'capacity_gap=room', '~candidate_push=cand', '~shortfall_weeks')} FROM sz4", STYLE_ALL),

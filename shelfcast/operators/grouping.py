@@ -34,10 +34,12 @@ def running_total(df: DataFrame, value: str, order: list[Column], slices: int |
     summed, and every slice starts from the sum of those before it.  The sliced
     rows are written once, which fixes slice membership and lets both passes
     survive lost executors.  Only one row per slice is ever broadcast.
+
+    Without ``slices`` adaptive execution merges neighbouring ranges to a sensible
+    size, which keeps them in order.
     """
-    spark = df.sparkSession
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sliced = materialise(df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()))
+    ranged = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
+    sliced = materialise(ranged.withColumn("_slice", F.spark_partition_id()))
     sums = sliced.groupBy("_slice").agg(F.sum(value).alias("_sum"))
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

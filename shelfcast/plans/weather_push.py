@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from shelfcast.config import PushPreset
 from shelfcast.functions.labels import WEATHER_GRADE_CUTS

@@ -9,7 +9,7 @@ from shelfcast.operators import grading, grouping
 ROWS = "store_number string, f5c_item_number string, baseline_weekly_sales double"
 
 
-@pytest.mark.parametrize("slices", [1, 3, 16])
+@pytest.mark.parametrize("slices", [None, 1, 3, 16])
 def test_running_share_equals_a_global_window_with_hot_ties(frame, slices):
     """A third of all rows tie at one value; ties are split over slices."""
     rng = random.Random(11)
