@@ -1,9 +1,9 @@
 """Byte-level BPE over a global shuffle of distinct words, and decoding.
 
-Texts are cut into pre-tokens in blocks of about ``BLOCK_BYTES``.  A block lists its distinct pre-tokens once and
-holds its documents as positions in that list.  The lists of all blocks are exploded, each distinct pre-token of the
-corpus is merged once, its ids are joined back to the lists (a frequent pre-token comes once a block, not once an
-occurrence), and each block reassembles its documents by position.  A block is rebuilt the same way whenever Spark
+Texts are cut into pre-tokens in blocks of about ``BLOCK_TOKENS``.  A block lists its distinct pre-tokens once and
+holds its documents as places in that list.  The lists of all blocks are exploded and exchanged by pre-token, so that
+each distinct one is merged once; its ids go back to the blocks that hold it (a frequent pre-token travels once a
+block, not once an occurrence), and each block reassembles its documents by position.  A block is rebuilt the same way whenever Spark
 recomputes its partition, so nothing depends on one executor.
 
 Null and empty texts give no ids.  Repeated rows and repeated keys give one result each; other columns are not read.
@@ -25,8 +25,8 @@ from shelfcast.llm import bpe
 from shelfcast.llm.codepoints import decode, span_hashes
 from shelfcast.llm.shared import chunks, map_batches, strings
 
-#: UTF-8 bytes of text in a block, and handled at once.
-BLOCK_BYTES, CHUNK_BYTES = 24 << 20, 2 << 20
+#: Pre-tokens in a block, and UTF-8 bytes of text handled at once.
+BLOCK_TOKENS, CHUNK_BYTES = 4_000_000, 1 << 20
 
 
 def _distinct(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
@@ -43,84 +43,105 @@ def _distinct(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, lis
 
 
 def _blocks(what: str):
-    """Blocks of documents: ``words`` gives their lists of pre-tokens, ``documents`` the documents as positions."""
+    """Blocks of documents: ``words`` gives their pre-tokens with a place, ``documents`` the documents as places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number = TaskContext.get().partitionId(), 0
+        number = TaskContext.get().partitionId() << 32
         keys: list[int] = []
         counts, codes, known, words = [], [], {}, []
         held = 0
 
-        def block() -> pa.RecordBatch:
-            name = f"{part}/{number}"
+        def block() -> Iterator[pa.RecordBatch]:
+            flat = np.concatenate(codes)
+            often = np.bincount(flat, minlength=len(words))
+            by_count = np.argsort(-often, kind="stable")
             if what == "words":
-                return pa.record_batch([pa.array([name]), pa.array([words], pa.list_(pa.binary()))], ["block", "words"])
-            flat = np.concatenate(codes).astype(np.uint32)
-            planes = zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(flat.view(np.uint8).reshape(-1, 4).T).tobytes())
+                for at in range(0, len(words), 20_000):
+                    some = by_count[at : at + 20_000]
+                    place = np.arange(at, at + len(some), dtype=np.int32)
+                    columns = [pa.array([words[row] for row in some], pa.binary()), pa.array(np.full(len(some), number)), pa.array(place)]
+                    yield pa.record_batch(columns, ["word", "block", "place"])
+                return
+            rank = np.empty(len(words), dtype=np.uint32)
+            rank[by_count] = np.arange(len(words), dtype=np.uint32)
+            planes = zstandard.compress(np.ascontiguousarray(rank[flat].view(np.uint8).reshape(-1, 4).T).tobytes(), 3)
             each = np.concatenate(counts).astype(np.int32)
-            return pa.record_batch(
-                [pa.array([name]), pa.array([keys], pa.list_(pa.int64())), pa.array([each.tolist()], pa.list_(pa.int32())), pa.array([planes], pa.binary())],
+            yield pa.record_batch(
+                [pa.array([number]), pa.array([keys], pa.list_(pa.int64())), pa.array([each], pa.list_(pa.int32())), pa.array([planes], pa.binary())],
                 ["block", "keys", "counts", "codes"],
             )
 
         for batch in chunks(batches, "text", CHUNK_BYTES):
             each, local, hashes, pieces = _distinct(strings(batch, "text"))
-            place = np.empty(len(hashes), dtype=np.int64)
+            place = np.empty(len(hashes), dtype=np.uint32)
             for row, value in enumerate(hashes.tolist()):
                 at = known.setdefault(value, len(words))
                 if at == len(words):
-                    words.append(pieces[row])
+                    words.append(pieces[row] if what == "words" else b"")
                 place[row] = at
             keys.extend(batch.column("key").to_pylist())
             counts.append(each)
             codes.append(place[local])
-            held += batch.nbytes
-            if held >= BLOCK_BYTES:
-                yield block()
+            held += len(local)
+            if held >= BLOCK_TOKENS:
+                yield from block()
                 keys, counts, codes, known, words, held, number = [], [], [], {}, [], 0, number + 1
         if keys:
-            yield block()
+            yield from block()
 
     return run
 
 
 def _merge_words(path: str):
+    """Ids of the distinct words of each batch, packed by block: places, numbers of ids, ids."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, counts = bpe.encode_pieces(path, batch.column("word").to_pylist())
-            offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32) * 4
-            packed = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype(np.int32))])
-            yield pa.record_batch([batch.column("word"), packed], ["word", "ids"])
+            coded = batch.column("word").dictionary_encode()
+            ids, counts = bpe.encode_pieces(path, coded.dictionary.to_pylist())
+            first = np.cumsum(counts) - counts
+            code, block, place = (column.to_numpy() for column in (coded.indices, batch.column("block"), batch.column("place")))
+            order = np.argsort(block, kind="stable")
+            names, begin = np.unique(block[order], return_index=True)
+            packed = []
+            for own in np.split(order, begin[1:]):
+                size = counts[code[own]]
+                at = np.repeat(first[code[own]] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                parts = (np.array([len(own)], dtype=np.int32), place[own].astype(np.int32), size.astype(np.int32), ids[at].astype(np.int32))
+                packed.append(zstandard.compress(np.ascontiguousarray(np.concatenate(parts).view(np.uint8).reshape(-1, 4).T).tobytes(), 1))
+            yield pa.record_batch([pa.array(names), pa.array(packed, pa.binary())], ["block", "packed"])
 
     return run
 
 
+def _unpacked(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(packed), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view(np.int32).ravel()
+
+
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):
             one = batch.slice(row, 1)
-            pieces = one.column("pieces").flatten()
-            place = pieces.field("place").to_numpy(zero_copy_only=False)
-            packed = pieces.field("ids")
-            _, offsets, data = packed.buffers()
-            bounds = np.frombuffer(offsets, dtype=np.int32)[packed.offset : packed.offset + len(packed) + 1].astype(np.int64) // 4
-            ids = np.frombuffer(data, dtype=np.int32) if data is not None else np.zeros(0, dtype=np.int32)
+            parts = [_unpacked(packed) for packed in one.column("pieces")[0].as_py()]
+            place = np.concatenate([np.zeros(0, dtype=np.int32), *(part[1 : part[0] + 1] for part in parts)])
+            size = np.concatenate([np.zeros(0, dtype=np.int32), *(part[part[0] + 1 : 2 * part[0] + 1] for part in parts)])
+            ids = np.concatenate([np.zeros(0, dtype=np.int32), *(part[2 * part[0] + 1 :] for part in parts)])
             begin, length = np.zeros(len(place), dtype=np.int64), np.zeros(len(place), dtype=np.int64)
-            begin[place], length[place] = bounds[:-1], np.diff(bounds)
-            planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(one.column("codes")[0].as_py()), dtype=np.uint8)
-            codes = np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32).ravel()
+            begin[place], length[place] = np.cumsum(size) - size, size
+            codes = _unpacked(one.column("codes")[0].as_py())
             counts = one.column("counts").flatten().to_numpy(zero_copy_only=False)
             keys = one.column("keys").flatten()
             ends = np.concatenate(([0], np.cumsum(counts)))
             at = 0
             while at < len(keys):
-                to = max(at + 1, int(np.searchsorted(ends, ends[at] + 500_000, side="right")) - 1)
+                to = max(at + 1, int(np.searchsorted(ends, ends[at] + 300_000, side="right")) - 1)
                 own = codes[ends[at] : ends[to]]
                 sizes = length[own]
                 total = np.concatenate(([0], np.cumsum(sizes)))
                 flat = ids[np.repeat(begin[own] - total[:-1], sizes) + np.arange(total[-1])]
-                bounds_out = total[ends[at : to + 1] - ends[at]].astype(np.int32)
-                yield pa.record_batch([keys.slice(at, to - at), pa.ListArray.from_arrays(pa.array(bounds_out), pa.array(flat))], ["key", "ids"])
+                bounds = total[ends[at : to + 1] - ends[at]].astype(np.int32)
+                yield pa.record_batch([keys.slice(at, to - at), pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat))], ["key", "ids"])
                 at = to
 
 
@@ -130,12 +151,12 @@ def encode(documents: DataFrame, ranks: str, key: str = "doc_id", text: str = "t
     Equal to encoding text by text.  The key is a long; an empty table gives an empty result.
     """
     rows = documents.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    listed = map_batches(rows, _blocks("words"), "block string, words array<binary>")
-    words = listed.select("block", F.posexplode("words").alias("place", "word"))
-    merged = map_batches(words.select("word").distinct(), _merge_words(ranks), "word binary, ids binary")
-    pieces = words.join(merged, "word").groupBy("block").agg(F.collect_list(F.struct("place", "ids")).alias("pieces"))
-    blocks = map_batches(rows, _blocks("documents"), "block string, keys array<long>, counts array<int>, codes binary")
-    whole = blocks.join(pieces, "block", "left").select("keys", "counts", "codes", F.coalesce("pieces", F.array().cast("array<struct<place:int,ids:binary>>")).alias("pieces"))
+    words = map_batches(rows, _blocks("words"), "word binary, block long, place int")
+    # one exchange brings every occurrence of a word together; sorted, it is merged once
+    sorted_words = words.repartition("word").sortWithinPartitions("word")
+    pieces = map_batches(sorted_words, _merge_words(ranks), "block long, packed binary").groupBy("block").agg(F.collect_list("packed").alias("pieces"))
+    blocks = map_batches(rows, _blocks("documents"), "block long, keys array<long>, counts array<int>, codes binary")
+    whole = blocks.join(pieces, "block", "left").select("keys", "counts", "codes", F.coalesce("pieces", F.array().cast("array<binary>")).alias("pieces"))
     return map_batches(whole, _assemble, "key long, ids array<int>").withColumnRenamed("key", key)
 
 
