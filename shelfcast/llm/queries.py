@@ -8,13 +8,51 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import tokens
+from shelfcast.llm import language, quality, shards, tokens, toxicity, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = quality.risk_controlled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return kept.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def toxic_scores(documents: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with held_out and score; the lexicon is learned from the labelled documents of the table that are not held out."""
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    lexicon = toxicity.learn(table(spark, sf_dir, "documents"), labels)
+    return toxicity.score(documents, lexicon).withColumn("held_out", held_out)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = toxic_scores(table(spark, sf_dir, "documents").select("doc_id", "text"), spark, sf_dir)
+    return rated.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op5_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = shards.shard_by_bytes(table(spark, sf_dir, "documents"), 8)
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return dealt.select(
+        "doc_id", "size", F.crc32(text).alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def language_rated(documents: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with held_out, lang_pred and score; learned from the documents of the table that are not held out."""
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1
+    model = language.learn(table(spark, sf_dir, "documents").where(~held_out))
+    return language.identify(documents, model).withColumn("held_out", held_out)
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = language_rated(table(spark, sf_dir, "documents").select("doc_id", "text"), spark, sf_dir)
+    return rated.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = tokens.encode(table(spark, sf_dir, "documents"), ranks)
@@ -26,9 +64,14 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"), 0.93)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in (op7_byte_bpe,)}
+    found = (op3_quality_rules, op4_toxicity, op5_histogram_sort, op6_language, op7_byte_bpe, op10_near_vectors)
+    return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_quality_rules": quality.oracle_sql()}

@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,7 +53,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
     """Cut batches so that the strings of a column hold about ``limit`` bytes at most; one row is never cut."""
     for batch in batches:
         start, held = 0, 0
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
         for row, size in enumerate(sizes):
             if row > start and held + size > limit:
                 yield batch.slice(start, row - start)
