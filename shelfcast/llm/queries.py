@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import language, quality, shards, tokens, toxicity, vectors
+from shelfcast.llm import html, language, packing, quality, shards, tokens, toxicity, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html.main_text(table(spark, sf_dir, "pages"))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = quality.risk_controlled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return kept.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -64,12 +69,17 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"), 0.93)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op3_quality_rules, op4_toxicity, op5_histogram_sort, op6_language, op7_byte_bpe, op10_near_vectors)
+    found = (op2_main_text, op3_quality_rules, op4_toxicity, op5_histogram_sort, op6_language, op7_byte_bpe, op8_packing, op10_near_vectors)
     return {query.__name__: query for query in found}
 
 

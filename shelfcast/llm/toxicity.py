@@ -188,6 +188,13 @@ def _neighbours(labelled: DataFrame, weights: dict[str, float]) -> DataFrame:
     return map_batches(labelled, run, "phrase string, label int").groupBy("phrase", "label").agg(F.count("*").alias("documents"))
 
 
+def _evidence(toxic: int, clean: int, all_toxic: int, all_clean: int) -> float:
+    """Log-likelihood ratio of a pattern and the label against independence."""
+    share = (toxic + clean) / (all_toxic + all_clean)
+    cells = ((toxic, all_toxic * share), (clean, all_clean * share), (all_toxic - toxic, all_toxic * (1 - share)), (all_clean - clean, all_clean * (1 - share)))
+    return 2 * sum(seen * math.log(seen / expected) for seen, expected in cells if seen > 0 and expected > 0)
+
+
 def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, least: int = 4, surety: float = 3.5, given: tuple[str, ...] = ()) -> Lexicon:
     """A lexicon from documents (doc_id, text) and labels (doc_id, toxic 0 or 1; the higher of repeated ones counts).
 
@@ -206,8 +213,8 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, least:
         other = clean.get(pattern, 0)
         value = math.log((often + 0.5) / (sizes[1] + 1)) - math.log((other + 0.5) / (sizes[0] + 1))
         sure = value - surety * math.sqrt(1 / (often + 0.5) + 1 / (other + 0.5))
-        if sure > 1.5:
-            odds[pattern] = (sure, value)
+        if sure > 1.0:
+            odds[pattern] = (_evidence(often, other, sizes[1], sizes[0]), value)  # of nested patterns the strongest stays
     weights: dict[str, float] = {}
     for pattern in sorted(odds, key=lambda name: (-odds[name][0], name)):
         stem = pattern.rstrip()
