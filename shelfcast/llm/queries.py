@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import html, language, packing, quality, shards, tokens, toxicity, vectors
+from shelfcast.llm import html, language, minhash, packing, quality, shards, tokens, toxicity, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), 0.8)
+
+
 def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = html.main_text(table(spark, sf_dir, "pages"))
     return texts.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
@@ -79,7 +83,7 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op2_main_text, op3_quality_rules, op4_toxicity, op5_histogram_sort, op6_language, op7_byte_bpe, op8_packing, op10_near_vectors)
+    found = (op1_minhash, op2_main_text, op3_quality_rules, op4_toxicity, op5_histogram_sort, op6_language, op7_byte_bpe, op8_packing, op10_near_vectors)
     return {query.__name__: query for query in found}
 
 
