@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import html, language, minhash, packing, quality, shards, tokens, toxicity, vectors
+from shelfcast.llm import html, language, lines, minhash, packing, quality, shards, tokens, toxicity, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,10 +30,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def toxic_scores(documents: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with held_out and score; the lexicon is learned from the labelled documents of the table that are not held out."""
+    """Documents with held_out and score; the lexicon is learned from the labelled ones that are not held out."""
     held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
     labels = table(spark, sf_dir, "labels").where(~held_out)
-    lexicon = toxicity.learn(table(spark, sf_dir, "documents"), labels)
+    lexicon = toxicity.learn(documents, labels)
     return toxicity.score(documents, lexicon).withColumn("held_out", held_out)
 
 
@@ -50,15 +50,15 @@ def op5_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def language_rated(documents: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with held_out, lang_pred and score; learned from the documents of the table that are not held out."""
+def language_rated(documents: DataFrame) -> DataFrame:
+    """Documents with held_out, lang_pred and score; learned from those with a language that are not held out."""
     held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1
-    model = language.learn(table(spark, sf_dir, "documents").where(~held_out))
+    model = language.learn(documents.where(~held_out))
     return language.identify(documents, model).withColumn("held_out", held_out)
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rated = language_rated(table(spark, sf_dir, "documents").select("doc_id", "text"), spark, sf_dir)
+    rated = language_rated(table(spark, sf_dir, "documents"))
     return rated.select("doc_id", "held_out", "lang_pred", "score")
 
 
@@ -78,14 +78,18 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"), 0.93)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_minhash, op2_main_text, op3_quality_rules, op4_toxicity, op5_histogram_sort, op6_language, op7_byte_bpe, op8_packing, op10_near_vectors)
+    found = (op1_minhash, op2_main_text, op3_quality_rules, op4_toxicity, op5_histogram_sort, op6_language, op7_byte_bpe, op8_packing, op9_line_dedup, op10_near_vectors)
     return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": quality.oracle_sql()}
+    return {"op3_quality_rules": quality.oracle_sql(), "op9_line_dedup": lines.oracle_sql()}
