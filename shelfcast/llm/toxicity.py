@@ -3,7 +3,7 @@
 Folding lowers case, takes plain letters for full-width and look-alike letters, reads digits and signs inside words as
 the letters they stand for, drops invisible and combining marks, and turns everything else into single blanks.  The lexicon
 (word starts and whole words) and its weights are learned from labelled documents: log odds of a pattern in toxic
-against clean documents, kept where they stay high at the lower end of their confidence interval.  A hit inside an
+against clean documents, kept where the evidence for them is more than chance gives among so many patterns.  A hit inside an
 exception phrase (a neighbour with which the pattern is found in clean documents only, or a phrase that is given) does
 not count.  The score is a logistic function of the summed weights and of that sum by length.
 """
@@ -195,7 +195,7 @@ def _evidence(toxic: int, clean: int, all_toxic: int, all_clean: int) -> float:
     return 2 * sum(seen * math.log(seen / expected) for seen, expected in cells if seen > 0 and expected > 0)
 
 
-def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, least: int = 4, surety: float = 3.5, given: tuple[str, ...] = ()) -> Lexicon:
+def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, least: int = 4, least_odds: float = 1.5, margin: float = 4.0, given: tuple[str, ...] = ()) -> Lexicon:
     """A lexicon from documents (doc_id, text) and labels (doc_id, toxic 0 or 1; the higher of repeated ones counts).
 
     At most ``sample`` labelled documents are read.  Without toxic or without clean ones the lexicon is empty.
@@ -212,9 +212,10 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, least:
     for pattern, often in toxic.items():
         other = clean.get(pattern, 0)
         value = math.log((often + 0.5) / (sizes[1] + 1)) - math.log((other + 0.5) / (sizes[0] + 1))
-        sure = value - surety * math.sqrt(1 / (often + 0.5) + 1 / (other + 0.5))
-        if sure > 1.0:
-            odds[pattern] = (_evidence(often, other, sizes[1], sizes[0]), value)  # of nested patterns the strongest stays
+        evidence = _evidence(often, other, sizes[1], sizes[0])
+        # what the best of so many patterns reaches by chance is about twice the logarithm of their number
+        if value >= least_odds and evidence >= 2 * math.log(len(toxic)) + margin:
+            odds[pattern] = (evidence, value)  # of nested patterns the strongest stays
     weights: dict[str, float] = {}
     for pattern in sorted(odds, key=lambda name: (-odds[name][0], name)):
         stem = pattern.rstrip()
