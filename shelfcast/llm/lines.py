@@ -5,7 +5,7 @@ Two lines match from a Jaccard similarity of ``threshold`` on; a line goes if an
 position) matches it, removed itself or not.  Lines of fewer than ``least`` different words stay.
 
 Lines of the same set are one node.  Two sets can match only if they share a word within the prefix of their rarest
-words; such pairs are cut down by length, by position, and by a 128-bit parity sketch (a set difference of d words
+words; such pairs are cut down by length, by position, and by parity sketches of 64 bits (a set difference of d words
 changes at most d bits), then verified on the words themselves.  All joins are semi-joins: they ask whether a match
 exists and never list the pairs of a group.
 """
@@ -24,41 +24,34 @@ BLANKS = r"[\x20\x09-\x0D]+"
 BUCKETS = 1 << 16
 #: Hash values that a broadcast filter ahead of an exchange holds at most.
 FILTER = 1 << 21
+#: Words from which on a line has a second sketch.
+SHORT = 60
 
 
 def _rarity(documents: DataFrame) -> str:
     """For each bucket of words a class from rare to frequent (four to a doubling), as a list of numbers."""
     words = documents.select(F.explode(F.split("text", BLANKS)).alias("word")).where("word <> ''")
-    counted = words.groupBy(F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int").alias("bucket")).agg(F.count("*").alias("n"))
+    counted = words.groupBy(F.xxhash64("word").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("bucket")).agg(F.count("*").alias("n"))
     found = {row["bucket"]: row["n"] for row in counted.collect()}
     return ",".join(str(min(127, round(4 * math.log2(found.get(bucket, 0) + 1)))) for bucket in range(BUCKETS))
 
 
-def _let(value: Column, body) -> Column:
-    return F.transform(F.array(value), body)[0]
-
-
 def _words(line: Column, rarity: str) -> Column:
     """The different words of a line as numbers in the order of rarity: the class above 56 bits of hash."""
-    classes = F.split(F.lit(rarity), ",").cast("array<tinyint>")
-
-    def number(word: Column) -> Column:
-        return _let(F.xxhash64(word), lambda h: F.shiftleft(F.get(classes, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("long"), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1))))
-
-    return F.sort_array(F.array_distinct(F.transform(F.filter(F.split(line, BLANKS), lambda word: word != ""), number)))
+    classes = F.split(F.lit(rarity), ",").cast("array<bigint>")
+    hashes = F.array_distinct(F.transform(F.filter(F.split(line, BLANKS), lambda word: word != ""), lambda word: F.xxhash64(word)))
+    ranked = F.transform(hashes, lambda h: F.shiftleft(F.get(classes, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), 56).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1))))
+    return F.sort_array(ranked)
 
 
 def _lines(documents: DataFrame) -> DataFrame:
     return documents.where("doc_id is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
 
 
-def _parity(words: Column, half: int) -> Column:
-    """Bit by bit the parity of the words that fall on it, for one half of 128 bits."""
-    return F.aggregate(words, F.lit(0).cast("long"), lambda bits, word: F.when(F.shiftright(word, 6).bitwiseAND(F.lit(1)) == half, bits.bitwiseXOR(_bit(word))).otherwise(bits))
-
-
-def _bit(word: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), word.bitwiseAND(F.lit(63)).cast("int"))
+def _parity(words: Column, shift: int) -> Column:
+    """64 bits, each the parity of the words that fall on it."""
+    place = lambda word: (F.shiftright(word, shift) if shift else word).bitwiseAND(F.lit(63)).cast("int")
+    return F.aggregate(words, F.lit(0).cast("long"), lambda bits, word: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), place(word))))
 
 
 def _signed(documents: DataFrame, rarity: str, threshold: float, least: int) -> DataFrame:
@@ -67,7 +60,8 @@ def _signed(documents: DataFrame, rarity: str, threshold: float, least: int) ->
     n = F.size("words")
     prefix = n - F.ceil(threshold * n - 1e-9).cast("int") + 1
     return rows.select(
-        "doc_id", "line", F.xxhash64("words").alias("h"), F.hash("words").alias("g"), n.alias("n"), _parity(F.col("words"), 0).alias("s"), _parity(F.col("words"), 1).alias("t"),
+        "doc_id", "line", F.xxhash64("words").alias("h"), F.hash("words").alias("g"), n.alias("n"), _parity(F.col("words"), 0).alias("s"),
+        F.when(n > SHORT, _parity(F.col("words"), 32)).otherwise(F.lit(0)).alias("t"),
         F.transform(F.slice("words", 1, prefix), lambda word: F.hash(word)).alias("prefix"),
     )
 
@@ -89,7 +83,7 @@ def _possible(threshold: float) -> str:
     return (
         f"least(x.n, y.n) >= {threshold} * greatest(x.n, y.n) - 1e-9"
         f" and least(x.p, y.p) + 1 + least(x.n - x.p, y.n - y.p) - 1 >= {need}"
-        f" and bit_count(x.s ^ y.s) + bit_count(x.t ^ y.t) <= {total} - 2 * {need}"
+        f" and bit_count(x.s ^ y.s) <= {total} - 2 * {need} and (least(x.n, y.n) <= {SHORT} or bit_count(x.t ^ y.t) <= {total} - 2 * {need})"
     )
 
 
