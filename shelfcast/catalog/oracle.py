@@ -67,11 +67,11 @@ def subcat(i: str) -> str:
 
 
 def item_code(i: str) -> str:
-    return f"'I'||lpad(CAST({i} AS VARCHAR),5,'0')"
+    return f"printf('I%05d', CAST({i} AS BIGINT))"
 
 
 def family_code(prefix: str, i: str, missing: str) -> str:
-    return f"CASE WHEN {i}%48 IN ({missing}) THEN NULL ELSE '{prefix}'||lpad(CAST(({i}//24)*12 + {i}%12 AS VARCHAR),5,'0') END"
+    return f"CASE WHEN {i}%48 IN ({missing}) THEN NULL ELSE printf('{prefix}%05d', CAST(({i}//24)*12 + {i}%12 AS BIGINT)) END"
 
 
 STAGES["t_raw"] = """
@@ -108,7 +108,7 @@ STAGES["pos"] = f"""
   LEFT JOIN t_cell l ON l.wk = coalesce(m.ly_week, c.wk-100) AND l.st = c.st AND l.i = c.i"""
 STAGES["stores"] = """
   SELECT CAST(st AS VARCHAR) AS store_number, n_name AS state, r_name AS region,
-         lpad(CAST(st*101 AS VARCHAR),8,'0') AS zip_code, st%4 AS merch_zone_number
+         printf('%08d', CAST(st*101 AS BIGINT)) AS zip_code, st%4 AS merch_zone_number
   FROM (SELECT s_suppkey//4 AS st, min(s_nationkey) AS nk FROM supplier GROUP BY 1)
   JOIN nation ON n_nationkey = nk JOIN region ON r_regionkey = n_regionkey WHERE st%25 <> 24"""
 STAGES["style"] = f"""
@@ -125,7 +125,7 @@ STAGES["weather"] = """
 STAGES["client_forecast"] = f"""
   SELECT {item_code('i')} AS f5c_item_nbr, {subcat('i')} AS subcategory_nbr, wk+100 AS f5c_calendar_week,
          CAST(st AS VARCHAR) AS store_nbr, qty + (st+i)%5 AS final_forecast_each_quantity
-  FROM t_cell, (SELECT max(wk) AS latest FROM t_raw) WHERE wk BETWEEN latest-99 AND latest-94"""
+  FROM t_cell WHERE wk + 100 IN (SELECT unnest([{', '.join(shift('latest', n) for n in range(1, 7))}]) FROM (SELECT max(wk) AS latest FROM t_raw))"""
 STAGES["per0"] = f"""
   SELECT latest, {shift('latest', -12)} AS ty_start, {shift('latest', -51)} AS ty52, {shift('latest', -25)} AS chk,
          {shift('latest', -1)} AS w1, {shift('latest', -2)} AS w2, {shift('latest', -3)} AS w3, {shift('latest', -4)} AS w4

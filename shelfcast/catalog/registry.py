@@ -1010,7 +1010,7 @@ def _(ws):
 @query(
     "missing_style_report",
     compose(
-        "SELECT f5c_item_number, count(*) AS row_count FROM cat WHERE internal_style_color IS NULL GROUP BY 1 ORDER BY 1 LIMIT 10", BASE
+        "SELECT f5c_item_number, count(*) AS row_count FROM cat WHERE internal_style_color IS NULL GROUP BY 1", BASE
     ),
 )
 def _(ws):

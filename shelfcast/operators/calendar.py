@@ -105,13 +105,21 @@ def season_ranges(first_year: int, last_year: int) -> tuple[tuple[int, int], ...
     return tuple(r for y in years for r in ((y * 100 + 1, y * 100 + 26), (y * 100 + 27, y * 100 + 53)))
 
 
+def unique_mapping(week_map: DataFrame) -> DataFrame:
+    """The mapping with ``ty_week`` as its primary key: equal rows become one, different ones fail the job."""
+    clash = F.min("ly_week") != F.max("ly_week")
+    clear = F.when(clash, F.raise_error(F.concat(F.lit("several last-year weeks for week "), F.col("ty_week"))).cast("int")).otherwise(F.max("ly_week"))
+    rest = [F.max(name).alias(name) for name in week_map.columns if name not in ("ty_week", "ly_week")]
+    return week_map.groupBy("ty_week").agg(clear.cast("int").alias("ly_week"), *rest)
+
+
 def week_to_ly(df: DataFrame, week_map: DataFrame, week: str = WEEK) -> DataFrame:
     """Append ``ly_week``: the mapped week, or the same week number a year earlier.
 
-    The mapping has one row per calendar week, so broadcasting it is bounded by
-    the number of weeks in history.
+    The mapping has one row per calendar week (which is enforced), so
+    broadcasting it is bounded by the number of weeks in history.
     """
-    mapped = week_map.select(F.col("ty_week").alias("_ty_week"), F.col("ly_week").alias("_ly_week"))
+    mapped = unique_mapping(week_map.select("ty_week", "ly_week")).toDF("_ty_week", "_ly_week")
     return (
         df.join(F.broadcast(mapped), F.col(week) == F.col("_ty_week"), "left")
         .withColumn("ly_week", F.coalesce(F.col("_ly_week"), F.col(week) - 100).cast("int"))
@@ -119,6 +127,15 @@ def week_to_ly(df: DataFrame, week_map: DataFrame, week: str = WEEK) -> DataFram
     )
 
 
+def calendar_of(facts: DataFrame, week_map: DataFrame) -> RetailCalendar:
+    """A calendar with a week 53 in the years for which facts or mapping have one (a row a year is read)."""
+    weeks = [facts.select(F.col(WEEK).alias("week"))] + [week_map.select(F.col(name).alias("week")) for name in ("ty_week", "ly_week")]
+    years = F.floor(F.col("week") / 100).cast("int").alias("year")
+    long_years = [frame.where(F.pmod(F.col("week"), F.lit(100)) == 53).select(years).distinct() for frame in weeks]
+    found = long_years[0].unionByName(long_years[1]).unionByName(long_years[2]).distinct().collect()
+    return RetailCalendar(tuple(sorted(row["year"] for row in found)))
+
+
 def latest_week(df: DataFrame, week: str = WEEK) -> DataFrame:
     return df.agg(F.max(week).alias("latest_week"))
 
@@ -126,10 +143,10 @@ def latest_week(df: DataFrame, week: str = WEEK) -> DataFrame:
 def resolve_period(
     facts: DataFrame,
     week_map: DataFrame,
-    calendar: RetailCalendar = RetailCalendar(),
+    calendar: RetailCalendar | None = None,
     target_week: int | None = None,
 ) -> Period | None:
-    """Read the week numbers of a run: at most three integers reach the driver.
+    """Read the week numbers of a run: three integers, and the years with a week 53 if no calendar is given.
 
     Returns None for an empty fact table.
     """
@@ -138,11 +155,12 @@ def resolve_period(
         latest = latest_week(facts).first()["latest_week"]
     if latest is None:
         return None
+    calendar = calendar_of(facts, week_map) if calendar is None else calendar
     back = lambda n: calendar.shift(latest, -n)
     ty_start = back(12)
     mapped = {
         row["ty_week"]: row["ly_week"]
-        for row in week_map.where(F.col("ty_week").isin(latest, ty_start)).select("ty_week", "ly_week").take(2)
+        for row in unique_mapping(week_map.where(F.col("ty_week").isin(latest, ty_start)).select("ty_week", "ly_week")).collect()
     }
     ly_current = mapped.get(latest, latest - 100)
     return Period(
@@ -175,10 +193,11 @@ def week_map_template(bounds: DataFrame) -> DataFrame:
 
 
 def upsert_week_mapping(base: DataFrame, delta: DataFrame) -> DataFrame:
-    """Insert or replace by ``ty_week``."""
+    """Insert or replace by ``ty_week``, of which each may come once only."""
     columns = ["ty_week", "ly_week", "notes"]
-    kept = base.join(delta.select("ty_week").distinct(), "ty_week", "left_anti")
-    return kept.select(columns).unionByName(delta.select(columns))
+    fresh = unique_mapping(delta.select(columns))
+    kept = unique_mapping(base.select(columns)).join(fresh.select("ty_week"), "ty_week", "left_anti")
+    return kept.select(columns).unionByName(fresh.select(columns))
 
 
 def list_week_mapping(week_map: DataFrame) -> DataFrame:

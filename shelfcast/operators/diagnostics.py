@@ -100,8 +100,8 @@ def period_verification(facts: DataFrame, period: Period, weeks: int = 26) -> Da
     )
 
 
-def missing_style_report(styled: DataFrame, n: int | None = 10) -> DataFrame:
-    """Items without a style mapping, with their number of rows; first ``n``."""
+def missing_style_report(styled: DataFrame, n: int | None = None) -> DataFrame:
+    """Items without a style mapping, with their number of rows; the first ``n`` if that is given."""
     missing = (
         styled.where(F.col("internal_style_color").isNull())
         .groupBy(ITEM)

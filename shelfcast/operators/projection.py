@@ -21,7 +21,6 @@ BASELINE_WEEKS = 13
 # bound; a style below every bound, or without a growth rate, takes the last row.
 BASE_WEIGHTS = ((0.20, (0.70, 0.20, 0.10)), (0.05, (0.60, 0.25, 0.15)), (-0.05, (0.45, 0.35, 0.20)), (-0.20, (0.30, 0.40, 0.30)))
 FALLBACK_WEIGHTS = (0.20, 0.40, 0.40)
-MAX_WINDOW_WEEKS = 60
 WEIGHT_COLUMNS = ("weight_ty", "weight_ly", "weight_pipeline")
 
 
@@ -36,12 +35,14 @@ def style_growth(styles: DataFrame) -> DataFrame:
     )
 
 
-def _week_bit(weeks: tuple[int, ...]) -> Column:
-    """One bit per week of a window; weeks outside the calendar share bit 0."""
-    if len(weeks) > MAX_WINDOW_WEEKS:
-        raise ValueError(f"a window of {len(weeks)} weeks is too long")
-    place = F.array_position(F.array(*[F.lit(w) for w in weeks]), F.col(WEEK)) if weeks else F.lit(0)
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), place.cast("int"))
+def _years(first: int, last: int) -> list[int]:
+    return list(range(first // 100, last // 100 + 1)) or [first // 100]
+
+
+def _week_bits(first: int, last: int, name: str) -> dict[str, Column]:
+    """A bit for each week number, in one bit set for each year of a window of any length."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(F.col(WEEK), F.lit(100)).cast("int"))
+    return {f"{name}_{k}": F.when(F.floor(F.col(WEEK) / 100) == year, bit) for k, year in enumerate(_years(first, last))}
 
 
 def size_signals(styled: DataFrame, period: Period) -> DataFrame:
@@ -62,14 +63,15 @@ def size_signals(styled: DataFrame, period: Period) -> DataFrame:
     def when(condition: Column, value: Column, name: str) -> Column:
         return F.when(condition, value).alias(name)
 
+    ty_bits, ly_bits = _week_bits(period.ty_start, period.latest, "ty_weeks"), _week_bits(period.ly_start, period.ly_current, "ly_weeks")
+    bits = [*ty_bits, *ly_bits]
     sales = known.where(this_year | last_year).select(
         STORE, STYLE, ITEM,
         when(this_year, F.col(UNITS), "ty"), when(last_year, F.col(UNITS), "ly"), none.alias("stock"),
-        when(this_year, _week_bit(period.ty_weeks), "ty_bit"), when(last_year, _week_bit(period.ly_weeks), "ly_bit"),
+        *[when(this_year, bit, name) for name, bit in ty_bits.items()], *[when(last_year, bit, name) for name, bit in ly_bits.items()],
     )
     stock = known.where(F.col(WEEK) == period.latest).select(
-        STORE, STYLE, ITEM, none.alias("ty"), none.alias("ly"), inventory_position("ty").alias("stock"),
-        none.alias("ty_bit"), none.alias("ly_bit"),
+        STORE, STYLE, ITEM, none.alias("ty"), none.alias("ly"), inventory_position("ty").alias("stock"), *[none.alias(name) for name in bits],
     )
 
     def total(value: str, name: str) -> Column:
@@ -82,20 +84,25 @@ def size_signals(styled: DataFrame, period: Period) -> DataFrame:
             total("ty", "size_sales_ty_13wk"),
             total("ly", "size_sales_ly_13wk"),
             total("stock", "total_pipeline"),
-            F.bit_or("ty_bit").alias("ty_weeks"),
-            F.bit_or("ly_bit").alias("ly_weeks"),
+            *[F.bit_or(name).alias(name) for name in bits],
         )
         # True of every row.  It keeps the bit sets in all branches that read this
         # frame; were they pruned from one, Spark could not share the exchange.
-        .where(F.col("ty_weeks").isNotNull() | F.col("ly_weeks").isNotNull())
+        .where(F.greatest(F.lit(0), *bits) >= 0)
     )
 
 
+def _bit_sets(signals: DataFrame, year: str) -> list[str]:
+    return [name for name in signals.columns if name.startswith(f"{year}_weeks_")]
+
+
 def style_totals(signals: DataFrame) -> DataFrame:
     """Style sums, and mean weekly units over the weeks present in each year."""
+    sets = {year: _bit_sets(signals, year) for year in ("ty", "ly")}
 
-    def mean(total: str, weeks: str) -> Column:
-        return F.col(total) / F.bit_count(weeks)
+    def mean(total: str, year: str) -> Column:
+        weeks = sum((F.coalesce(F.bit_count(name), F.lit(0)) for name in sets[year]), F.lit(0))
+        return F.col(total) / F.nullif(weeks, F.lit(0))
 
     return (
         signals.groupBy(STYLE_KEY)
@@ -103,16 +110,15 @@ def style_totals(signals: DataFrame) -> DataFrame:
             F.sum("size_sales_ty_13wk").alias("style_total_sales_ty"),
             F.sum("size_sales_ly_13wk").alias("style_total_sales_ly"),
             F.sum("total_pipeline").alias("style_total_pipeline"),
-            F.bit_or("ty_weeks").alias("_ty_weeks"),
-            F.bit_or("ly_weeks").alias("_ly_weeks"),
+            *[F.bit_or(name).alias(name) for names in sets.values() for name in names],
         )
         .withColumns(
             {
-                "style_ty_13wk_avg": mean("style_total_sales_ty", "_ty_weeks"),
-                "style_ly_13wk_avg": F.coalesce(mean("style_total_sales_ly", "_ly_weeks"), F.lit(0.0)),
+                "style_ty_13wk_avg": mean("style_total_sales_ty", "ty"),
+                "style_ly_13wk_avg": F.coalesce(mean("style_total_sales_ly", "ly"), F.lit(0.0)),
             }
         )
-        .drop("_ty_weeks", "_ly_weeks")
+        .drop(*sets["ty"], *sets["ly"])
     )
 
 
@@ -128,7 +134,7 @@ def size_mixes(signals: DataFrame, totals: DataFrame) -> DataFrame:
             mix: F.when(F.col(total) > 0, F.col(value) / F.col(total)).otherwise(F.lit(0.0))
             for mix, (value, total) in names.items()
         }
-    ).drop("ty_weeks", "ly_weeks", *[total for _, total in names.values()])
+    ).drop(*_bit_sets(signals, "ty"), *_bit_sets(signals, "ly"), *[total for _, total in names.values()])
 
 
 def _base_weight(rate: Column, position: int) -> Column:

@@ -16,7 +16,7 @@ def run_category(
     preset: str | PushPreset,
     period: Period | None = None,
     target_week: int | None = None,
-    calendar: RetailCalendar = RetailCalendar(),
+    calendar: RetailCalendar | None = None,
 ) -> PushReport | None:
     """Run one category once, with all its options; None when there are no facts."""
     chosen = PUSH_PRESETS[preset] if isinstance(preset, str) else preset
@@ -31,11 +31,17 @@ def run_category(
     raise ValueError(f"unknown method: {chosen.method}")
 
 
-def run_all(tables: RetailTables, presets: dict[str, PushPreset] | None = None, period: Period | None = None) -> dict[str, PushReport]:
+def run_all(
+    tables: RetailTables,
+    presets: dict[str, PushPreset] | None = None,
+    period: Period | None = None,
+    target_week: int | None = None,
+    calendar: RetailCalendar | None = None,
+) -> dict[str, PushReport]:
     """All categories over the same tables and period."""
     presets = PUSH_PRESETS if presets is None else presets
     if period is None:
-        period = resolve_period(tables.facts, tables.week_map)
+        period = resolve_period(tables.facts, tables.week_map, calendar, target_week)
     if period is None:
         return {}
     return {key: run_category(tables, preset, period) for key, preset in presets.items()}

@@ -24,7 +24,8 @@ VENDORLESS_ITEMS = (37, 41)
 
 
 def _code(prefix: str, number: Column) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), 5, "0"))
+    """Five digits at least; longer numbers keep all of theirs."""
+    return F.format_string(f"{prefix}%05d", number.cast("bigint"))
 
 
 def _item_columns(i: Column) -> dict[str, Column]:
@@ -143,7 +144,7 @@ class DemoTables:
                 F.col("st").cast("string").alias(STORE),
                 F.col("n_name").alias("state"),
                 F.col("r_name").alias("region"),
-                F.lpad((F.col("st") * 101).cast("string"), 8, "0").alias("zip_code"),
+                F.format_string("%08d", F.col("st").cast("bigint") * 101).alias("zip_code"),
                 (F.col("st") % 4).cast("int").alias("merch_zone_number"),
             )
         )
@@ -226,9 +227,10 @@ class DemoTables:
     @cached_property
     def client_forecast(self) -> DataFrame:
         """The client's own outlook: last year's six following weeks, nudged."""
-        latest = self.period.latest
+        period = self.period
+        ahead = [period.calendar.shift(period.latest, n) for n in range(1, 7)]
         return (
-            self.cells.where(F.col("wk").between(latest - 99, latest - 94))
+            self.cells.where(F.col("wk").isin([week - 100 for week in ahead]))
             .withColumns(_item_columns(F.col("i")))
             .select(
                 F.col("item").alias("f5c_item_nbr"),

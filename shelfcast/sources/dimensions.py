@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from shelfcast import schemas
 from shelfcast.functions.numeric import integer
+from shelfcast.operators.calendar import unique_mapping
 
 
 @dataclass(frozen=True)
@@ -113,7 +114,8 @@ def week_mapping(df: DataFrame) -> DataFrame:
 
 
 def load_week_mapping(spark: SparkSession, path: str, target: str) -> DataFrame:
-    week_mapping(read_any(spark, path)).write.mode("overwrite").parquet(target)
+    """Replace the week mapping; two different rows for one week fail the load."""
+    unique_mapping(week_mapping(read_any(spark, path))).write.mode("overwrite").parquet(target)
     return spark.read.schema(schemas.DIM_WEEK_MAPPING).parquet(target)
 
 

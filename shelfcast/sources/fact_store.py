@@ -1,7 +1,9 @@
 """The fact table: Parquet partitioned by week, with keyed upserts.
 
-One writer at a time.  An upsert rewrites only the touched week partitions, from
-a staged copy, so it can be repeated after a failure.
+One writer at a time.  An upsert rewrites only the touched week partitions: the
+merged weeks are written beside the table and then moved in, under a journal that
+lets the next upsert finish a move that broke off.  Repeating an upsert merges its
+rows again, into whatever the table then holds.
 """
 
 from __future__ import annotations
@@ -9,7 +11,6 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,8 +37,8 @@ def _laid_out(df: DataFrame) -> DataFrame:
 
 def append_facts(df: DataFrame, path: str, overwrite: bool = False) -> None:
     """Bulk append without looking for duplicates."""
-    mode = "overwrite" if overwrite else "append"
-    _laid_out(df).write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
+    write = _laid_out(df).write.mode("overwrite" if overwrite else "append").partitionBy(*PARTITIONS)
+    write.option("partitionOverwriteMode", "static").parquet(path)
 
 
 def read_facts(spark: SparkSession, path: str) -> DataFrame:
@@ -53,13 +54,16 @@ def read_pos_all(spark: SparkSession, path: str) -> DataFrame:
     return read_facts(spark, path).select(POS_ALL_COLUMNS)
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as it knows it."""
+    own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), own
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder exists (nothing is read)."""
-    try:
-        spark.read.format("binaryFile").load(path)
-    except AnalysisException:
-        return False
-    return True
+    """Whether a file or folder exists (nothing is listed or read)."""
+    files, own = file_system(spark, path)
+    return files.exists(own)
 
 
 def anti_join_keys(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
@@ -87,33 +91,58 @@ def _touched_weeks(delta: DataFrame) -> list[int]:
     return [row[WEEK] for row in delta.select(WEEK).distinct().toLocalIterator()]
 
 
-def merge_facts(
-    spark: SparkSession, path: str, delta: DataFrame, writer: str = "load", batch: str | None = None
-) -> UpsertResult:
-    """Upsert ``delta`` into the stored table.
+def _journal(path: str) -> str:
+    return f"{path.rstrip('/')}__staging/moving"
+
+
+def _move_in(spark: SparkSession, path: str, staged: str) -> None:
+    """Put each staged week in the place of the table's; weeks already moved are no longer staged."""
+    files, source = file_system(spark, staged)
+    table = file_system(spark, path)[1]
+    files.mkdirs(table)
+    for week in files.listStatus(source):
+        if week.isDirectory():
+            target = file_system(spark, f"{path.rstrip('/')}/{week.getPath().getName()}")[1]
+            files.delete(target, True)
+            if not files.rename(week.getPath(), target):
+                raise OSError(f"cannot move {week.getPath().toString()} to {target.toString()}")
+
+
+def _finish(spark: SparkSession, path: str) -> None:
+    """Complete a move that broke off: the journal names its staged weeks."""
+    files, journal = file_system(spark, _journal(path))
+    if not files.exists(journal):
+        return
+    staged = spark.read.text(_journal(path)).first()["value"]
+    if path_exists(spark, staged):
+        _move_in(spark, path, staged)
+        files.delete(file_system(spark, staged)[1], True)
+    files.delete(journal, False)
+    spark.catalog.refreshByPath(path)
+
+
+def merge_facts(spark: SparkSession, path: str, delta: DataFrame) -> UpsertResult:
+    """Upsert ``delta`` into the stored table; rows deleted and inserted.
 
-    The merged partitions are first written beside the table, into one slot per
-    ``writer``, and then swapped in.  If a run with a ``batch`` name breaks off
-    while swapping, repeating it finds the finished staged copy and swaps it in
-    again; a run that broke off earlier starts over.
+    If a run breaks off while its weeks are moved in, the next one first finishes
+    the move; a run that broke off earlier leaves the table as it was.
     """
-    slot = f"{path.rstrip('/')}__staging/{writer}"
-    batch = batch or uuid.uuid4().hex
-    staged = f"{slot}/batch={batch}"
-    result = UpsertResult(0, 0)
-    if not (path_exists(spark, f"{slot}/_SUCCESS") and path_exists(spark, staged)):
-        fresh = materialise(delta)
-        weeks = _touched_weeks(fresh)
-        if not weeks:
-            return result
-        merged, replaced = fresh, 0
-        if path_exists(spark, path):
-            base = read_facts(spark, path).where(F.col(WEEK).isin(weeks)).select(fresh.columns)
-            replaced = base.join(fresh.select(MERGE_KEY).distinct(), MERGE_KEY, "left_semi").count()
-            merged = upsert_facts(base, fresh)
-        result = UpsertResult(replaced, fresh.count())
-        layout = _laid_out(merged).withColumn("batch", F.lit(batch))
-        layout.write.mode("overwrite").partitionBy("batch", *PARTITIONS).parquet(slot)
-    swap = _laid_out(read_facts(spark, staged)).write.mode("overwrite").partitionBy(*PARTITIONS)
-    swap.option("partitionOverwriteMode", "dynamic").parquet(path)
-    return result
+    _finish(spark, path)
+    fresh = materialise(delta)
+    weeks = _touched_weeks(fresh)
+    if not weeks:
+        return UpsertResult(0, 0)
+    inserted, before, merged = fresh.count(), 0, fresh
+    if path_exists(spark, path):
+        base = read_facts(spark, path).where(F.col(WEEK).isin(weeks)).select(fresh.columns)
+        before = base.count()  # from the files' footers
+        merged = upsert_facts(base, fresh)
+    staged = f"{path.rstrip('/')}__staging/{uuid.uuid4().hex}"
+    _laid_out(merged).write.partitionBy(*PARTITIONS).parquet(staged)
+    deleted = before + inserted - read_facts(spark, staged).count()
+    files, journal = file_system(spark, _journal(path))
+    out = files.create(journal, True)
+    out.write(bytearray(staged.encode()))
+    out.close()
+    _finish(spark, path)
+    return UpsertResult(deleted, inserted)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import csv
 import logging
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,12 +26,14 @@ from shelfcast.schemas import (
     SUBCATEGORY,
     WEEK,
 )
-from shelfcast.sources.fact_store import FILE_ORDER, append_facts, keep_latest_file, merge_facts
+from shelfcast.sources.fact_store import FILE_ORDER, UpsertResult, append_facts, file_system, keep_latest_file, merge_facts
 
 log = logging.getLogger(__name__)
 
 # Texts that count as missing in the input files.
-MISSING_TEXTS = ["", "#N/A", "#NA", "N/A", "NA", "n/a", "NaN", "nan", "-NaN", "-nan", "NULL", "null", "None", "<NA>"]
+MISSING_TEXTS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
 CSV_OPTIONS = {
     "header": True,
     "escape": '"',
@@ -46,6 +50,7 @@ class MissingColumns(ValueError):
 class LoadResult:
     loaded: list[str] = field(default_factory=list)
     skipped: dict[str, str] = field(default_factory=dict)
+    upserted: UpsertResult | None = None
 
 
 def require_columns(columns) -> None:
@@ -116,14 +121,61 @@ def tag_source_file(df: DataFrame, update: bool = False) -> DataFrame:
 
 
 def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    row = spark.read.text(path).first()
-    return tuple(c.strip() for c in row[0].split(",")) if row else ()
+    """The first line of a file, read without a Spark job."""
+    files, own = file_system(spark, path)
+    jvm = spark.sparkContext._jvm
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(files.open(own), "UTF-8"))
+    try:
+        line = reader.readLine()
+    finally:
+        reader.close()
+    return tuple(c.strip() for c in next(csv.reader([line.lstrip("\ufeff")]), ())) if line else ()
+
+
+def _layouts(spark: SparkSession, paths: list[str], result: LoadResult) -> dict[tuple[str, ...], list[str]]:
+    """Files by header; missing files and those without the required columns are skipped and reported."""
+    found: dict[tuple[str, ...], list[str]] = {}
+
+    def header(path: str):
+        try:
+            columns = _header(spark, path)
+            require_columns(columns)
+        except (MissingColumns, Py4JJavaError) as problem:
+            return problem
+        return columns
+
+    with ThreadPool(16) as pool:
+        for path, columns in zip(paths, pool.map(header, paths), strict=True):
+            if isinstance(columns, Exception):
+                reason = str(columns) if isinstance(columns, MissingColumns) else columns.java_exception.toString()
+                log.error("%s: %s", path, reason)
+                result.skipped[path] = reason
+            else:
+                found.setdefault(columns, []).append(path)
+                result.loaded.append(path)
+    return found
 
 
 def list_csv_files(spark: SparkSession, folder: str) -> list[str]:
-    """Paths of the CSV files directly in a folder (file contents are not read)."""
-    listing = spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/*.csv").select("path")
-    return sorted(row["path"] for row in listing.toLocalIterator())
+    """Paths of the CSV files directly in a folder (no file is read)."""
+    files, pattern = file_system(spark, f"{folder.rstrip('/')}/*.csv")
+    return sorted(status.getPath().toString() for status in files.globStatus(pattern) if status.isFile())
+
+
+def _files_of(spark: SparkSession, path: str) -> list[str]:
+    """The files of a folder; any other path as it is, whether or not it exists."""
+    files, own = file_system(spark, path)
+    if not files.exists(own) or not files.getFileStatus(own).isDirectory():
+        return [path]
+    inside = [status.getPath() for status in files.listStatus(own) if status.isFile()]
+    return sorted(file.toString() for file in inside if file.getName()[0] not in "._")
+
+
+def _stacked(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out
 
 
 def initial_load(spark: SparkSession, folder: str, path: str, clear_first: bool = False) -> LoadResult:
@@ -133,44 +185,40 @@ def initial_load(spark: SparkSession, folder: str, path: str, clear_first: bool
     number of layouts, not of files.  A file without the required columns is
     skipped and reported.
     """
-    result, layouts = LoadResult(), {}
-    for file in list_csv_files(spark, folder):
-        layouts.setdefault(_header(spark, file), []).append(file)
-    frames = []
-    for files in layouts.values():
-        try:
-            frames.append(conform(route_by_subcategory(read_pos_csv(spark, files))))
-            result.loaded.extend(files)
-        except MissingColumns as problem:
-            log.error("%s: %s", files, problem)
-            result.skipped.update({f: str(problem) for f in files})
+    result = LoadResult()
+    layouts = _layouts(spark, list_csv_files(spark, folder), result)
+    frames = [conform(route_by_subcategory(read_pos_csv(spark, files))) for files in layouts.values()]
     if frames:
-        stacked = frames[0]
-        for frame in frames[1:]:
-            stacked = stacked.unionByName(frame)
-        append_facts(stacked, path, overwrite=clear_first)
+        append_facts(_stacked(frames), path, overwrite=clear_first)
     return result
 
 
+def _plain(path: Column) -> Column:
+    """A file's URI with one slash behind the scheme, whichever way it was written."""
+    return F.regexp_replace(path, ":/+", ":/")
+
+
 def weekly_update(spark: SparkSession, files, path: str) -> LoadResult:
     """Upsert files into the fact table; for equal keys the later file wins.
 
-    All files are merged in one pass.  Missing or invalid files are skipped and
-    reported.  ``files`` is a path or a list of paths.
+    All files are merged in one pass, with one scan for each layout.  Missing or
+    invalid files are skipped and reported.  ``files`` is a path or a list of
+    paths; ``upserted`` of the result has the rows deleted and inserted.
     """
-    result, frames = LoadResult(), []
-    for order, file in enumerate([files] if isinstance(files, str) else files):
-        try:
-            rows = route_by_subcategory(read_pos_csv(spark, file)).withColumn(FILE_ORDER, F.lit(order))
-        except (MissingColumns, AnalysisException) as problem:
-            log.error("%s: %s", file, problem)
-            result.skipped[file] = str(problem)
-            continue
-        frames.append(conform(rows, keep=(FILE_ORDER,)))
-        result.loaded.append(file)
-    if frames:
-        stacked = frames[0]
-        for frame in frames[1:]:
-            stacked = stacked.unionByName(frame)
-        merge_facts(spark, path, keep_latest_file(stacked) if len(frames) > 1 else stacked.drop(FILE_ORDER))
+    given = [files] if isinstance(files, str) else list(files)
+    result = LoadResult()
+    expanded = [(number, file) for number, path_ in enumerate(given) for file in _files_of(spark, path_)]
+    layouts = _layouts(spark, list(dict.fromkeys(file for _, file in expanded)), result)
+    if not layouts:
+        return result
+    qualified = lambda file: file_system(spark, file)[0].makeQualified(file_system(spark, file)[1]).toUri().toString()
+    order = spark.createDataFrame([(qualified(file), number) for number, file in expanded if file not in result.skipped], f"_file string, {FILE_ORDER} int")
+    order = order.groupBy(_plain(F.col("_file")).alias("_file")).agg(F.max(FILE_ORDER).alias(FILE_ORDER))
+    frames = []
+    for own in layouts.values():
+        raw = spark.read.options(**CSV_OPTIONS).csv(own).withColumn("_file", _plain(F.col("_metadata.file_path")))
+        named = raw.toDF(*[c.strip() for c in raw.columns]).join(order, "_file")
+        frames.append(conform(route_by_subcategory(named), keep=(FILE_ORDER,)))
+    rows = _stacked(frames)
+    result.upserted = merge_facts(spark, path, keep_latest_file(rows) if len(result.loaded) > 1 else rows.drop(FILE_ORDER))
     return result

@@ -23,7 +23,7 @@ def stream_weekly_updates(
 
     ``columns`` is the header of the files (checked against each of them).  Within
     a micro-batch the newer file wins, by modification time and then name.  A
-    replayed micro-batch repeats the same upsert.
+    replayed micro-batch is merged again into what the table then holds.
     """
     require_columns(columns)
     layout = StructType([StructField(c, StringType()) for c in columns])
@@ -34,11 +34,8 @@ def stream_weekly_updates(
     rows = reader.csv(folder).withColumn(FILE_ORDER, age)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        # The query id lives as long as its checkpoint, so batch numbers of
-        # different streams cannot be mistaken for one another.
-        query_id = spark.read.json(f"{checkpoint}/metadata").first()["id"]
         delta = keep_latest_file(conform(route_by_subcategory(batch), keep=(FILE_ORDER,)))
-        merge_facts(spark, path, delta, writer=f"stream-{query_id}", batch=str(batch_id))
+        merge_facts(spark, path, delta)
 
     return (
         rows.writeStream.foreachBatch(apply)

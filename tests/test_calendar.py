@@ -60,3 +60,22 @@ def test_season_filter_is_one_condition(frame):
     df = frame([(202400,), (202401,), (202426,), (202530,), (202600,)], "f5c_calendar_week int")
     assert column(cal.in_seasons(df, ((202401, 202426), (202527, 202553))), "f5c_calendar_week") == [202401, 202426, 202530]
     assert cal.season_ranges(2024, 2025) == cal.DEFAULT_SEASONS
+
+
+def test_week_53_is_taken_from_the_data(frame):
+    mapping = frame([], "ty_week int, ly_week int")
+    facts = frame([(202352,), (202353,), (202401,)], "f5c_calendar_week int")
+    period = cal.resolve_period(facts, mapping)
+    assert period.last_week == 202353 and len(period.ty_weeks) == 13
+    period = cal.resolve_period(frame([(202352,), (202401,)], "f5c_calendar_week int"), mapping)
+    assert period.last_week == 202352 and len(period.ty_weeks) == 13
+
+
+def test_a_week_is_mapped_once(frame):
+    facts = frame([(202401,)], "f5c_calendar_week int")
+    twice = frame([(202401, 202301), (202401, 202301), (202341, 202299)], "ty_week int, ly_week int")
+    period = cal.resolve_period(facts, twice)
+    assert (period.ly_current, period.ly_start) == (202301, 202299)
+    assert cal.week_to_ly(facts, twice).count() == 1
+    with pytest.raises(Exception, match="several last-year weeks"):
+        cal.week_to_ly(facts, frame([(202401, 202301), (202401, 202302)], "ty_week int, ly_week int")).collect()

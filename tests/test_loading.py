@@ -105,19 +105,73 @@ def test_upsert_counts_and_untouched_weeks(spark, folder):
     assert store.merge_facts(spark, table, load("c.csv", ["202401,1001,1,x,6,V,,"]).limit(0)) == store.UpsertResult(0, 0)
 
 
-def test_interrupted_batch_is_swapped_in_again(spark, folder):
-    table = f"{folder}/table"
-    load = lambda name, lines: files.conform(files.route_by_subcategory(files.read_pos_csv(spark, write(folder, name, lines))))
-    store.merge_facts(spark, table, load("a.csv", ["202401,1001,1,x,5,V,,", "202401,1001,2,x,5,V,,"]))
-    delta = load("b.csv", ["202401,1001,1,x,8,V,,"])
-    store.merge_facts(spark, table, delta, writer="w", batch="1")
-    done = rows(spark, table)
-    # What a crash in the middle of the swap could leave: a week with lost rows.
-    store.read_facts(spark, table).limit(0).write.mode("overwrite").parquet(f"{table}/f5c_calendar_week=202401")
-    store.merge_facts(spark, table, delta, writer="w", batch="1")
-    assert rows(spark, table) == done
-    store.merge_facts(spark, table, load("c.csv", ["202401,1001,2,x,9,V,,"]), writer="w", batch="2")
+def loader(spark, folder):
+    return lambda name, lines: files.conform(files.route_by_subcategory(files.read_pos_csv(spark, write(folder, name, lines))))
+
+
+def test_a_move_that_broke_off_is_finished_by_the_next_upsert(spark, folder, monkeypatch):
+    table, load = f"{folder}/table", loader(spark, folder)
+    store.merge_facts(spark, table, load("a.csv", ["202401,1001,1,x,5,V,,", "202402,1001,2,x,5,V,,"]))
+    move = store._move_in
+
+    def breaks(spark, path, staged):
+        lost = next(p for p in Path(path).iterdir() if p.name.endswith("202401"))
+        files_, target = store.file_system(spark, str(lost))
+        files_.delete(target, True)  # the table's week is gone, the staged one not yet moved
+        raise OSError("lost driver")
+
+    monkeypatch.setattr(store, "_move_in", breaks)
+    with pytest.raises(OSError):
+        store.merge_facts(spark, table, load("b.csv", ["202401,1001,1,x,8,V,,"]))
+    monkeypatch.setattr(store, "_move_in", move)
+    store.merge_facts(spark, table, load("c.csv", ["202402,1001,2,x,9,V,,"]))
     assert [r[3] for r in rows(spark, table)] == [8, 9]
+    assert not any(Path(f"{table}__staging").iterdir())
+
+
+def test_a_replayed_upsert_keeps_what_others_wrote_in_between(spark, folder):
+    table, load = f"{folder}/table", loader(spark, folder)
+    batch = load("a.csv", ["202401,1001,1,x,5,V,,"])
+    assert store.merge_facts(spark, table, batch) == store.UpsertResult(0, 1)
+    store.merge_facts(spark, table, load("b.csv", ["202401,1001,2,x,6,V,,"]))
+    assert store.merge_facts(spark, table, batch) == store.UpsertResult(1, 1)
+    assert [r[3] for r in rows(spark, table)] == [5, 6]
+
+
+def test_overwriting_does_not_depend_on_the_session(spark, folder):
+    table, load = f"{folder}/table", loader(spark, folder)
+    store.append_facts(load("a.csv", ["202401,1001,1,x,5,V,,"]), table)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        store.append_facts(load("b.csv", ["202402,1001,1,x,5,V,,"]), table, overwrite=True)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert len(rows(spark, table)) == 1
+
+
+def test_jobs_do_not_grow_with_the_files(spark, folder):
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(group, run):
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            run()
+        finally:
+            spark.sparkContext._jsc.clearJobGroup()
+        return len(tracker.getJobIdsForGroup(group))
+
+    counts = {}
+    for number in (2, 50):
+        drop = f"{folder}/drop{number}"
+        os.mkdir(drop)
+        paths = [write(drop, f"w{k}.csv", [f"202401,1001,{k},x,5,V,,"]) for k in range(number)]
+        load = jobs(f"load{number}", lambda d=drop, n=number: files.initial_load(spark, d, f"{folder}/t{n}"))
+        result = []
+        update = jobs(f"update{number}", lambda p=paths, n=number: result.append(files.weekly_update(spark, p, f"{folder}/t{n}")))
+        assert result[0].upserted == store.UpsertResult(number, number)
+        counts[number] = (load, update)
+    # a few more for listing many paths and for ordering by file, none for each file
+    assert all(many <= few + 6 for many, few in zip(counts[50], counts[2], strict=True))
 
 
 def test_keep_latest_file_with_one_hot_key(spark):
