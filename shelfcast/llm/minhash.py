@@ -7,7 +7,9 @@ of improved consistent weighted sampling (Ioffe, 2010) are cut into bands; docum
 and pairs count as linked from a weighted Jaccard similarity of ``threshold`` on, computed exactly.
 
 The pairs of a bucket are never listed.  First every document is compared with the least one of each of its buckets;
-links give components.  Then only documents of one bucket that are still in different components are compared.
+links give components.  Then documents of one bucket that are still in different components are compared, block by
+block, by parity sketches of their shingles: they bound the weight of the difference of two documents from below, and
+so their similarity from above, and only pairs that may reach the threshold by this bound go on to be verified.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.codepoints import LETTER, NUMBER, classes, decode, mix, span_hashes, words_between
@@ -29,6 +31,11 @@ WORDS, BANDS, ROWS = 5, 14, 4
 RARE = 0.01
 #: Count-min sketch: two rows of cells; and the share of documents from which copies of one text count once in it.
 CELLS, HOT = 1 << 19, 0.001
+#: Parity sketch: bits of each class of weights, and the least weight of each class of document shares.
+BITS = 512
+LEAST = (np.log(2), 1.5, 2.4, 3.3, 4.2, np.log1p(1 / RARE))
+#: Documents of a bucket that are compared at once with as many.
+TILE = 256
 _BLOCK = 1 << 14
 _CHUNK = 1 << 20
 _GAMMA: dict[str, np.ndarray] = {}
@@ -111,6 +118,30 @@ def signatures(owner: np.ndarray, hashes: np.ndarray, weights: np.ndarray, texts
     return out
 
 
+def sketches(owner: np.ndarray, hashes: np.ndarray, counts: np.ndarray, weights: np.ndarray, texts: int) -> np.ndarray:
+    """Parity of the shingles of each text and class of weights on each bit; a shingle found n times counts as n elements."""
+    each = np.repeat(np.arange(len(hashes)), counts)
+    rank = np.arange(len(each)) - np.repeat(np.cumsum(counts) - counts, counts)
+    group = np.maximum(np.searchsorted(np.array(LEAST) + 1e-9, weights / np.maximum(counts, 1) + 2e-6, side="right") - 1, 0)
+    bit = (mix(hashes[each] + rank.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(BITS - 1)).astype(np.int64)
+    cell = (owner[each] * len(LEAST) + group[each]) * BITS + bit
+    odd = (np.bincount(cell, minlength=texts * len(LEAST) * BITS) & 1).astype(np.uint8)
+    return np.packbits(odd).reshape(texts, -1)
+
+
+def may_link(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray], threshold: float) -> np.ndarray:
+    """Which pairs of two lists of (sketch, sum of weights) may reach the threshold."""
+    apart = np.zeros((len(left[1]), len(right[1])))
+    words = BITS // 64
+    one, two = left[0].view(np.uint64), right[0].view(np.uint64)
+    for group, least in enumerate(LEAST):
+        for word in range(group * words, (group + 1) * words):
+            apart += (least - 1e-5) * np.bitwise_count(one[:, word, None] ^ two[None, :, word])
+    whole = left[1][:, None] + right[1][None, :]
+    shared = np.minimum((whole - apart) / 2, np.minimum(left[1][:, None], right[1][None, :]))
+    return shared >= (threshold - 1e-6) * (whole - shared)
+
+
 def jaccard(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard similarity of two (ascending hashes, weights)."""
     _, a, b = np.intersect1d(left[0], right[0], assume_unique=True, return_indices=True)
@@ -183,6 +214,26 @@ def _near(rows: DataFrame, pairs: DataFrame, sketch, threshold: float) -> DataFr
     return materialise(map_batches(both, run, "a long, b long"))
 
 
+def _possible_pairs(threshold: float):
+    """Pairs of ids of two blocks of documents in different components that may be linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                sides = []
+                for name in ("x", "y"):
+                    own = batch.column(name)[row].values
+                    sketch = np.frombuffer(b"".join(own.field("sketch").to_pylist()), dtype=np.uint8).reshape(len(own), -1)
+                    sides.append((own.field("id").to_numpy(), own.field("component").to_numpy(), sketch, own.field("weight").to_numpy()))
+                x, y = sides
+                fits = may_link((x[2], x[3]), (y[2], y[3]), threshold) & (x[1][:, None] != y[1][None, :])
+                a, b = np.nonzero(fits)
+                a, b = x[0][a], y[0][b]
+                yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    return run
+
+
 def near_duplicates(documents: DataFrame, threshold: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, class_id, class_size, kept) of every row: near copies share a class, whose least key is its id and is kept.
 
@@ -205,17 +256,19 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8, key: str = "do
         for batch in chunks(batches, "text", _CHUNK):
             texts = strings(batch, "text")
             owner, hashes, counts = shingles(texts)
-            samples = signatures(owner, hashes, _weights(hashes, counts, shares), len(texts))
+            weights = _weights(hashes, counts, shares)
+            samples = signatures(owner, hashes, weights, len(texts))
             bands = np.zeros((len(texts), BANDS), dtype=np.uint64)
             for row in range(ROWS):
                 bands = mix(bands * np.uint64(0x2545F4914F6CDD1D) + samples[:, row::ROWS])
             has = np.isin(np.arange(len(texts)), owner)
             mask = pa.array(has)
-            lists = [pa.FixedSizeListArray.from_arrays(pa.array(values.ravel()), values.shape[1]).filter(mask) for values in (bands.view(np.int64), (samples & np.uint64(0x7FFFFFFF)).astype(np.int32))]
-            lists = [column.cast(pa.list_(column.type.value_type)) for column in lists]
-            yield pa.record_batch([batch.column("id").filter(mask), batch.column("digest").filter(mask), *lists], ["id", "digest", "bands", "samples"])
+            listed = pa.FixedSizeListArray.from_arrays(pa.array(bands.view(np.int64).ravel()), BANDS).filter(mask).cast(pa.list_(pa.int64()))
+            packed = pa.array([row.tobytes() for row in sketches(owner, hashes, counts, weights, len(texts))[has]], pa.binary())
+            total = pa.array(np.bincount(owner, weights=weights, minlength=len(texts))[has])
+            yield pa.record_batch([batch.column("id").filter(mask), batch.column("digest").filter(mask), listed, packed, total], ["id", "digest", "bands", "sketch", "weight"])
 
-    signed = map_batches(rows, sign, "id long, digest binary, bands array<long>, samples array<int>")
+    signed = map_batches(rows, sign, "id long, digest binary, bands array<long>, sketch binary, weight double")
     leaders = classes_.select(F.col("least").alias("id"), "digest")
     signed = materialise(signed.join(leaders, ["id", "digest"], "left_semi").dropDuplicates(["id", "digest"]))
     buckets = signed.select("id", F.posexplode("bands").alias("band", "bucket"))
@@ -225,11 +278,13 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8, key: str = "do
     first = materialise(components(links))
 
     own = buckets.join(first.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = own.groupBy("band", "bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("band", "bucket")
-    apart = own.join(mixed, ["band", "bucket"], "left_semi").join(signed.select("id", "samples"), "id")
-    side = lambda name: apart.select("band", "bucket", F.col("id").alias(name), F.col("component").alias(f"{name}_in"), F.col("samples").alias(f"{name}_is"))
-    pairs = side("a").join(side("b"), ["band", "bucket"]).where((F.col("a_in") < F.col("b_in")) & (_agreeing("a_is", "b_is") >= int(BANDS * ROWS * (threshold - 0.35))))
-    ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    mixed = own.groupBy("band", "bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x <> y").select("band", "bucket", "n")
+    blocks = F.ceil(F.col("n") / TILE).cast("int")
+    mixed = mixed.withColumn("blocks", blocks).drop("n")
+    apart = own.join(mixed, ["band", "bucket"]).join(signed.select("id", "sketch", "weight"), "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    packed = apart.groupBy("band", "bucket", "block").agg(F.collect_list(F.struct("id", "component", "sketch", "weight")).alias("own"))
+    both = packed.select("band", "bucket", F.col("block").alias("i"), F.col("own").alias("x")).join(packed.select("band", "bucket", F.col("block").alias("j"), F.col("own").alias("y")), ["band", "bucket"])
+    ordered = map_batches(both.where("i <= j").select("x", "y"), _possible_pairs(threshold), "a long, b long").distinct()
     second = _near(rows, materialise(ordered.join(stars, ["a", "b"], "left_anti")), sketch, threshold)
     grouped = components(links.unionByName(second))
     named = classes_.join(grouped.withColumnRenamed("node", "least"), "least", "left").select("digest", F.coalesce("component", "least").alias("class_id"), "copies")
@@ -238,8 +293,3 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8, key: str = "do
     out = ids.where(usable).join(known, "digest").select("id", "class_id", "class_size")
     alone = ids.where(~F.coalesce(usable, F.lit(False))).select("id", F.col("id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
     return out.unionByName(alone).select(F.col("id").alias(key), "class_id", "class_size", F.coalesce(F.col("id") == F.col("class_id"), F.lit(True)).alias("kept"))
-
-
-def _agreeing(left: str, right: str) -> Column:
-    """How many samples of two signatures agree."""
-    return F.aggregate(F.zip_with(left, right, lambda a, b: (a == b).cast("int")), F.lit(0), lambda total, one: total + one)
