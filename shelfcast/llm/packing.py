@@ -15,7 +15,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -29,14 +28,13 @@ WINDOW, END = 2048, 1
 SHARD_TOKENS = 400_000
 K1, B = 1.2, 0.75
 _CHUNK, _WORDS = 2 << 20, 400_000
-_SPACES = regex.compile(r"\s+")
 
 
 def normal(text: str) -> str:
-    """The vocabulary's normal form: composed, blanks as one space, lower case letter by letter (no final sigma)."""
+    """The vocabulary's normal form: composed, lower case letter by letter (no final sigma); blanks only part words."""
     if not text.isascii():
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-    return _SPACES.sub(" ", text).lower()
+    return text.lower()
 
 
 class Encoder:
@@ -86,6 +84,13 @@ def _unpack(packed: bytes) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(packed), dtype=np.uint16)
 
 
+def _counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct tokens of a document in order, and how often each comes."""
+    ordered = np.sort(ids, kind="stable")
+    begin = np.flatnonzero(np.concatenate((ordered[:1] == ordered[:1], ordered[1:] != ordered[:-1])))
+    return ordered[begin].astype(np.int64), np.diff(np.append(begin, len(ordered)))
+
+
 def tokenise(documents: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, tokens, salt, ids): the ids of each text with the end id behind them, packed as 16-bit numbers."""
 
@@ -109,9 +114,7 @@ def _frequencies(tokenised: DataFrame) -> np.ndarray:
         found = np.zeros(1 << 16, dtype=np.int64)
         for batch in batches:
             for packed in batch.column("ids").to_pylist():
-                seen = np.zeros(1 << 16, dtype=bool)
-                seen[_unpack(packed)] = True
-                found += seen
+                found[_counted(_unpack(packed))[0]] += 1
         tokens = np.flatnonzero(found)
         yield pa.record_batch([pa.array(tokens.astype(np.int32)), pa.array(found[tokens])], ["token", "documents"])
 
@@ -130,9 +133,9 @@ def _weights(frequency: np.ndarray, documents: int) -> np.ndarray:
 
 def _terms(ids: np.ndarray, rarity: np.ndarray, mean: float) -> tuple[np.ndarray, np.ndarray]:
     """The tokens of a document that weigh anything, and their BM25 weights."""
-    counts = np.bincount(ids, minlength=1 << 16)
-    tokens = np.flatnonzero((counts > 0) & (rarity > 0))
-    often = counts[tokens]
+    tokens, often = _counted(ids)
+    some = rarity[tokens] > 0
+    tokens, often = tokens[some], often[some]
     return tokens, rarity[tokens] * often * (K1 + 1) / (often + K1 * (1 - B + B * len(ids) / mean))
 
 
