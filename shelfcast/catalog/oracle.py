@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from shelfcast.config import PUSH_PRESETS, PushPreset
+from shelfcast.config import PushPreset
 
 ALL_SUBCATEGORIES = ("1001", "1002", "2001", "3001", "4001", "4002", "4003", "4004", "5001", "6001", "6002", "6003")
 
@@ -161,6 +161,9 @@ def quotient(top: str, bottom: str, overflow: str = "'inf'::DOUBLE") -> str:
     )
 
 
+LAST_TWO_YEARS = "f5c_calendar_week BETWEEN (SELECT max(wk)//100*100 - 99 FROM t_raw) AND (SELECT max(wk)//100*100 + 53 FROM t_raw)"
+
+
 def kpi_stages(subcategories, source: str, detail=(), styled: bool = True) -> dict[str, str]:
     """``kpi_totals`` (whole history) and ``kpi`` (two years of seasons)."""
     keys = ["f5c_calendar_week", "f5c_item_number", "subcategory_description", *detail]
@@ -186,7 +189,7 @@ def kpi_stages(subcategories, source: str, detail=(), styled: bool = True) -> di
       SELECT {', '.join(keys)}, {filled},
              CASE WHEN f5c_calendar_week%100 <= 26 THEN 'Spring ' ELSE 'Fall ' END ||
                CAST(f5c_calendar_week//100 AS VARCHAR) AS season
-      FROM kpi_totals WHERE f5c_calendar_week BETWEEN 200001 AND 200153""",
+      FROM kpi_totals WHERE {LAST_TWO_YEARS}""",
         "kpi_run": f"""
       SELECT *, {running('sum(pos_qty_ty)')} AS cu, {running('sum(sales_ty)')} AS cs,
              {running('row_number()')} AS wn, {running('sum(ty_store_ct)')} AS cw FROM kpi_base""",
@@ -608,5 +611,3 @@ WEATHER_COLUMNS = out(
     "case_pack_qty", "max_shelf_quantity_this_year", "ship_qty", "~sell_through_pct", "sell_through_flag",
     "store_cluster", "~store_pct_of_total_sales", "~store_cumulative_pct",
 )
-
-PRESETS = PUSH_PRESETS

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from shelfcast.operators import push as ps
 from shelfcast.operators.grouping import share_of_group
 from shelfcast.plans import trend_push as trend
 from shelfcast.plans import weather_push as weather
-from shelfcast.plans.kpi_report import weekly_productivity
+from shelfcast.plans.kpi_report import weekly_productivity, weekly_productivity_all
 from shelfcast.plans.runner import run_all, run_all_details, run_category
 from shelfcast.schemas import CATEGORY_A, FACT_KEY, GENERAL, ITEM, KEY, SOURCE, STORE, STYLE, STYLE_KEY, SUBCATEGORY, UNITS, WEEK
 from shelfcast.sources import dimensions as dims
@@ -37,7 +38,14 @@ from shelfcast.sources import fact_store, pos_files
 from shelfcast.sources.reports import write_report
 from shelfcast.streaming.weekly import stream_weekly_updates
 
-SEASONS = cal.season_ranges(2000, 2001)
+
+
+def seasons(ws) -> tuple[tuple[int, int], ...]:
+    """The last two years of the data."""
+    year = ws.period.latest // 100
+    return cal.season_ranges(year - 1, year)
+
+
 ALL = PushPreset("All categories", o.ALL_SUBCATEGORIES, convert_to_case_pack=True)
 ALL_STYLE = PushPreset(
     "All categories by style", o.ALL_SUBCATEGORIES, source=CATEGORY_A, use_client_forecast=True,
@@ -287,11 +295,11 @@ def _(ws):
 
 @query(
     "week_map_upsert",
-    compose(f"""SELECT ty_week, ly_week, NULL::VARCHAR AS notes FROM weekmap WHERE ty_week//100 <> 2001
-      UNION ALL SELECT f5c_calendar_week, f5c_calendar_week-100, 'aligned' FROM ({WEEKS}) WHERE f5c_calendar_week//100 = 2001"""),
+    compose(f"""SELECT ty_week, ly_week, NULL::VARCHAR AS notes FROM weekmap WHERE ty_week//100 <> (SELECT latest//100 FROM per)
+      UNION ALL SELECT f5c_calendar_week, f5c_calendar_week-100, 'aligned' FROM ({WEEKS}) WHERE f5c_calendar_week//100 = (SELECT latest//100 FROM per)"""),
 )
 def _(ws):
-    delta = ws.facts.select(WEEK).distinct().where(F.floor(F.col(WEEK) / 100) == 2001).select(
+    delta = ws.facts.select(WEEK).distinct().where(F.floor(F.col(WEEK) / 100) == ws.period.latest // 100).select(
         F.col(WEEK).alias("ty_week"), (F.col(WEEK) - 100).alias("ly_week"), F.lit("aligned").alias("notes")
     )
     return cal.upsert_week_mapping(ws.tables.week_map, delta)
@@ -315,7 +323,7 @@ def _kpi_rows(ws, preset):
 
 
 def _kpi(ws, key: str) -> DataFrame:
-    return weekly_productivity(ws.facts, ws.tables.style, KPI_PRESETS[key], SEASONS)
+    return weekly_productivity(ws.facts, ws.tables.style, KPI_PRESETS[key], seasons(ws))
 
 
 def _register_kpi(key: str, name: str):
@@ -328,6 +336,20 @@ _register_kpi("category_a", "weekly_productivity")
 for _key in ("category_b", "category_c", "category_d"):
     _register_kpi(_key, f"weekly_productivity_{_key}")
 
+
+@query(
+    "weekly_productivity_all",
+    " UNION ALL ".join(
+        f"SELECT * FROM ({compose(f"SELECT '{key}' AS category, count(*) AS row_count, CAST(sum(pos_qty_ty) AS BIGINT) AS pos_qty_ty FROM kpi", o.kpi_stages(*_kpi_args(preset)))})"
+        for key, preset in KPI_PRESETS.items()
+    ),
+)
+def _(ws):
+    reports = weekly_productivity_all(ws.facts, ws.tables.style, seasons(ws))
+    totals = [frame.agg(F.count(F.lit(1)).alias("row_count"), F.sum("pos_qty_ty").alias("pos_qty_ty")).withColumn("category", F.lit(key)) for key, frame in reports.items()]
+    return reduce(DataFrame.unionByName, totals)
+
+
 KPI_A, KPI_D = KPI_PRESETS["category_a"], KPI_PRESETS["category_d"]
 A_STAGES = o.kpi_stages(*_kpi_args(KPI_A))
 D_STAGES = o.kpi_stages(*_kpi_args(KPI_D))
@@ -345,12 +367,12 @@ def _(ws):
 @query(
     "concat_periods",
     compose(
-        "SELECT f5c_calendar_week, f5c_item_number, pos_qty_ty FROM kpi_totals WHERE f5c_calendar_week BETWEEN 200001 AND 200153",
+        "SELECT f5c_calendar_week, f5c_item_number, pos_qty_ty FROM kpi_totals WHERE " + o.LAST_TWO_YEARS,
         D_STAGES,
     ),
 )
 def _(ws):
-    parts = [kpi.category_query(ws.facts, KPI_D, None, low, high) for low, high in SEASONS]
+    parts = [kpi.category_query(ws.facts, KPI_D, None, low, high) for low, high in seasons(ws)]
     return fx.stack_periods(parts).select(WEEK, ITEM, "pos_qty_ty")
 
 
@@ -365,7 +387,7 @@ RUNNING = ["season_pos_qty_cumulative_ty", "season_sales_cumulative_ty", "weeks_
     ),
 )
 def _(ws):
-    totals = cal.assign_season(kpi.coerce_totals(cal.in_seasons(_kpi_rows(ws, KPI_A), SEASONS)))
+    totals = cal.assign_season(kpi.coerce_totals(cal.in_seasons(_kpi_rows(ws, KPI_A), seasons(ws))))
     keys = kpi.grouping_columns(totals.columns, KPI_A)
     running = kpi.season_to_date(totals, keys).withColumn(RUNNING[1], F.col(RUNNING[1]).cast("double"))
     return running.select(WEEK, *keys, "season", *RUNNING)
@@ -413,7 +435,7 @@ def _(ws):
     ),
 )
 def _(ws):
-    totals = _kpi_rows(ws, KPI_A).where(F.col(WEEK).between(SEASONS[0][0], SEASONS[-1][1]))
+    totals = _kpi_rows(ws, KPI_A).where(F.col(WEEK).between(seasons(ws)[0][0], seasons(ws)[-1][1]))
     return diag.top_n(totals, "internal_style_color", "sales_ty", 5, "total_sales").withColumn(
         "total_sales", F.col("total_sales").cast("double")
     )
@@ -424,7 +446,7 @@ def _(ws):
     compose("SELECT f5c_item_number, CAST(sum(sales_ty) AS DOUBLE) AS total_sales FROM kpi GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5", D_STAGES),
 )
 def _(ws):
-    totals = _kpi_rows(ws, KPI_D).where(F.col(WEEK).between(SEASONS[0][0], SEASONS[-1][1]))
+    totals = _kpi_rows(ws, KPI_D).where(F.col(WEEK).between(seasons(ws)[0][0], seasons(ws)[-1][1]))
     return diag.top_n(totals, ITEM, "sales_ty", 5, "total_sales").withColumn("total_sales", F.col("total_sales").cast("double"))
 
 
@@ -800,6 +822,20 @@ def _(ws):
     return ps.style_cap_qa(ps.size_candidates(_scored(ws, ALL_STYLE), _caps(ws), ALL_STYLE))
 
 
+@query(
+    "style_cap_qa_totals",
+    compose(
+        f"""SELECT count(*) AS styles, {out('~raw_sum=sum(CAST(raw_sum AS DECIMAL(20,6)))', '~after_cap_sum=sum(CAST(after_cap_sum AS DECIMAL(20,6)))', '~style_cap=sum(CAST(gc AS DECIMAL(20,6)))')}
+        FROM (SELECT {o.SK}, coalesce(sum(greatest(0.0, size_target_inventory - total_pipeline)),0.0) AS raw_sum,
+          coalesce(sum(least(greatest(0.0, size_target_inventory - total_pipeline), room)),0.0) AS after_cap_sum,
+          max(gcap) AS gc FROM sz1 WHERE sty IS NOT NULL GROUP BY {o.SK})""",
+        STYLE_ALL,
+    ),
+)
+def _(ws):
+    return ps.style_cap_totals(ps.style_cap_qa(ps.size_candidates(_scored(ws, ALL_STYLE), _caps(ws), ALL_STYLE)))
+
+
 STYLE_PUSH = ["size_target_inventory", "shortfall_weeks", "push_units", "projected_wos_after_push"]
 STYLE_PUSH_SQL = out(*K2, "~size_target_inventory", "~shortfall_weeks", "~push_units=push", "~projected_wos_after_push")
 
@@ -931,6 +967,19 @@ def _(ws):
     return grade.push_grand_totals(_whole(ws, ALL).detail)
 
 
+@query(
+    "push_grand_totals_weather",
+    compose(
+        f"""SELECT CAST(sum(push_units) AS BIGINT) AS total_push_units, {out('~avg_current_wos=' + o.mean('current_wos'), '~avg_ly_wos=' + o.mean('ly_wos'),
+        '~avg_projected_wos=' + o.mean('projected_wos_after_push'))}, count(DISTINCT store_number) AS store_count,
+        CAST(sum(total_pipeline) AS BIGINT) AS total_pipeline_ty, CAST(sum(total_pipeline_ly) AS BIGINT) AS total_pipeline_ly FROM detail""",
+        WEATHER_ALL,
+    ),
+)
+def _(ws):
+    return grade.push_grand_totals(_whole(ws, ALL_WEATHER).detail)
+
+
 # --- full reports -----------------------------------------------------------
 
 
@@ -1019,17 +1068,15 @@ def _(ws):
 
 @query(
     "duplicate_keys",
-    compose(
-        """SELECT store_number, f5c_item_number, count(*) AS row_count FROM cat, per WHERE f5c_calendar_week BETWEEN ty_start AND latest
-        GROUP BY ALL HAVING count(*) > 1""",
-        BASE,
-    ),
+    compose("""SELECT f5c_calendar_week, store_number, f5c_item_number, count(*) AS row_count FROM (SELECT * FROM pos UNION ALL SELECT * FROM pos WHERE store_on_hand_quantity_this_year % 50 = 0)
+        GROUP BY ALL HAVING count(*) > 1"""),
 )
 def _(ws):
-    return diag.duplicate_keys(fx.filter_weeks(ws.facts, ws.period.ty_start, ws.period.latest), KEY)
+    twice = ws.facts.unionByName(ws.facts.where("store_on_hand_quantity_this_year % 50 = 0"))
+    return diag.duplicate_keys(twice, FACT_KEY)
 
 
-@query("key_counts", compose("SELECT count(*) AS total_rows, count(*) AS distinct_keys FROM sproj", BASE))
+@query("key_counts", compose("SELECT count(*) AS total_rows, count(DISTINCT (store_number, sty, f5c_item_number)) AS distinct_keys FROM sproj", BASE))
 def _(ws):
     return diag.key_counts(proj.style_projection(_styled(ws), ws.period), [*STYLE_KEY, ITEM])
 
@@ -1041,10 +1088,12 @@ def _(ws):
           FROM pos WHERE source_table = 'category_a'
         UNION ALL SELECT 'general', count(*), min(f5c_calendar_week), max(f5c_calendar_week) FROM pos WHERE source_table <> 'category_a'
         UNION ALL SELECT 'dim_stores', count(*), NULL, NULL FROM stores
+        UNION ALL SELECT 'dim_items', count(*), NULL, NULL FROM t_code
+        UNION ALL SELECT 'dim_capacity', count(*), NULL, NULL FROM t_code
         UNION ALL SELECT 'dim_case_pack', count(*), NULL, NULL FROM case_pack
         UNION ALL SELECT 'fact_forecast_vendor', count(*), NULL, NULL FROM weather
-        UNION ALL SELECT '(all tables)', (SELECT count(*) FROM pos) + (SELECT count(*) FROM stores) + (SELECT count(*) FROM case_pack)
-          + (SELECT count(*) FROM weather), (SELECT min(f5c_calendar_week) FROM pos), (SELECT max(f5c_calendar_week) FROM pos))"""
+        UNION ALL SELECT '(all tables)', (SELECT count(*) FROM pos) + (SELECT count(*) FROM stores) + 2 * (SELECT count(*) FROM t_code)
+          + (SELECT count(*) FROM case_pack) + (SELECT count(*) FROM weather), (SELECT min(f5c_calendar_week) FROM pos), (SELECT max(f5c_calendar_week) FROM pos))"""
     ),
 )
 def _(ws):
@@ -1054,6 +1103,8 @@ def _(ws):
             "category_a": t.facts.where(F.col(SOURCE) == CATEGORY_A),
             "general": t.facts.where(F.col(SOURCE) == GENERAL),
             "dim_stores": t.stores,
+            "dim_items": ws.demo.items,
+            "dim_capacity": ws.demo.capacity,
             "dim_case_pack": t.case_pack,
             "fact_forecast_vendor": t.weather,
         }
@@ -1151,10 +1202,23 @@ def _(ws):
     return fact_store.read_pos_all(ws.spark, table).select(LOADED)
 
 
+FILE_NAMES = {"Category_A_week": 0, "drop_category_d": 1, "pos_data": 2, "other": 3}
+
+
 @query(
     "tag_source_file",
-    compose("SELECT 'Unknown' AS source_category, count(*) AS row_count FROM pos"),
+    compose("""SELECT ['Category A', 'Category D', 'Mixed Categories', 'Unknown'][f5c_calendar_week % 4 + 1] AS source_category,
+        ['Category A', 'Category D', 'Mixed', 'Mixed'][f5c_calendar_week % 4 + 1] AS update_category, count(*) AS row_count FROM pos GROUP BY ALL"""),
 )
+def _(ws):
+    """Each file is labelled by its folder's name here, as Spark names the files themselves."""
+    named = F.element_at(F.array(*[F.lit(name) for name in FILE_NAMES]), F.col(WEEK) % 4 + 1)
+    tagged = ws.facts.withColumn("name", named)
+    labels = tagged.withColumns({"source_category": pos_files.source_label(F.col("name")), "update_category": pos_files.source_label(F.col("name"), update=True)})
+    return labels.groupBy("source_category", "update_category").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query("tag_loaded_files", compose("SELECT 'Unknown' AS source_category, count(*) AS row_count FROM pos"))
 def _(ws):
     drop = export_csv(ws.facts, ws.new_folder("drop"))
     tagged = pos_files.tag_source_file(pos_files.read_pos_csv(ws.spark, drop))
@@ -1196,6 +1260,48 @@ def _(ws):
     return dims.load_dimension(ws.spark, path, dims.CLIENT_FORECAST, ws.new_folder("forecast")).drop("vendor_stock_id")
 
 
+def _load(ws, frame: DataFrame, spec) -> DataFrame:
+    headers = {name: f" {name.replace('_', ' ').title()}" for name in spec.schema.fieldNames()}
+    return dims.load_dimension(ws.spark, _csv(ws, frame, headers), spec, ws.new_folder(spec.name))
+
+
+@query(
+    "load_items",
+    compose(f"SELECT {o.item_code('i')} AS f5c_item_number, {o.subcat('i')} AS subcategory, description, retail, 'A' AS item_status FROM t_code"),
+)
+def _(ws):
+    return _load(ws, ws.demo.items, dims.ITEMS).select(ITEM, "subcategory", "description", "retail", "item_status")
+
+
+@query("load_capacity", compose(f"SELECT {o.item_code('i')} AS item, CAST(i % 9 + 2 AS INTEGER) AS capacity FROM t_code"))
+def _(ws):
+    return _load(ws, ws.demo.capacity, dims.CAPACITY)
+
+
+@query("load_case_pack", compose("SELECT item_nbr, case_pack_qty FROM case_pack"))
+def _(ws):
+    return _load(ws, ws.tables.case_pack, dims.CASE_PACK).select("item_nbr", "case_pack_qty")
+
+
+@query(
+    "load_all_dimensions",
+    compose("""SELECT 'dim_stores' AS table_name, count(*) AS row_count FROM stores UNION ALL SELECT 'dim_items', count(*) FROM t_code
+      UNION ALL SELECT 'dim_capacity', count(*) FROM t_code UNION ALL SELECT 'dim_case_pack', count(*) FROM case_pack
+      UNION ALL SELECT 'fact_forecast_vendor', count(*) FROM weather"""),
+)
+def _(ws):
+    folder = ws.new_folder("dimensions")
+    given = (
+        (dims.STORES, ws.tables.stores), (dims.ITEMS, ws.demo.items), (dims.CAPACITY, ws.demo.capacity),
+        (dims.CASE_PACK, ws.tables.case_pack), (dims.WEATHER, ws.tables.weather),
+    )
+    for spec, frame in given:
+        frame.drop("week_imported").write.option("header", True).csv(f"{folder}/{spec.name}.csv")
+    loaded = dims.load_all_dimensions(ws.spark, folder, ws.new_folder("loaded"), week_date="2001-11-05")
+    counts = [frame.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count") for name, frame in loaded.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query("load_week_mapping", compose("SELECT ty_week, ly_week FROM weekmap"))
 def _(ws):
     path = _csv(ws, ws.tables.week_map, {"notes": "Notes", "ty_week": "TY Week", "ly_week": "LY Week"})

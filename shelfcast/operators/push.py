@@ -267,6 +267,12 @@ def style_cap_qa(sized: DataFrame, cap: str = "style_cap") -> DataFrame:
     )
 
 
+def style_cap_totals(qa: DataFrame) -> DataFrame:
+    """Grand totals of the cap report, over exact sums."""
+    exact = lambda name: F.sum(F.col(name).cast("decimal(20,6)")).cast("double").alias(name)
+    return qa.agg(F.count(F.lit(1)).alias("styles"), exact("raw_sum"), exact("after_cap_sum"), exact("style_cap"))
+
+
 def push_reason_trend(df: DataFrame, target_wos: float) -> DataFrame:
     return df.withColumn(
         "push_reason",
