@@ -5,7 +5,7 @@ Two lines match from a Jaccard similarity of ``threshold`` on; a line goes if an
 position) matches it, removed itself or not.  Lines of fewer than ``least`` different words stay.
 
 Lines of the same set are one node.  Two sets can match only if they share a word within the prefix of their rarest
-words; such pairs are cut down by length, by position, and by parity sketches of 64 bits (a set difference of d words
+words; such pairs are cut down by length, by position, and by a 128-bit parity sketch (a set difference of d words
 changes at most d bits), then verified on the words themselves.  All joins are semi-joins: they ask whether a match
 exists and never list the pairs of a group.
 """
@@ -24,8 +24,6 @@ BLANKS = r"[\x20\x09-\x0D]+"
 BUCKETS = 1 << 16
 #: Hash values that a broadcast filter ahead of an exchange holds at most.
 FILTER = 1 << 21
-#: Words from which on a line has a second sketch.
-SHORT = 60
 
 
 def _rarity(documents: DataFrame) -> str:
@@ -48,10 +46,14 @@ def _lines(documents: DataFrame) -> DataFrame:
     return documents.where("doc_id is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
 
 
-def _parity(words: Column, shift: int) -> Column:
-    """64 bits, each the parity of the words that fall on it."""
-    place = lambda word: (F.shiftright(word, shift) if shift else word).bitwiseAND(F.lit(63)).cast("int")
-    return F.aggregate(words, F.lit(0).cast("long"), lambda bits, word: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), place(word))))
+def _parity(words: Column, half: int) -> Column:
+    """64 of 128 bits, each the parity of the words that fall on it."""
+
+    def bit(word: Column) -> Column:
+        own = F.call_function("shiftleft", F.lit(1).cast("long"), word.bitwiseAND(F.lit(63)).cast("int"))
+        return F.when(word.bitwiseAND(F.lit(64)) == 64 * half, own).otherwise(F.lit(0).cast("long"))
+
+    return F.aggregate(words, F.lit(0).cast("long"), lambda bits, word: bits.bitwiseXOR(bit(word)))
 
 
 def _signed(documents: DataFrame, rarity: str, threshold: float, least: int) -> DataFrame:
@@ -61,7 +63,7 @@ def _signed(documents: DataFrame, rarity: str, threshold: float, least: int) ->
     prefix = n - F.ceil(threshold * n - 1e-9).cast("int") + 1
     return rows.select(
         "doc_id", "line", F.xxhash64("words").alias("h"), F.hash("words").alias("g"), n.alias("n"), _parity(F.col("words"), 0).alias("s"),
-        F.when(n > SHORT, _parity(F.col("words"), 32)).otherwise(F.lit(0)).alias("t"),
+        _parity(F.col("words"), 1).alias("t"),
         F.transform(F.slice("words", 1, prefix), lambda word: F.hash(word)).alias("prefix"),
     )
 
@@ -83,7 +85,7 @@ def _possible(threshold: float) -> str:
     return (
         f"least(x.n, y.n) >= {threshold} * greatest(x.n, y.n) - 1e-9"
         f" and least(x.p, y.p) + 1 + least(x.n - x.p, y.n - y.p) - 1 >= {need}"
-        f" and bit_count(x.s ^ y.s) <= {total} - 2 * {need} and (least(x.n, y.n) <= {SHORT} or bit_count(x.t ^ y.t) <= {total} - 2 * {need})"
+        f" and bit_count(x.s ^ y.s) + bit_count(x.t ^ y.t) <= {total} - 2 * {need}"
     )
 
 
@@ -94,6 +96,12 @@ def _verified(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
     return left.alias("x").join(right.alias("y"), F.expr(match), "left_semi").select("doc_id", "line").distinct()
 
 
+def _partners(near: DataFrame, later: DataFrame, threshold: float) -> DataFrame:
+    """The rows y that an x of ``later`` may match: only these need their words."""
+    possible = f"x.token = y.token and {_earlier('y', 'x')} and {_possible(threshold)}"
+    return near.alias("y").join(later.alias("x"), F.expr(possible), "left_semi")
+
+
 def repeated_lines(documents: DataFrame, threshold: float = 0.8, least: int = 5) -> DataFrame:
     """(doc_id, line): the lines (counted from 0) of ``documents`` (doc_id, text) that match an earlier one.
 
@@ -128,10 +136,10 @@ def repeated_lines(documents: DataFrame, threshold: float = 0.8, least: int = 5)
 
     # first by one shared word of each line; then those not yet proven, by all of them
     probe = later.groupBy("doc_id", "line").agg(F.min_by(F.struct("token", "n", "s", "t", "p"), "p").alias("own")).select("doc_id", "line", "own.*")
-    met = near.join(probe.select("token").distinct(), "token", "left_semi")
+    met = _partners(near, probe, threshold)
     first = materialise(_verified(probe.join(words, ["doc_id", "line"]), met.join(words, ["doc_id", "line"]), threshold))
     rest = later.join(first, ["doc_id", "line"], "left_anti")
-    met = near.join(rest.select("token").distinct(), "token", "left_semi")
+    met = _partners(near, rest, threshold)
     second = _verified(rest.join(words, ["doc_id", "line"]), met.join(words, ["doc_id", "line"]), threshold)
     return again.unionByName(first).unionByName(materialise(second)).distinct()
 
