@@ -26,7 +26,7 @@ from shelfcast.llm.codepoints import decode, span_hashes
 from shelfcast.llm.shared import chunks, map_batches, strings
 
 #: Pre-tokens in a block, and UTF-8 bytes of text handled at once.
-BLOCK_TOKENS, CHUNK_BYTES = 4_000_000, 1 << 20
+BLOCK_TOKENS, CHUNK_BYTES = 3_000_000, 1 << 20
 
 
 def _distinct(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
