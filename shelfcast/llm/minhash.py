@@ -224,11 +224,13 @@ def _possible_pairs(threshold: float):
                 for name in ("x", "y"):
                     own = batch.column(name)[row].values
                     sketch = np.frombuffer(b"".join(own.field("sketch").to_pylist()), dtype=np.uint8).reshape(len(own), -1)
-                    sides.append((own.field("id").to_numpy(), own.field("component").to_numpy(), sketch, own.field("weight").to_numpy()))
+                    sides.append((own.field("id").to_numpy(), own.field("component").to_numpy(), sketch, own.field("weight").to_numpy(), own.field("bands").flatten().to_numpy().reshape(len(own), -1)))
                 x, y = sides
                 fits = may_link((x[2], x[3]), (y[2], y[3]), threshold) & (x[1][:, None] != y[1][None, :])
                 a, b = np.nonzero(fits)
-                a, b = x[0][a], y[0][b]
+                # of the buckets that two documents share, only the first gives the pair
+                first = (x[4][a] == y[4][b]).argmax(axis=1) == batch.column("band")[row].as_py()
+                a, b = x[0][a[first]], y[0][b[first]]
                 yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     return run
@@ -281,10 +283,10 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8, key: str = "do
     mixed = own.groupBy("band", "bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).where("x <> y").select("band", "bucket", "n")
     blocks = F.ceil(F.col("n") / TILE).cast("int")
     mixed = mixed.withColumn("blocks", blocks).drop("n")
-    apart = own.join(mixed, ["band", "bucket"]).join(signed.select("id", "sketch", "weight"), "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    packed = apart.groupBy("band", "bucket", "block").agg(F.collect_list(F.struct("id", "component", "sketch", "weight")).alias("own"))
+    apart = own.join(mixed, ["band", "bucket"]).join(signed.select("id", "bands", "sketch", "weight"), "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    packed = apart.groupBy("band", "bucket", "block").agg(F.collect_list(F.struct("id", "component", "bands", "sketch", "weight")).alias("own"))
     both = packed.select("band", "bucket", F.col("block").alias("i"), F.col("own").alias("x")).join(packed.select("band", "bucket", F.col("block").alias("j"), F.col("own").alias("y")), ["band", "bucket"])
-    ordered = map_batches(both.where("i <= j").select("x", "y"), _possible_pairs(threshold), "a long, b long").distinct()
+    ordered = map_batches(both.where("i <= j").select("band", "x", "y"), _possible_pairs(threshold), "a long, b long").distinct()
     second = _near(rows, materialise(ordered.join(stars, ["a", "b"], "left_anti")), sketch, threshold)
     grouped = components(links.unionByName(second))
     named = classes_.join(grouped.withColumnRenamed("node", "least"), "least", "left").select("digest", F.coalesce("component", "least").alias("class_id"), "copies")
