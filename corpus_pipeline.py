@@ -25,7 +25,7 @@ def in_a_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents without lines that nearly repeat an earlier one; n_chars follows the text, emptied documents stay."""
-    cut = lines.drop_repeated_lines(docs)
+    cut = lines.drop_repeated_lines(docs, least=1)
     return cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 

@@ -2,10 +2,10 @@
 
 A line is the set of its words (``[^\\x20\\x09-\\x0D]+``), ordered from rare to frequent by counts over all documents.
 Two lines match from a Jaccard similarity of ``threshold`` on; a line goes if any earlier line (by doc_id, then
-position) matches it, removed itself or not.  Lines of fewer than ``least`` different words stay.
+position) matches it, removed itself or not.  Lines of fewer than ``least`` different words stay; with 1, only those without a word.
 
-Lines of the same set are one node.  Two sets can match only if they share a word within the prefix of their rarest
-words; such pairs are cut down by length, by position, and by a 128-bit parity sketch (a set difference of d words
+Lines of the same set are one node.  Sets too small to match any but an equal one (1 to 3 words at 0.8) go no further.
+Two other sets can match only if they share a word within the prefix of their rarest words; such pairs are cut down by length, by position, and by a 128-bit parity sketch (a set difference of d words
 changes at most d bits), then verified on the words themselves.  All joins are semi-joins: they ask whether a match
 exists and never list the pairs of a group.
 """
@@ -111,15 +111,17 @@ def repeated_lines(documents: DataFrame, threshold: float = 0.8, least: int = 5)
     rarity = _rarity(rows)
     signed = materialise(_signed(rows, rarity, threshold, least))
 
-    # lines of the same set: the earliest stands for all
+    # lines of the same set, of any size: the earliest stands for all
     sets = materialise(signed.groupBy("h", "g", "n").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("lines")).where("lines > 1").select("h", "g", "n", "first.*"))
     shared = _likely(signed, sets, "h", "g", "n")
     again = shared.alias("x").join(sets.alias("y"), F.expr(f"x.h = y.h and x.g = y.g and x.n = y.n and {_earlier('y', 'x')}"), "left_semi").select("doc_id", "line").distinct()
     again = materialise(again)
     cell = F.pmod(F.xxhash64("doc_id", "line"), F.lit(FILTER))
     marks = again.select(cell.alias("_cell")).distinct()
-    single = signed.withColumn("_cell", cell).join(F.broadcast(marks), "_cell", "left_anti").drop("_cell")
-    doubtful = _likely(signed, again, "doc_id", "line").join(again, ["doc_id", "line"], "left_anti")
+    # n words match n of n + 1 from this size on; smaller sets match equal ones only
+    able = signed.where(F.col("n") * (1 - threshold) >= threshold - 1e-9)
+    single = able.withColumn("_cell", cell).join(F.broadcast(marks), "_cell", "left_anti").drop("_cell")
+    doubtful = _likely(able, again, "doc_id", "line").join(again, ["doc_id", "line"], "left_anti")
     leaders = single.unionByName(doubtful)
 
     # lines that share a word of their prefixes with a line that they may match

@@ -79,7 +79,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_removed", "text")
+    return lines.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), least=1).select("doc_id", "n_lines", "n_removed", "text")
 
 
 def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

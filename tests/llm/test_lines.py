@@ -4,7 +4,8 @@ import duckdb
 import pandas as pd
 import pytest
 
-from shelfcast.llm import lines, quality
+import corpus_pipeline
+from shelfcast.llm import lines, quality, queries
 
 
 def twin(rows, sql, **tables):
@@ -71,3 +72,26 @@ def test_no_python_in_the_plan(frame):
     for found in frames:
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def short_lines(seed, documents=40):
+    """Lines of one to six words out of few, so that most of them repeat or nearly repeat another."""
+    chance = random.Random(seed)
+    line = lambda: " ".join(chance.choice("abcdefg") for _ in range(chance.randint(0, 6)))
+    return [(number, "\n".join(line() for _ in range(chance.randint(0, 5)))) for number in range(documents)]
+
+
+@pytest.mark.parametrize("rows", [short_lines(1), corpus(4)])
+def test_lines_of_few_words_equal_all_pairs(frame, rows):
+    found = lines.drop_repeated_lines(frame(rows, "doc_id long, text string"), least=1).select("doc_id", "n_lines", "n_removed", "text").collect()
+    assert sorted(map(tuple, found)) == sorted(twin(rows, lines.oracle_sql(least=1)).fetchall())
+
+
+def test_query_and_pipeline_remove_lines_of_few_words(spark, frame, tmp_path):
+    texts = ["Home\nRead more\none two three four", "one two three four five\nRead more\n\nHome page", "Home\n-- x --\nRead  more"]
+    rows = [(number, text, len(text)) for number, text in enumerate(texts, 1)]
+    frame(rows, "doc_id long, text string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    expected = {1: rows[0][1], 2: "\nHome page", 3: "-- x --"}
+    assert {row["doc_id"]: row["text"] for row in queries.op9_line_dedup(spark, str(tmp_path)).collect()} == expected
+    docs = corpus_pipeline.without_repeated_lines(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    assert {row["doc_id"]: (row["text"], row["n_chars"]) for row in docs.collect()} == {key: (text, len(text)) for key, text in expected.items()}
