@@ -3,11 +3,14 @@
 A text is the set of its letter n-grams (n = 1 to 4, words set off by a blank), hashed to ``DIMENSIONS`` bits.  The
 kernel of two texts is the number of bits they share over the geometric mean of their own numbers.  ``LANDMARKS``
 labelled texts span the Nyström feature space; one-versus-rest ridge regression in it gives a weight for each language
-and landmark.  Texts are scored in batches: presence matrix times landmark matrix, times weights.
+and landmark.  Texts are scored in batches: presence matrix times landmark matrix, times weights.  A text of more than
+``SEGMENT`` characters is cut into equal segments, since the bits of a very long one would all be set; its scores are the
+means over all segments that have a letter.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,11 +24,14 @@ from shelfcast.llm.codepoints import LETTER, classes, decode, mix
 from shelfcast.llm.shared import chunks, map_batches, strings
 
 DIMENSIONS, LANDMARKS = 8192, 160
-#: Labelled documents of a language that the regression is fitted on at most, taken by a hash of their id.
+#: Characters of a segment at most, and segments that are scored at once.
+SEGMENT, _TOGETHER = 8192, 256
+#: Labelled segments of a language that the regression is fitted on at most, of different documents first, taken by a hash.
 SAMPLE = 600
 ORDERS = (1, 2, 3, 4)
-#: Languages that can be told apart at most; the most frequent ones of the labels are kept apart.
+#: Languages up to which each gets the whole sample; of more, all are learned from smaller samples.
 LANGUAGES = 200
+_LETTER = re.compile(r"[^\W\d_]")
 _tables: dict[str, np.ndarray] = {}
 
 
@@ -67,6 +73,12 @@ def presence(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return matrix / np.maximum(np.sqrt(matrix.sum(axis=1, keepdims=True)), 1), has
 
 
+def segments(text: str) -> list[str]:
+    """The whole text in parts of about the same length, of ``SEGMENT`` characters at most."""
+    size = -(-len(text) // max(1, -(-len(text) // SEGMENT)))
+    return [text[at : at + size] for at in range(0, len(text), size)] if text else [""]
+
+
 @dataclass
 class Languages:
     """Names in order, landmark matrix, and the weight of each landmark for each language."""
@@ -77,10 +89,18 @@ class Languages:
 
     def rate(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Best language, its share of the softened scores, and whether each text has a letter."""
-        matrix, has = presence(texts)
-        scores = (matrix @ self.landmarks.T) @ self.weights
-        if scores.shape[1] == 0:
+        if self.weights.shape[1] == 0:
             return np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts)), np.zeros(len(texts), dtype=bool)
+        parts = [segments(text) for text in texts]
+        owner = np.repeat(np.arange(len(texts)), [len(own) for own in parts])
+        every = [part for own in parts for part in own]
+        scores, count = np.zeros((len(texts), self.weights.shape[1])), np.zeros(len(texts), dtype=np.int64)
+        for at in range(0, len(every), _TOGETHER):
+            matrix, letters = presence(every[at : at + _TOGETHER])
+            own = owner[at : at + _TOGETHER][letters]
+            np.add.at(scores, own, ((matrix @ self.landmarks.T) @ self.weights)[letters])
+            np.add.at(count, own, 1)
+        scores, has = scores / np.maximum(count, 1)[:, None], count > 0
         raised = np.exp(6 * (scores - scores.max(axis=1, keepdims=True)))
         return scores.argmax(axis=1), (raised / raised.sum(axis=1, keepdims=True)).max(axis=1), has
 
@@ -105,24 +125,35 @@ def _fit(texts: list[str], labels: list[str], landmarks: int, ridge: float) -> L
     return Languages(names, marks.astype(np.float32), (root @ solution).astype(np.float32))
 
 
-def learn(documents: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS, ridge: float = 0.1, longest: int = 20_000) -> Languages:
-    """A model from the documents (doc_id, text, lang) that have a language and a text with a letter.
+def learn(documents: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS, ridge: float = 0.1) -> Languages:
+    """A model of all languages of the documents (doc_id, text, lang) that have a language and a text with a letter.
 
-    At most ``sample`` documents of each of the ``LANGUAGES`` most frequent languages are read, and of those only
-    texts of up to ``longest`` characters (longer ones are scored whole, but not learned from).
+    At most ``sample`` segments of each language are learned from, less if there are more than ``LANGUAGES``: one of
+    each document by a hash, and more of a document only if there are too few others.
     """
     rows = documents.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("doc_id", "text").alias("order"))
-    often = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not often:
+    found = rows.groupBy("lang").count().collect()
+    if not found:
         return Languages([], np.zeros((0, DIMENSIONS), dtype=np.float32), np.zeros((0, 0), dtype=np.float32))
+    sample = max(1, sample * LANGUAGES // max(LANGUAGES, len(found)))
     # about eight times the sample of each language by the hash's least values, then exactly the sample
-    cut = F.lit(None).cast("long")
-    for language in often:
-        share = min(1.0, 8.0 * sample / language["count"])
-        cut = F.when(F.col("lang") == language["lang"], F.lit(int(-(2**63) + share * (2**64 - 2048)))).otherwise(cut)
-    few = rows.where(F.col("order") <= cut).where((F.length("text") <= longest) & F.col("text").rlike(r"\p{L}")).distinct()
-    ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("order", "text"))).where(F.col("rank") <= sample)
-    taken = ranked.select("lang", "order", "text").orderBy("lang", "order", "text").collect()
+    cuts = [(row["lang"], int(-(2**63) + min(1.0, 8.0 * sample / row["count"]) * (2**64 - 2048))) for row in found]
+    few = rows.join(F.broadcast(documents.sparkSession.createDataFrame(cuts, "lang string, cut long")), "lang").where("order <= cut")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text", 1 << 20):
+            for lang, order, text in zip(*(batch.column(name).to_pylist() for name in ("lang", "order", "text")), strict=True):
+                parts = [part for part in segments(text) if _LETTER.search(part)]
+                if not parts:
+                    continue
+                # the segment of turn 0 is any one by the hash; no document can give more than the sample
+                turns = range(min(len(parts), sample))
+                own = [parts[(order + turn) % len(parts)] for turn in turns]
+                yield pa.record_batch([pa.array([lang] * len(own), pa.string()), pa.array([order] * len(own), pa.int64()), pa.array(turns, pa.int32()), pa.array(own, pa.string())], ["lang", "order", "turn", "text"])
+
+    pieces = map_batches(few.select("lang", "order", "text"), cut, "lang string, order long, turn int, text string").distinct()
+    ranked = pieces.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("turn", "order", "text"))).where(F.col("rank") <= sample)
+    taken = ranked.select("lang", "turn", "order", "text").orderBy("lang", "turn", "order", "text").collect()
     texts, labels = [row["text"] for row in taken], [row["lang"] for row in taken]
     if not texts:
         return Languages([], np.zeros((0, DIMENSIONS), dtype=np.float32), np.zeros((0, 0), dtype=np.float32))

@@ -71,3 +71,29 @@ def test_nothing_to_learn_toxicity_from(frame):
         lexicon = toxicity.learn(rows, frame(labels, "doc_id long, toxic int"))
         assert all(row["score"] < 0.3 for row in toxicity.score(rows, lexicon).collect())
     assert toxicity.score(frame([], "doc_id long, text string"), lexicon).count() == 0
+
+
+def dense(name, chance, letters):
+    """Words of the same twelve letters, as often as the language has them: any four of them meet in a long text."""
+    order = random.Random(name).sample("abcdefghijkl", 12)
+    return "".join(chance.choices([*order, " "], [*(1 / (k + 1) for k in range(12)), 0.6], k=letters))
+
+
+def test_very_long_texts_keep_their_language(frame):
+    chance = random.Random(5)
+    names = ("aa", "bb", "cc", "dd")
+    model = language.learn(frame([(k, dense(name, chance, 1000), name) for k in range(60) for name in names], "doc_id long, text string, lang string"))
+    best, share, _ = model.rate([dense(name, chance, letters) for letters in (3000, 1_000_000) for name in names])
+    assert [model.names[k] for k in best] == [*names, *names]
+    assert (abs(share[4:] - share[:4]) < 0.1).all() and (share[4:] >= 0.4).all()
+    best, share, has = model.rate(["1" * 30_000 + dense("bb", chance, 9000), "", "2" * 20_000])
+    assert model.names[best[0]] == "bb" and has.tolist() == [True, False, False]
+
+
+def test_long_labelled_texts_and_all_languages_are_learned(frame, monkeypatch):
+    monkeypatch.setattr(language, "LANGUAGES", 2)
+    chance = random.Random(6)
+    rows = [(k, dense(name, chance, 60_000 if name == "aa" else 1000), name) for k in range(8) for name in ("aa", "bb", "cc", "dd")]
+    model = language.learn(frame(rows, "doc_id long, text string, lang string"))
+    assert model.names == ["aa", "bb", "cc", "dd"]
+    assert [model.names[k] for k in model.rate([dense(name, chance, 4000) for name in model.names])[0]] == model.names
