@@ -71,7 +71,7 @@ def fold(texts: list[str]) -> list[str]:
     next_solid = np.minimum.accumulate(np.where(sign, len(points) - 1, places)[::-1])[::-1]
     last_solid = np.maximum.accumulate(np.where(sign, 0, places))
     after, before = letter[next_solid], letter[last_solid]
-    read = sign & (after | digit & before) & (next_solid - places <= 3)
+    read = sign & (after | digit & before)
     folded = np.where(read, inside[points], folded)
     blank = folded == _BLANK
     keep = folded != _DROP

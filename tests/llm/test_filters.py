@@ -45,6 +45,11 @@ def test_folding():
     assert toxicity.fold(given) == [" idiot stupid stuff the 2024 ai ", " scum clown idiot ", " ", " é à b ", " "]
 
 
+def test_folding_of_long_runs_of_signs():
+    given = ["b4574rd 455455in", "a45745745", "2024 45745 $$$$$ ok"]
+    assert toxicity.fold(given) == [" bastard assassin ", " aastastas ", " 2024 45745 ok "]
+
+
 def test_lexicon_finds_disguised_words_and_spares_exceptions(frame):
     chance = random.Random(3)
     plain = lambda: " ".join(chance.choice("alpha beta gamma delta omega river stone cloud".split()) for _ in range(30))
