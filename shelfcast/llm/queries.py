@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import html, language, lines, minhash, packing, quality, shards, tokens, toxicity, vectors
+from shelfcast.llm import conversations, html, language, lines, minhash, negatives, neighbours, packing, quality, shards, tokens, toxicity, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,10 +86,32 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"), 0.93)
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    repaired = conversations.summarise(conversations.repair(conversations.damage(turns))).withColumnRenamed("conv_id", "key")
+    whole = turns.select("conv_id").distinct().join(repaired, F.col("conv_id").eqNullSafe(F.col("key")), "left")
+    numbers = [F.coalesce(name, F.lit(0).cast("long")).alias(name) for name in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return whole.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
+
+
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), "embedding")
+    return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_minhash, op2_main_text, op3_quality_rules, op4_toxicity, op5_histogram_sort, op6_language, op7_byte_bpe, op8_packing, op9_line_dedup, op10_near_vectors)
+    found = (
+        op1_minhash, op2_main_text, op3_quality_rules, op4_toxicity, op5_histogram_sort, op6_language, op7_byte_bpe, op8_packing, op9_line_dedup,
+        op10_near_vectors, op11_conversations, op12_neighbours, op13_hard_negatives,
+    )
     return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": quality.oracle_sql(), "op9_line_dedup": lines.oracle_sql()}
+    return {"op3_quality_rules": quality.oracle_sql(), "op9_line_dedup": lines.oracle_sql(least=1), "op13_hard_negatives": negatives.oracle_sql()}
