@@ -43,15 +43,16 @@ def top(scores: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(chosen)
 
 
-def meet(rows: DataFrame, visitors: DataFrame, prepare: Callable, work: Callable, schema: str) -> DataFrame:
+def meet(rows: DataFrame, visitors: DataFrame, prepare: Callable, work: Callable, schema: str, combine: Callable = iter) -> DataFrame:
     """``work(block, visitors)`` for every ``block`` number, where ``block = prepare(rows of that number)``.
 
     Rows and visitors (of equal columns, ``block`` among them) are dealt by block and sorted so that a block's rows
-    come first: one block is held at a time, its visitors pass by in batches.
+    come first: one block is held at a time, its visitors pass by in batches.  ``combine`` may reduce the batches that
+    a task makes before they are shuffled.
     """
     both = rows.withColumn("side", F.lit(0)).unionByName(visitors.withColumn("side", F.lit(1)), allowMissingColumns=True)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, ready = None, [], None
         for batch in batches:
             block, side = longs(batch, "block"), longs(batch, "side")
@@ -69,4 +70,7 @@ def meet(rows: DataFrame, visitors: DataFrame, prepare: Callable, work: Callable
                         ready, held = prepare(pa.Table.from_batches(held)), []
                     yield from work(ready, part)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return combine(met(batches))
+
     return map_batches(both.repartition("block").sortWithinPartitions("block", "side"), run, schema)

@@ -9,6 +9,8 @@ import numpy as np
 
 #: Sampled rows that a leaf of the learned trees holds at least.
 LEAF_SAMPLE = 32
+#: What a visit costs besides its comparisons, as a number of rows compared: a query is sent, the best of a leaf return.
+VISIT_ROWS = 1024
 
 
 @dataclass
@@ -90,39 +92,56 @@ class Forest:
         return out
 
 
-def learn(sample: np.ndarray, rows: int, neighbours: int, trees: int, leaf_rows: int, seed: int = 7) -> Forest:
-    """A forest for ``rows`` rows like the sampled ones, with about ``leaf_rows`` in a leaf.
+def _cut(tree: Tree, depth: int) -> Tree:
+    """The upper levels of a tree."""
+    count = (1 << depth) - 1
+    return Tree(tree.directions[:count], tree.thresholds[:count], tree.spreads[:count], depth)
 
-    A leaf holds at least LEAF_SAMPLE sampled rows, so that very large tables have larger leaves.  The steepness is the
-    likeliest for the nearest sampled rows of 256 sampled queries; in the whole table neighbours lie nearer, so that the
-    search errs to more leaves.
+
+def _steepness(margins: np.ndarray) -> float:
+    """The likeliest steepness for margins of queries on the sides of their neighbours."""
+    grid = np.geomspace(0.05, 50, 80)
+    return float(min(grid, key=lambda steep: np.logaddexp(0, -steep * margins).sum()))
+
+
+def learn(sample: np.ndarray, rows: int, neighbours: int, trees: int, leaf_rows: int, wanted: float, seed: int = 7) -> Forest:
+    """A forest for ``rows`` rows like the sampled ones.
+
+    Trees are grown until leaves would hold ``leaf_rows`` rows, or fewer than LEAF_SAMPLE sampled ones, and cut where
+    the search of sampled queries costs least: each visit costs the rows of the leaf and VISIT_ROWS.  Vectors without
+    clusters need a share of all rows whatever the depth and get few, large leaves.  The steepness is the likeliest for
+    the nearest sampled rows of 256 sampled queries; in the whole table neighbours lie nearer, so that the search errs
+    to more leaves.
     """
     sample = sample.astype(np.float32)
-    depth = 0
-    while (rows >> depth) > leaf_rows and (len(sample) >> depth + 1) >= LEAF_SAMPLE:
-        depth += 1
-    if not depth:
-        trees = 1
+    most = 0
+    while (rows >> most) > leaf_rows and (len(sample) >> most + 1) >= LEAF_SAMPLE:
+        most += 1
+    if not most:
+        return Forest([grow(sample, 0, np.random.default_rng(seed))], 1.0)
     chance = np.random.default_rng(seed)
-    forest = Forest([grow(sample, depth, chance) for _ in range(trees)], 1.0)
-    if not depth:
-        return forest
+    grown = [grow(sample, most, chance) for _ in range(trees)]
     queries = np.arange(0, len(sample), max(1, len(sample) // 256))
     scores = sample[queries] @ sample.T
     scores[np.arange(len(queries)), queries] = -np.inf
     near = max(1, round(neighbours * len(sample) / rows))
     nearest = np.argpartition(-scores, near - 1, axis=1)[:, :near]
     asked, found = np.repeat(queries, near), nearest.ravel()
-    margins = []
-    for tree in forest.trees:
+    margins = np.empty((trees, most, len(found)))
+    for k, tree in enumerate(grown):
         node = np.zeros(len(found), dtype=np.int64)
-        for _ in range(depth):
+        for level in range(most):
             line, at = tree.directions[node], tree.thresholds[node]
             right = np.einsum("ij,ij->i", sample[found], line) >= at
             margin = (np.einsum("ij,ij->i", sample[asked], line) - at) / tree.spreads[node]
-            margins.append(np.where(right, margin, -margin))
+            margins[k, level] = np.where(right, margin, -margin)
             node = 2 * node + 1 + right
-    together = np.concatenate(margins).astype(np.float64)
-    grid = np.geomspace(0.05, 50, 80)
-    forest.steepness = float(min(grid, key=lambda steep: np.logaddexp(0, -steep * together).sum()))
-    return forest
+    best: tuple[float, Forest] | None = None
+    for depth in range(1, most + 1):
+        forest = Forest([_cut(tree, depth) for tree in grown], _steepness(margins[:, :depth].ravel()))
+        chances = forest.sides(sample[queries[::8]])
+        visits = sum(len(forest.visits([chance[row] for chance in chances], wanted)) for row in range(len(queries[::8])))
+        cost = visits * ((rows >> depth) + VISIT_ROWS)
+        if best is None or cost < best[0]:
+            best = cost, forest
+    return best[1]

@@ -20,10 +20,12 @@ from shelfcast.llm.shared import map_batches, materialise, ship_code
 
 #: The index is learned from so many vectors at most, and from so many bytes of them.
 SAMPLE, SAMPLE_BYTES = 65536, 16 << 20
-#: Trees, rows that a leaf is meant to hold, and the probability with which a neighbour is to be met.
+#: Trees, rows that a leaf holds at least (about), and the probability with which a neighbour is to be met.
 TREES, LEAF_ROWS, WANTED = 8, 1024, 0.96
 #: Rows of a block: a larger leaf is compared in several.
 BLOCK_ROWS = 32768
+#: Results that a task holds to combine those of the same query.
+HELD_ROWS = 400_000
 _QUERIES = 256
 #: Block numbers: tree, leaf and part of a leaf; vectors of another length than most are in one leaf per length.
 _PARTS, _LEAVES = 20, 20
@@ -116,6 +118,38 @@ def _best(count: int):
     return work
 
 
+def _combined(count: int):
+    """The ``count`` best of each query among the rows that a task has made, kept in HELD_ROWS rows."""
+
+    def least(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        query, other, score = longs(rows, "query"), longs(rows, "id"), longs(rows, "score")
+        order = np.lexsort((other, -score, query))
+        query, other, score = query[order], other[order], score[order]
+        once = np.ones(len(query), dtype=bool)  # a row that was met in several trees has the same score in all
+        once[1:] = (query[1:] != query[:-1]) | (other[1:] != other[:-1])
+        query, other, score = query[once], other[once], score[once]
+        place = np.arange(len(query)) - np.searchsorted(query, query, "left")
+        best = place < count
+        return pa.RecordBatch.from_arrays([pa.array(query[best]), pa.array(other[best]), pa.array(score[best])], names=["query", "id", "score"])
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, amount = [], 0
+        for batch in batches:
+            held.append(batch)
+            amount += batch.num_rows
+            if amount > HELD_ROWS:
+                held = [least(held)]
+                amount = held[0].num_rows
+                if amount > HELD_ROWS // 2:
+                    yield held.pop()
+                    amount = 0
+        if held:
+            yield least(held)
+
+    return combine
+
+
 def nearest(
     rows: DataFrame, queries: F.Column, neighbours: int = 20, key: str = "vec_id", vector: str = "embedding",
     trees: int = TREES, leaf_rows: int = LEAF_ROWS, wanted: float = WANTED, sample_rows: int = SAMPLE,
@@ -143,7 +177,7 @@ def nearest(
     size = min(sample_rows, max(1, SAMPLE_BYTES // (4 * width)))
     learned = classes.where(F.col("width") == width).select("id", "vector").orderBy(F.xxhash64("id"), "id").limit(size).select("vector").toArrow()
     sample = matrix(learned.column("vector")) if amount else np.ones((1, 1), dtype=np.float32)
-    grown = forest.learn(sample, max(1, amount), neighbours, trees, leaf_rows)
+    grown = forest.learn(sample, max(1, amount), neighbours, trees, leaf_rows, wanted)
     indexed = classes.select("id", "vector", "width")
     counts = map_batches(indexed, _counted(grown, width), "leaf long, n long").groupBy("leaf").agg(F.sum("n").alias("n"))
     parts = {leaf: -(-n // BLOCK_ROWS) for leaf, n in counts.collect()}
@@ -153,7 +187,7 @@ def nearest(
     members_asked = materialise(members_asked.select("query_id", "query"))
     asked = indexed.join(members_asked.select(F.col("query").alias("id")).distinct(), "id", "left_semi")
     visiting = map_batches(asked, _visiting(grown, width, parts, wanted), placed.schema)
-    found = meet(placed, visiting, _block, _best(neighbours + 1), "query long, id long, score double")
+    found = meet(placed, visiting, _block, _best(neighbours + 1), "query long, id long, score double", _combined(neighbours + 1))
 
     nearest_first = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     best = found.groupBy("query", "id").agg(F.max("score").alias("score")).withColumn("place", F.row_number().over(nearest_first)).where(F.col("place") <= neighbours + 1)

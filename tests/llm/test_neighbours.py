@@ -89,7 +89,7 @@ def test_clashing_columns_and_no_rows(frame):
 
 def test_leaves_partition_the_rows():
     rows = np.random.default_rng(6).normal(size=(500, 8)).astype(np.float32)
-    learned = forest.learn(rows, 500, 10, 3, 40)
+    learned = forest.learn(rows, 500, 10, 3, 40, 0.95)
     for tree in learned.trees:
         assert set(tree.leaves(rows)) == set(range(1 << tree.depth))
     every = learned.visits([chances[0] for chances in learned.sides(rows[:1])], 1.1)
