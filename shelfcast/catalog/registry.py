@@ -32,10 +32,11 @@ from shelfcast.plans import trend_push as trend
 from shelfcast.plans import weather_push as weather
 from shelfcast.plans.kpi_report import weekly_productivity, weekly_productivity_all
 from shelfcast.plans.runner import run_all, run_all_details, run_category
+from shelfcast.plans.tables import PushReport
 from shelfcast.schemas import CATEGORY_A, FACT_KEY, GENERAL, ITEM, KEY, SOURCE, STORE, STYLE, STYLE_KEY, SUBCATEGORY, UNITS, WEEK
 from shelfcast.sources import dimensions as dims
 from shelfcast.sources import fact_store, pos_files
-from shelfcast.sources.reports import write_report
+from shelfcast.sources.reports import write_push_report, write_report
 from shelfcast.streaming.weekly import stream_weekly_updates
 
 
@@ -254,6 +255,48 @@ def _(ws):
     return cal.latest_week(ws.facts)
 
 
+def _week_index(week: str) -> str:
+    return f"({week}//100*52 + {week}%100 - 1)"
+
+
+@query(
+    "calendar_dimension",
+    compose(f"""SELECT CAST(y*100 + s AS INTEGER) AS week, CAST({_week_index('(y*100 + s)')} AS INTEGER) AS week_idx
+      FROM (SELECT min(w)//100 - 2 AS a, max(w)//100 + 2 AS b FROM (SELECT f5c_calendar_week AS w FROM pos UNION SELECT ty_week FROM weekmap UNION SELECT ly_week FROM weekmap)),
+        range(1, 53) t(s), range(1900, 2200) u(y) WHERE y BETWEEN a AND b"""),
+)
+def _(ws):
+    return cal.calendar_dimension(ws.facts, ws.tables.week_map)
+
+
+SPANS_SQL = f"""SELECT *, coalesce((SELECT ly_week FROM weekmap WHERE ty_week = target_week), target_week - 100) AS ly_now,
+    coalesce((SELECT ly_week FROM weekmap WHERE ty_week = {o.shift('target_week', -12)}), {o.shift('target_week', -12)} - 100) AS ly_first
+  FROM (SELECT DISTINCT f5c_calendar_week AS target_week FROM pos)"""
+WINDOWS_SQL = f"""SELECT target_week, "window", CAST(p AS INTEGER) AS position, CAST({o.shift('w', 'p')} AS INTEGER) AS week FROM (
+    SELECT target_week, "window", CASE WHEN "window" LIKE 'ly%' THEN ly_now ELSE target_week END AS w, unnest(range(a, b + 1)) AS p FROM (
+      SELECT target_week, ly_now, "window", a, b FROM spans, (VALUES ('ty13', -12, 0), ('ty52', -51, 0), ('check', -25, 0), ('recent', -4, -1), ('ly_window', -3, 2), ('ly_pair', 0, 1)) v("window", a, b)
+      UNION ALL SELECT target_week, ly_now, 'ly13', {_week_index('ly_first')} - {_week_index('ly_now')}, 0 FROM spans))"""
+
+
+@query("week_windows_all_targets", compose("SELECT * FROM windows_of", {"spans": SPANS_SQL, "windows_of": WINDOWS_SQL}))
+def _(ws):
+    """Every window of every week of the facts as a target, in one plan."""
+    dimension = cal.calendar_dimension(ws.facts, ws.tables.week_map)
+    return cal.target_windows(ws.facts.select(F.col(WEEK).alias("target_week")), dimension, ws.tables.week_map)
+
+
+@query(
+    "rolling_units_all_targets",
+    compose("""SELECT target_week, "window", subcategory_number, CAST(sum(u) AS BIGINT) AS units, count(*) AS weeks
+      FROM windows_of JOIN (SELECT f5c_calendar_week, subcategory_number, sum(pos_quantity_this_year) AS u FROM pos GROUP BY ALL) ON f5c_calendar_week = week GROUP BY ALL""",
+      {"spans": SPANS_SQL, "windows_of": WINDOWS_SQL}),
+)
+def _(ws):
+    dimension = cal.calendar_dimension(ws.facts, ws.tables.week_map)
+    windows = cal.target_windows(ws.facts.select(F.col(WEEK).alias("target_week")), dimension, ws.tables.week_map)
+    return cal.windowed_units(ws.facts, windows, [SUBCATEGORY], UNITS)
+
+
 @query(
     "week_windows",
     compose(f"""SELECT f5c_calendar_week, CAST(f5c_calendar_week//100*52 + f5c_calendar_week%100 - 1 AS INTEGER) AS week_idx,
@@ -1202,6 +1245,71 @@ def _(ws):
     return fact_store.read_pos_all(ws.spark, table).select(LOADED)
 
 
+@query(
+    "fact_versions",
+    compose("""SELECT f5c_calendar_week, CAST(sum(CASE WHEN f5c_calendar_week < latest THEN pos_quantity_this_year END) AS BIGINT) AS units_before,
+      CAST(sum(CASE WHEN f5c_calendar_week >= w2 THEN pos_quantity_this_year + 7 ELSE pos_quantity_this_year END) AS BIGINT) AS units_after
+      FROM pos, per GROUP BY 1"""),
+)
+def _(ws):
+    """The version before an upsert, opened before and read after it, beside the newest."""
+    table = ws.new_folder("table")
+    old, fresh = weekly_change(ws)
+    fact_store.append_facts(pos_files.conform(old), table)
+    before = fact_store.read_facts(ws.spark, table)
+    fact_store.merge_facts(ws.spark, table, pos_files.conform(fresh))
+    units = lambda frame, name: frame.groupBy(WEEK).agg(F.sum(UNITS).alias(name))
+    return units(fact_store.read_facts(ws.spark, table), "units_after").join(units(before, "units_before"), WEEK, "left")
+
+
+@query("upsert_replayed_batch", compose(f"SELECT {out(*KEYS)}, {CORRECTED.replace('+ 7', '+ 8')} AS pos_quantity_this_year FROM pos, per"))
+def _(ws):
+    """A batch, a correction of it, and the batch again: the correction stays."""
+    table = ws.new_folder("table")
+    old, fresh = weekly_change(ws)
+    fact_store.append_facts(pos_files.conform(old), table)
+    fact_store.merge_facts(ws.spark, table, pos_files.conform(fresh), batch=("drops", 0))
+    fact_store.merge_facts(ws.spark, table, pos_files.conform(fresh.withColumn(UNITS, F.col(UNITS) + 1)))
+    fact_store.merge_facts(ws.spark, table, pos_files.conform(fresh), batch=("drops", 0))
+    return fact_store.read_facts(ws.spark, table).select(*FACT_KEY, UNITS)
+
+
+@query("stored_weeks", compose("SELECT f5c_calendar_week, source_table, count(*) AS row_count FROM pos GROUP BY ALL"))
+def _(ws):
+    """Rows by week and source from partition values and footers: no column is read."""
+    return ws.facts.groupBy(WEEK, SOURCE).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+DAMAGED = "(CAST(store_number AS INTEGER) + f5c_calendar_week) % 7 = 0"
+
+
+def export_damaged_csv(ws, folder: str) -> list[str]:
+    """A file folder for each year, in which the lines of some stores have a field too many."""
+    columns = [c for c in ws.facts.columns if c != SOURCE]
+    cells = [F.concat(F.lit('"'), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit('"')) for c in columns]
+    line = F.concat_ws(",", *cells, F.when(F.expr(DAMAGED), F.lit('"more, and more"')))
+    year = F.floor(F.col(WEEK) / 100).alias("year")
+    rows = ws.facts.select(year, F.lit(1).alias("place"), line.alias("value"))
+    heads = ws.facts.select(year).distinct().select("year", F.lit(0).alias("place"), F.lit(",".join(columns)).alias("value"))
+    both = rows.unionByName(heads).repartition("year").sortWithinPartitions("year", "place")
+    both.select("year", "value").write.partitionBy("year").text(folder)
+    return [f"{folder}/year={row['year']}" for row in heads.select("year").orderBy("year").toLocalIterator()]
+
+
+@query(
+    "rejected_lines",
+    compose(f"""SELECT f5c_calendar_week, count(*) FILTER (NOT {DAMAGED}) AS loaded_rows, count(*) FILTER ({DAMAGED}) AS rejected_rows,
+      CAST(sum(pos_quantity_this_year) FILTER (NOT {DAMAGED}) AS BIGINT) AS units FROM pos GROUP BY 1"""),
+)
+def _(ws):
+    table = ws.new_folder("table")
+    pos_files.weekly_update(ws.spark, export_damaged_csv(ws, ws.new_folder("drop")), table)
+    bad = pos_files.read_rejected(ws.spark, table).groupBy(F.col(WEEK).cast("int").alias(WEEK)).agg(F.count(F.lit(1)).alias("rejected_rows"))
+    good = fact_store.read_facts(ws.spark, table).groupBy(WEEK).agg(F.count(F.lit(1)).alias("loaded_rows"), F.sum(UNITS).alias("units"))
+    counts = [F.coalesce(name, F.lit(0)).alias(name) for name in ("loaded_rows", "rejected_rows")]
+    return good.join(bad, WEEK, "full").select(WEEK, *counts, "units")
+
+
 FILE_NAMES = {"Category_A_week": 0, "drop_category_d": 1, "pos_data": 2, "other": 3}
 
 
@@ -1302,6 +1410,39 @@ def _(ws):
     return reduce(DataFrame.unionByName, counts)
 
 
+@query(
+    "load_all_dimensions_rows",
+    compose("""SELECT 'dim_stores' AS table_name, store_number AS key, state || '|' || region || '|' || zip_code || '|' || merch_zone_number AS content FROM stores
+      UNION ALL SELECT 'dim_items', printf('I%05d', CAST(i AS BIGINT)), description FROM t_code
+      UNION ALL SELECT 'dim_capacity', printf('I%05d', CAST(i AS BIGINT)), CAST(CAST(i % 9 + 2 AS INTEGER) AS VARCHAR) FROM t_code
+      UNION ALL SELECT 'dim_case_pack', item_nbr, coalesce(CAST(case_pack_qty AS VARCHAR), '') FROM case_pack
+      UNION ALL SELECT 'fact_forecast_vendor', region, '2001-11-05' FROM weather"""),
+)
+def _(ws):
+    """What a refresh of all dimensions leaves in the tables, refreshed twice."""
+    folder, target = ws.new_folder("dimensions"), ws.new_folder("loaded")
+    given = (
+        (dims.STORES, ws.tables.stores), (dims.ITEMS, ws.demo.items), (dims.CAPACITY, ws.demo.capacity),
+        (dims.CASE_PACK, ws.tables.case_pack), (dims.WEATHER, ws.tables.weather),
+    )
+    for spec, frame in given:
+        frame.drop("week_imported").write.option("header", True).csv(f"{folder}/{spec.name}.csv")
+    for day in ("2001-10-29", "2001-11-05"):
+        dims.load_all_dimensions(ws.spark, folder, target, week_date=day)
+    content = {
+        dims.STORES: (STORE, F.concat_ws("|", "state", "region", "zip_code", F.col("merch_zone_number").cast("string"))),
+        dims.ITEMS: (ITEM, F.col("description")),
+        dims.CAPACITY: ("item", F.col("capacity").cast("string")),
+        dims.CASE_PACK: ("item_nbr", F.coalesce(F.col("case_pack_qty").cast("string"), F.lit(""))),
+        dims.WEATHER: ("region", F.col("week_imported").cast("string")),
+    }
+    tables = [
+        dims.read_dimension(ws.spark, spec, f"{target}/{spec.name}").select(F.lit(spec.name).alias("table_name"), F.col(key).alias("key"), text.alias("content"))
+        for spec, (key, text) in content.items()
+    ]
+    return reduce(DataFrame.unionByName, tables)
+
+
 @query("load_week_mapping", compose("SELECT ty_week, ly_week FROM weekmap"))
 def _(ws):
     path = _csv(ws, ws.tables.week_map, {"notes": "Notes", "ty_week": "TY Week", "ly_week": "LY Week"})
@@ -1324,6 +1465,31 @@ def _(ws):
     return ws.spark.read.parquet(paths[0]).select(WEEK, ITEM, "pos_qty_ty")
 
 
+def _written_push(ws) -> tuple[dict[str, str], PushReport]:
+    """The folders that a push report is written to, by what they hold, and the report."""
+    report = run_category(ws.tables, "category_d", ws.period)
+    paths = write_push_report(report, ws.new_folder("report"), "category_d", store_clusters=True, single_summary=True)
+    return {path.rsplit("category_d_", 1)[1]: path for path in paths}, report
+
+
+def _read_csv(ws, path: str, like: DataFrame) -> DataFrame:
+    return ws.spark.read.schema(like.schema).options(header=True, escape='"', nullValue="\\N").csv(path)  # so that quoted empty texts are no NULLs
+
+
+@query("write_push_report_detail", QUERIES["weather_push_detail_category_d"].sql)
+def _(ws):
+    """All columns of a detail report, read back from CSV."""
+    paths, report = _written_push(ws)
+    return _read_csv(ws, paths["detail.csv"], report.detail)
+
+
+@query("write_push_report_summary", QUERIES["weather_push_summary_category_d"].sql)
+def _(ws):
+    """A summary, read back from its one CSV file."""
+    paths, report = _written_push(ws)
+    return _read_csv(ws, paths["summary_single.csv"], report.summary)
+
+
 def _all_categories_sql() -> str:
     parts = []
     for key, preset in PUSH_PRESETS.items():

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.labels import season_label
@@ -177,6 +178,70 @@ def resolve_period(
     )
 
 
+#: Windows of a target week, as weeks before and after it or its last-year week.
+TY_WINDOWS = {"ty13": (-12, 0), "ty52": (-51, 0), "check": (-25, 0), "recent": (-4, -1)}
+LY_WINDOWS = {"ly_window": (LY_OFFSETS[0], LY_OFFSETS[-1]), "ly_pair": (0, 1)}
+
+
+def calendar_dimension(facts: DataFrame, week_map: DataFrame) -> DataFrame:
+    """Every week of the years of facts and mapping, and of the two years around them: (week, week_idx).
+
+    The index is dense, so weeks of any distance meet by an equality of indexes.  A year has a week 53 if facts or
+    mapping have one.  The table grows with the calendar only and may be broadcast.
+    """
+    seen = reduce(
+        DataFrame.unionByName,
+        [facts.select(F.col(WEEK).alias("week")).distinct(), *(week_map.select(F.col(name).alias("week")) for name in ("ty_week", "ly_week"))],
+    )
+    years = seen.groupBy(F.floor(F.col("week") / 100).cast("int").alias("year")).agg(F.max(F.pmod(F.col("week"), F.lit(100))).alias("last"))
+    bounds = years.agg(F.min("year").alias("first"), F.max("year").alias("final")).where("first is not null")
+    every = bounds.select(F.explode(F.sequence(F.col("first") - 2, F.col("final") + 2)).alias("year")).join(years, "year", "left")
+    slots = F.explode(F.sequence(F.lit(1), F.greatest(F.lit(WEEKS_IN_YEAR), F.coalesce("last", F.lit(0)))))
+    weeks = every.select("year", slots.alias("slot"))
+    week = (F.col("year") * 100 + F.col("slot")).cast("int")
+    long_before = F.sum(F.when(F.col("slot") == 53, 1).otherwise(0)).over(Window.orderBy("year", "slot").rowsBetween(Window.unboundedPreceding, -1))
+    return weeks.select(week.alias("week"), (F.col("year") * WEEKS_IN_YEAR + F.col("slot") - 1 + F.coalesce(long_before, F.lit(0))).cast("int").alias("week_idx"))
+
+
+def target_windows(targets: DataFrame, dimension: DataFrame, week_map: DataFrame) -> DataFrame:
+    """The weeks of every window of many target weeks: (target_week, window, position, week), one row each.
+
+    ``targets`` has a column ``target_week``.  Offsets are joins with the calendar; ``position`` is the distance from
+    the target or, in last-year windows, from its last-year week.  Aggregates of all targets follow from one join of
+    the facts with this table, instead of a run for each.
+    """
+    index = F.broadcast(dimension)
+
+    def at(frame: DataFrame, week: str, name: str) -> DataFrame:
+        return frame.join(index.select(F.col("week").alias(week), F.col("week_idx").alias(name)), week, "left")
+
+    base = at(targets.select("target_week").distinct(), "target_week", "ty_idx")
+    starts = index.select(F.col("week").alias("start_week"), (F.col("week_idx") + 12).alias("ty_idx"))
+    base = week_to_ly(base, week_map, "target_week").withColumnRenamed("ly_week", "ly_current")
+    base = week_to_ly(base.join(starts, "ty_idx", "left"), week_map, "start_week").withColumnRenamed("ly_week", "ly_start")
+    base = at(at(base, "ly_current", "ly_idx"), "ly_start", "ly_start_idx")
+
+    def window(name: str, origin: str, first: Column, last: Column) -> Column:
+        return F.struct(F.lit(name).alias("window"), F.col(origin).alias("origin"), first.alias("first"), last.alias("last"))
+
+    spans = [window(name, "ty_idx", F.lit(a), F.lit(b)) for name, (a, b) in TY_WINDOWS.items()]
+    spans += [window(name, "ly_idx", F.lit(a), F.lit(b)) for name, (a, b) in LY_WINDOWS.items()]
+    spans.append(window("ly13", "ly_idx", F.col("ly_start_idx") - F.col("ly_idx"), F.lit(0)))
+    every = base.select("target_week", F.explode(F.array(*spans)).alias("span")).select("target_week", "span.*").where("first <= last")
+    placed = every.select("target_week", "window", "origin", F.explode(F.sequence("first", "last")).alias("position"))
+    return placed.join(index.withColumnRenamed("week_idx", "_idx"), F.col("origin") + F.col("position") == F.col("_idx")).select("target_week", "window", "position", "week")
+
+
+def windowed_units(facts: DataFrame, windows: DataFrame, keys: list[str], units: str) -> DataFrame:
+    """Units of every window of every target week by key, from one pass over the facts.
+
+    Weeks are summed before the join, which then repeats a key's week for the windows that hold it.
+    """
+    weekly = facts.groupBy(*keys, WEEK).agg(F.sum(units).alias("_units"))
+    held = weekly.join(F.broadcast(windows.select("target_week", "window", F.col("week").alias(WEEK))), WEEK)
+    return held.groupBy("target_week", "window", *keys).agg(F.sum("_units").alias("units"), F.count(F.lit(1)).alias("weeks"))
+
+
 def week_map_template(bounds: DataFrame) -> DataFrame:
     """Week pairs to be edited by hand: LY is the same week number a year earlier.
 

@@ -1,4 +1,9 @@
-"""Dimension and forecast tables: full-refresh loads from CSV or Parquet."""
+"""Dimension and forecast tables: full-refresh loads from CSV or Parquet.
+
+A load writes beside the table, is checked there, and takes effect with a new
+version (see ``versions``); one that fails leaves the table as it was.  Read the
+tables with ``read_dimension``.
+"""
 
 from __future__ import annotations
 
@@ -12,9 +17,10 @@ from pyspark.sql import types as T
 from shelfcast import schemas
 from shelfcast.functions.numeric import integer
 from shelfcast.operators.calendar import unique_mapping
+from shelfcast.sources import versions
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class DimensionSpec:
     """Target schema of a table and renames from normalised headers."""
 
@@ -28,12 +34,15 @@ ITEMS = DimensionSpec("dim_items", schemas.DIM_ITEMS)
 CAPACITY = DimensionSpec("dim_capacity", schemas.DIM_CAPACITY)
 CASE_PACK = DimensionSpec("dim_case_pack", schemas.DIM_CASE_PACK)
 STYLE = DimensionSpec("dim_category_a_style", schemas.DIM_STYLE)
+WEEK_MAPPING = DimensionSpec("dim_week_mapping", schemas.DIM_WEEK_MAPPING)
 CLIENT_FORECAST = DimensionSpec("client_forecast_fact", schemas.CLIENT_FORECAST)
 WEATHER = DimensionSpec(
     "fact_forecast_vendor",
     schemas.WEATHER_FORECAST,
     {short: f"{short}_pct" for short in ("tw", "nw", "m1", "m2", "m3")},
 )
+#: Versions of a table that stay readable behind the newest.
+KEPT_VERSIONS = 10
 # Header fragments, looked for in column order.
 TY_FRAGMENTS = ("ty", "this year", "current", "2025")
 LY_FRAGMENTS = ("ly", "last year", "prior", "2024")
@@ -67,10 +76,54 @@ def shape(df: DataFrame, spec: DimensionSpec) -> DataFrame:
     return named.select(columns)
 
 
+class RejectedLoad(ValueError):
+    """A file whose rows cannot be those of the table."""
+
+
+@dataclass(frozen=True)
+class Staged:
+    """Rows written beside a table, checked, and not yet part of it."""
+
+    spec: DimensionSpec
+    target: str
+    before: versions.Version
+    folders: tuple[tuple[str, str], ...]
+
+
+def stage(df: DataFrame, spec: DimensionSpec, target: str) -> Staged:
+    """Write and check a load: rows that all lack the table's first column, its key, are not of this table."""
+    spark, key = df.sparkSession, spec.schema.names[0]
+    before = versions.open_version(spark, target)
+    folders = versions.add_folders(df, target)
+    rows, keyed = versions.read_folders(spark, target, folders, spec.schema).agg(F.count(F.lit(1)), F.count(key)).first()
+    if rows and not keyed:
+        raise RejectedLoad(f"{spec.name}: none of {rows} rows has a {key}")
+    return Staged(spec, target, before, folders)
+
+
+def publish(spark: SparkSession, staged: Staged, keep: tuple[tuple[str, str], ...] = (), label: str = "") -> DataFrame:
+    """Make a staged load the table's newest version, beside the folders ``keep`` of the one before."""
+    folders = tuple((label, folder) for _, folder in staged.folders)
+    version = staged.before.next(keep + folders)
+    versions.commit(spark, staged.target, version)
+    versions.tidy(spark, staged.target, KEPT_VERSIONS)
+    return versions.read_folders(spark, staged.target, version.folders, staged.spec.schema)
+
+
+def read_dimension(spark: SparkSession, spec: DimensionSpec, target: str, version: int | None = None) -> DataFrame:
+    """The table's newest version, or that of a number; later loads do not change the frame."""
+    return versions.read(spark, target, spec.schema, version)
+
+
 def load_dimension(spark: SparkSession, path: str, spec: DimensionSpec, target: str) -> DataFrame:
     """Replace the table at ``target`` by the file's rows."""
-    shape(read_any(spark, path), spec).write.mode("overwrite").parquet(target)
-    return spark.read.schema(spec.schema).parquet(target)
+    return publish(spark, stage(shape(read_any(spark, path), spec), spec, target))
+
+
+def _outlook(spark: SparkSession, path: str, week_date: dt.date | str | None) -> tuple[DataFrame, str]:
+    """The rows of a regional outlook with their import date, and that date."""
+    day = str(week_date) if week_date is not None else str(spark.range(1).select(F.current_date()).first()[0])
+    return shape(read_any(spark, path), WEATHER).withColumn("week_imported", F.lit(day).cast("date")), day
 
 
 def load_weather_forecast(
@@ -78,12 +131,11 @@ def load_weather_forecast(
 ) -> DataFrame:
     """Regional outlook stamped with its import date (today unless given).
 
-    Replaces the table, or appends to it with ``history=True``.
+    Replaces the table; with ``history=True`` only an earlier import of the same date.
     """
-    stamp = F.current_date() if week_date is None else F.lit(str(week_date)).cast("date")
-    rows = shape(read_any(spark, path), WEATHER).withColumn("week_imported", stamp)
-    rows.write.mode("append" if history else "overwrite").parquet(target)
-    return spark.read.schema(WEATHER.schema).parquet(target)
+    rows, day = _outlook(spark, path, week_date)
+    staged = stage(rows, WEATHER, target)
+    return publish(spark, staged, staged.before.without([day]) if history else (), day)
 
 
 def detect_week_columns(columns) -> tuple[str, str]:
@@ -115,23 +167,21 @@ def week_mapping(df: DataFrame) -> DataFrame:
 
 def load_week_mapping(spark: SparkSession, path: str, target: str) -> DataFrame:
     """Replace the week mapping; two different rows for one week fail the load."""
-    unique_mapping(week_mapping(read_any(spark, path))).write.mode("overwrite").parquet(target)
-    return spark.read.schema(schemas.DIM_WEEK_MAPPING).parquet(target)
+    return publish(spark, stage(unique_mapping(week_mapping(read_any(spark, path))), WEEK_MAPPING, target))
 
 
 def load_all_dimensions(
     spark: SparkSession, folder: str, target: str, files: dict[str, str] | None = None, week_date=None
 ) -> dict[str, DataFrame]:
-    """Refresh stores, items, capacity, case packs and the weather outlook.
+    """Refresh stores, items, capacity, case packs and the weather outlook, all or none.
 
     ``files`` maps table names to file names in ``folder`` where they differ from
-    ``<table>.csv``.  The client forecast is loaded on its own.
+    ``<table>.csv``.  The client forecast is loaded on its own.  All tables are
+    written and checked before the first takes effect.
     """
     files = files or {}
     source = lambda spec: f"{folder}/{files.get(spec.name, spec.name + '.csv')}"
-    tables = {
-        spec.name: load_dimension(spark, source(spec), spec, f"{target}/{spec.name}")
-        for spec in (STORES, ITEMS, CAPACITY, CASE_PACK)
-    }
-    tables[WEATHER.name] = load_weather_forecast(spark, source(WEATHER), f"{target}/{WEATHER.name}", week_date)
-    return tables
+    rows = {spec: shape(read_any(spark, source(spec)), spec) for spec in (STORES, ITEMS, CAPACITY, CASE_PACK)}
+    rows[WEATHER], day = _outlook(spark, source(WEATHER), week_date)
+    staged = [stage(df, spec, f"{target}/{spec.name}") for spec, df in rows.items()]
+    return {one.spec.name: publish(spark, one, label=day if one.spec is WEATHER else "") for one in staged}

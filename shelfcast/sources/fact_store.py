@@ -1,71 +1,80 @@
-"""The fact table: Parquet partitioned by week, with keyed upserts.
+"""The fact table: versioned Parquet partitioned by week and source, with keyed upserts.
 
-One writer at a time.  An upsert rewrites only the touched week partitions: the
-merged weeks are written beside the table and then moved in, under a journal that
-lets the next upsert finish a move that broke off.  Repeating an upsert merges its
-rows again, into whatever the table then holds.
+An upsert rewrites only the touched weeks of each source, beside the table's, and takes effect
+with the version that lists them (see ``versions``): readers keep what they have
+opened, and a run that breaks off changes nothing.  A second writer at the same
+time is refused when it commits.  Repeating an upsert merges its rows again, into
+whatever the table then holds, unless it names the batch of a stream it belongs to.
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.schemas import FACT_KEY, ITEM, POS_ALL_COLUMNS, POS_FACT, SOURCE, STORE, SUBCATEGORY, WEEK
+from shelfcast.sources import versions
 from shelfcast.sources.durable import materialise
 
-PARTITIONS = [WEEK]
+PARTITIONS = [WEEK, SOURCE]
 SORT = [WEEK, SOURCE, SUBCATEGORY, STORE, ITEM]
 MERGE_KEY = [SOURCE, *FACT_KEY]
 FILE_ORDER = "_file_order"
 
 
+#: Versions that stay readable behind the newest.
+KEPT_VERSIONS = 10
+
+
 @dataclass(frozen=True)
 class UpsertResult:
     deleted: int
     inserted: int
+    #: The batch was part of the table already and has been skipped.
+    replayed: bool = False
 
 
 def _laid_out(df: DataFrame) -> DataFrame:
-    """Rebalanced by week (hot weeks are split, small ones merged) and sorted so
-    that source and subcategory filters skip row groups."""
+    """Rebalanced by partition (hot weeks are split, small ones merged) and sorted so
+    that subcategory filters skip row groups."""
     return df.hint("rebalance", *PARTITIONS).sortWithinPartitions(*SORT)
 
 
-def append_facts(df: DataFrame, path: str, overwrite: bool = False) -> None:
-    """Bulk append without looking for duplicates."""
-    write = _laid_out(df).write.mode("overwrite" if overwrite else "append").partitionBy(*PARTITIONS)
-    write.option("partitionOverwriteMode", "static").parquet(path)
+def append_facts(df: DataFrame, path: str, overwrite: bool = False, keep_versions: int = KEPT_VERSIONS) -> None:
+    """Bulk append without looking for duplicates; ``overwrite`` leaves the earlier rows to earlier versions."""
+    spark = df.sparkSession
+    before = _opened(spark, path)
+    added = versions.add_folders(_laid_out(df), path, PARTITIONS)
+    versions.commit(spark, path, before.next(added if overwrite else before.folders + added))
+    versions.tidy(spark, path, keep_versions)
+
 
+def _opened(spark: SparkSession, path: str) -> versions.Version:
+    """The newest version, for a writer; a folder of other Parquet files is no table to write to."""
+    version = versions.open_version(spark, path)
+    if not version.number:
+        files, pattern = versions.file_system(spark, f"{path.rstrip('/')}/{WEEK}=*/*.parquet")
+        if files.globStatus(pattern):
+            raise ValueError(f"{path} has no versions: append its rows to a new table")
+    return version
 
-def read_facts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(POS_FACT).parquet(path)
+
+def read_facts(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The newest version, or that of a number; the frame keeps it whatever is written later."""
+    return versions.read(spark, path, POS_FACT, version)
 
 
 def read_pos_all(spark: SparkSession, path: str) -> DataFrame:
     """The unified view of a stored table.
 
     Both facts live in one table, so the view is a single scan; a filter on the
-    source skips row groups instead of choosing a branch of a union.
+    source prunes partitions instead of choosing a branch of a union.
     """
     return read_facts(spark, path).select(POS_ALL_COLUMNS)
 
 
-def file_system(spark: SparkSession, path: str):
-    """Hadoop's file system of a path, and the path as it knows it."""
-    own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), own
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder exists (nothing is listed or read)."""
-    files, own = file_system(spark, path)
-    return files.exists(own)
-
-
 def anti_join_keys(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
     """Base rows whose key is not in the delta; NULL keys match nothing."""
     return base.join(delta.select(keys).distinct(), keys, "left_anti")
@@ -86,63 +95,43 @@ def keep_latest_file(delta: DataFrame, keys: list[str] = MERGE_KEY) -> DataFrame
     return delta.join(newest, [*keys, FILE_ORDER], "inner").drop(FILE_ORDER)
 
 
-def _touched_weeks(delta: DataFrame) -> list[int]:
-    """The weeks of a delta: bounded by the calendar, not by the data."""
-    return [row[WEEK] for row in delta.select(WEEK).distinct().toLocalIterator()]
-
-
-def _journal(path: str) -> str:
-    return f"{path.rstrip('/')}__staging/moving"
-
-
-def _move_in(spark: SparkSession, path: str, staged: str) -> None:
-    """Put each staged week in the place of the table's; weeks already moved are no longer staged."""
-    files, source = file_system(spark, staged)
-    table = file_system(spark, path)[1]
-    files.mkdirs(table)
-    for week in files.listStatus(source):
-        if week.isDirectory():
-            target = file_system(spark, f"{path.rstrip('/')}/{week.getPath().getName()}")[1]
-            files.delete(target, True)
-            if not files.rename(week.getPath(), target):
-                raise OSError(f"cannot move {week.getPath().toString()} to {target.toString()}")
+def _touched(delta: DataFrame) -> set[str]:
+    """The partitions of a delta, as versions label them: bounded by the calendar, not by the data."""
+    return {"/".join(str(value) for value in row) for row in delta.select(PARTITIONS).distinct().toLocalIterator()}
 
 
-def _finish(spark: SparkSession, path: str) -> None:
-    """Complete a move that broke off: the journal names its staged weeks."""
-    files, journal = file_system(spark, _journal(path))
-    if not files.exists(journal):
-        return
-    staged = spark.read.text(_journal(path)).first()["value"]
-    if path_exists(spark, staged):
-        _move_in(spark, path, staged)
-        files.delete(file_system(spark, staged)[1], True)
-    files.delete(journal, False)
-    spark.catalog.refreshByPath(path)
+def stored_weeks(spark: SparkSession, path: str, version: int | None = None) -> list[tuple[int, str]]:
+    """Weeks and sources that a version holds, from its manifest alone."""
+    labels = {label for label, _ in versions.open_version(spark, path, version).folders}
+    return sorted((int(week), source) for week, source in (label.split("/") for label in labels))
 
 
-def merge_facts(spark: SparkSession, path: str, delta: DataFrame) -> UpsertResult:
+def merge_facts(
+    spark: SparkSession, path: str, delta: DataFrame, batch: tuple[str, int] | None = None, keep_versions: int = KEPT_VERSIONS
+) -> UpsertResult:
     """Upsert ``delta`` into the stored table; rows deleted and inserted.
 
-    If a run breaks off while its weeks are moved in, the next one first finishes
-    the move; a run that broke off earlier leaves the table as it was.
+    ``batch`` names a stream and a number that grows within it.  The version that
+    holds the rows holds that number too, so a batch that comes again is skipped
+    and cannot undo what others have written since.
     """
-    _finish(spark, path)
+    before = _opened(spark, path)
+    if before.has(batch):
+        return UpsertResult(0, 0, replayed=True)
     fresh = materialise(delta)
-    weeks = _touched_weeks(fresh)
-    if not weeks:
+    labels = _touched(fresh)
+    if not labels:
+        if batch:
+            versions.commit(spark, path, before.next(before.folders, batch))
         return UpsertResult(0, 0)
-    inserted, before, merged = fresh.count(), 0, fresh
-    if path_exists(spark, path):
-        base = read_facts(spark, path).where(F.col(WEEK).isin(weeks)).select(fresh.columns)
-        before = base.count()  # from the files' footers
+    touched = [entry for entry in before.folders if entry[0] in labels]
+    inserted, replaced, merged = fresh.count(), 0, fresh
+    if touched:
+        base = versions.read_folders(spark, path, touched, POS_FACT).select(fresh.columns)
+        replaced = base.count()  # from the files' footers
         merged = upsert_facts(base, fresh)
-    staged = f"{path.rstrip('/')}__staging/{uuid.uuid4().hex}"
-    _laid_out(merged).write.partitionBy(*PARTITIONS).parquet(staged)
-    deleted = before + inserted - read_facts(spark, staged).count()
-    files, journal = file_system(spark, _journal(path))
-    out = files.create(journal, True)
-    out.write(bytearray(staged.encode()))
-    out.close()
-    _finish(spark, path)
+    added = versions.add_folders(_laid_out(merged), path, PARTITIONS)
+    deleted = replaced + inserted - versions.read_folders(spark, path, added, POS_FACT).count()
+    versions.commit(spark, path, before.next(before.without(labels) + added, batch))
+    versions.tidy(spark, path, keep_versions)
     return UpsertResult(deleted, inserted)

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,7 +26,9 @@ from shelfcast.schemas import (
     SUBCATEGORY,
     WEEK,
 )
-from shelfcast.sources.fact_store import FILE_ORDER, UpsertResult, append_facts, file_system, keep_latest_file, merge_facts
+from shelfcast.sources.fact_store import FILE_ORDER, UpsertResult, append_facts, keep_latest_file, merge_facts
+from shelfcast.sources import versions
+from shelfcast.sources.versions import file_system
 
 log = logging.getLogger(__name__)
 
@@ -40,6 +42,18 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": True,
     "ignoreTrailingWhiteSpace": True,
 }
+#: Raw text of a line that has not as many fields as the header (a column of reads only).
+RAW_LINE = "_raw_line"
+FIELDS = "_fields"
+REJECTED = T.StructType(
+    [
+        T.StructField("source_file", T.StringType()),
+        T.StructField(WEEK, T.StringType()),
+        T.StructField("line", T.StringType()),
+        T.StructField("field_count", T.IntegerType()),
+        T.StructField("expected_count", T.IntegerType()),
+    ]
+)
 
 
 class MissingColumns(ValueError):
@@ -50,6 +64,8 @@ class MissingColumns(ValueError):
 class LoadResult:
     loaded: list[str] = field(default_factory=list)
     skipped: dict[str, str] = field(default_factory=dict)
+    #: Lines with more fields than their file's header, by file; ``read_rejected`` has the lines.
+    rejected: dict[str, int] = field(default_factory=dict)
     upserted: UpsertResult | None = None
 
 
@@ -67,6 +83,81 @@ def read_pos_csv(spark: SparkSession, path) -> DataFrame:
     return trimmed
 
 
+def unique_names(header) -> list[str]:
+    """Trimmed column names; a name that comes again gets a number, as no column of ours has."""
+    seen: dict[str, int] = {}
+    out = []
+    for name in (column.strip() for column in header):
+        count = seen[name.lower()] = seen.get(name.lower(), -1) + 1
+        out.append(f"{name}.{count}" if count else name)
+    return out
+
+
+def read_lines(spark: SparkSession, paths, header) -> DataFrame:
+    """All-text rows of files with one header, with RAW_LINE and FIELDS where a line has another number of fields.
+
+    Lines that are too short have NULL in the columns they lack; lines that are too long cannot be told which
+    field is surplus, see ``split_rejected``.  Every field is parsed: with pruned columns Spark would not count them.
+    """
+    names = unique_names(header)
+    layout = T.StructType([T.StructField(name, T.StringType()) for name in [*names, RAW_LINE]])
+    options = CSV_OPTIONS | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW_LINE, "columnPruning": False}
+    return with_field_count(spark.read.schema(layout).options(**options).csv(paths))
+
+
+def with_field_count(lines: DataFrame) -> DataFrame:
+    """Append FIELDS, the number of fields of a raw line; commas inside quotes do not part fields."""
+    bare = F.regexp_replace(RAW_LINE, r'"(?:[^"]|"")*"', "")
+    return lines.withColumn(FIELDS, F.when(F.col(RAW_LINE).isNotNull(), F.size(F.split(bare, ","))))
+
+
+def split_rejected(lines: DataFrame, expected: int) -> tuple[DataFrame, DataFrame]:
+    """Rows to load, and lines with more than ``expected`` fields in the layout of REJECTED."""
+    surplus = F.coalesce(F.col(FIELDS) > expected, F.lit(False))
+    file = F.col("source_file") if "source_file" in lines.columns else F.col("_metadata.file_path").alias("source_file")
+    bad = lines.where(surplus).select(
+        file, F.col(WEEK), F.col(RAW_LINE).alias("line"),
+        F.col(FIELDS).alias("field_count"), F.lit(expected).alias("expected_count"),
+    )
+    return lines.where(~surplus).drop(RAW_LINE, FIELDS), bad
+
+
+def rejected_path(path: str) -> str:
+    """Where the rejected lines of a fact table's loads are kept."""
+    return f"{path.rstrip('/')}__rejected"
+
+
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """The rejected lines of all loads of the fact table at ``path``."""
+    return versions.read(spark, rejected_path(path), REJECTED)
+
+
+def keep_rejected(lines: DataFrame, path: str) -> dict[str, int]:
+    """Add lines to the side table of a fact table; their number by file."""
+    spark, side = lines.sparkSession, rejected_path(path)
+    before = versions.open_version(spark, side)
+    added = versions.add_folders(lines, side)
+    if not added:
+        return {}
+    versions.commit(spark, side, before.next(before.folders + added))
+    counts = versions.read_folders(spark, side, added, REJECTED).groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
+    return {row["source_file"]: row["n"] for row in counts.toLocalIterator()}
+
+
+def any_surplus(seen: Observation) -> bool:
+    """Whether the job that read the lines saw one too many fields; True where adaptive execution left the count out."""
+    try:
+        return bool(seen.get["surplus"])
+    except Py4JJavaError:  # an input found empty is cut from the plan, and its count with it
+        return True
+
+
+def observed(lines: DataFrame, expected: int) -> tuple[DataFrame, Observation]:
+    """The lines, and how many of them are too long once a job has read them: no pass of its own."""
+    seen = Observation()
+    return lines.observe(seen, F.count_if(F.col(FIELDS) > expected).alias("surplus")), seen
+
+
 def route_by_subcategory(df: DataFrame, subcategories=CATEGORY_A_SUBCATEGORIES) -> DataFrame:
     """Tag each row with its fact; an unknown or NULL subcategory is general."""
     is_a = F.coalesce(F.col(SUBCATEGORY).isin([str(s) for s in subcategories]), F.lit(False))
@@ -178,18 +269,38 @@ def _stacked(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+class _Layouts:
+    """The rows of files by header, and what has to be done about lines that are too long once the rows are read."""
+
+    def __init__(self, spark: SparkSession, layouts: dict[tuple[str, ...], list[str]]):
+        self.rows: list[DataFrame] = []
+        self._parts: list[tuple[DataFrame, Observation]] = []
+        for header, files in layouts.items():
+            lines, seen = observed(read_lines(spark, files, header), len(header))
+            good, _ = split_rejected(lines, len(header))
+            self.rows.append(good)
+            self._parts.append((split_rejected(read_lines(spark, files, header), len(header))[1], seen))
+
+    def keep_rejected(self, path: str) -> dict[str, int]:
+        """Read the layouts with such lines again, for these lines."""
+        bad = [lines for lines, seen in self._parts if any_surplus(seen)]
+        return keep_rejected(_stacked(bad), path) if bad else {}
+
+
 def initial_load(spark: SparkSession, folder: str, path: str, clear_first: bool = False) -> LoadResult:
     """Append every CSV file of a folder to the fact table, without deduplication.
 
     Files that share a header are read by one scan, so the plan grows with the
     number of layouts, not of files.  A file without the required columns is
-    skipped and reported.
+    skipped and reported; lines with more fields than the header go to a side
+    table (see ``read_rejected``) and are counted.
     """
     result = LoadResult()
     layouts = _layouts(spark, list_csv_files(spark, folder), result)
-    frames = [conform(route_by_subcategory(read_pos_csv(spark, files))) for files in layouts.values()]
-    if frames:
-        append_facts(_stacked(frames), path, overwrite=clear_first)
+    if layouts:
+        parts = _Layouts(spark, layouts)
+        append_facts(_stacked([conform(route_by_subcategory(rows)) for rows in parts.rows]), path, overwrite=clear_first)
+        result.rejected = parts.keep_rejected(path)
     return result
 
 
@@ -202,8 +313,9 @@ def weekly_update(spark: SparkSession, files, path: str) -> LoadResult:
     """Upsert files into the fact table; for equal keys the later file wins.
 
     All files are merged in one pass, with one scan for each layout.  Missing or
-    invalid files are skipped and reported.  ``files`` is a path or a list of
-    paths; ``upserted`` of the result has the rows deleted and inserted.
+    invalid files are skipped and reported, lines with too many fields as in
+    ``initial_load``.  ``files`` is a path or a list of paths; ``upserted`` of the
+    result has the rows deleted and inserted.
     """
     given = [files] if isinstance(files, str) else list(files)
     result = LoadResult()
@@ -214,11 +326,12 @@ def weekly_update(spark: SparkSession, files, path: str) -> LoadResult:
     qualified = lambda file: file_system(spark, file)[0].makeQualified(file_system(spark, file)[1]).toUri().toString()
     order = spark.createDataFrame([(qualified(file), number) for number, file in expanded if file not in result.skipped], f"_file string, {FILE_ORDER} int")
     order = order.groupBy(_plain(F.col("_file")).alias("_file")).agg(F.max(FILE_ORDER).alias(FILE_ORDER))
+    parts = _Layouts(spark, layouts)
     frames = []
-    for own in layouts.values():
-        raw = spark.read.options(**CSV_OPTIONS).csv(own).withColumn("_file", _plain(F.col("_metadata.file_path")))
-        named = raw.toDF(*[c.strip() for c in raw.columns]).join(order, "_file")
+    for rows in parts.rows:
+        named = rows.withColumn("_file", _plain(F.col("_metadata.file_path"))).join(order, "_file")
         frames.append(conform(route_by_subcategory(named), keep=(FILE_ORDER,)))
     rows = _stacked(frames)
     result.upserted = merge_facts(spark, path, keep_latest_file(rows) if len(result.loaded) > 1 else rows.drop(FILE_ORDER))
+    result.rejected = parts.keep_rejected(path)
     return result

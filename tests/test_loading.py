@@ -10,7 +10,8 @@ from shelfcast.schemas import FACT_KEY, UNITS
 from shelfcast.sources import dimensions as dims
 from shelfcast.sources import fact_store as store
 from shelfcast.sources import pos_files as files
-from shelfcast.sources.reports import write_report
+from shelfcast.sources import versions
+from shelfcast.sources.reports import write_report, write_single_csv
 from shelfcast.streaming.weekly import stream_weekly_updates
 
 HEADER = "f5c_calendar_week, subcategory_number ,store_number,f5c_item_number,pos_quantity_this_year,vendor_stock_id,color_description,surprise"
@@ -109,24 +110,101 @@ def loader(spark, folder):
     return lambda name, lines: files.conform(files.route_by_subcategory(files.read_pos_csv(spark, write(folder, name, lines))))
 
 
-def test_a_move_that_broke_off_is_finished_by_the_next_upsert(spark, folder, monkeypatch):
+def test_an_upsert_that_broke_off_changes_nothing(spark, folder, monkeypatch):
     table, load = f"{folder}/table", loader(spark, folder)
     store.merge_facts(spark, table, load("a.csv", ["202401,1001,1,x,5,V,,", "202402,1001,2,x,5,V,,"]))
-    move = store._move_in
-
-    def breaks(spark, path, staged):
-        lost = next(p for p in Path(path).iterdir() if p.name.endswith("202401"))
-        files_, target = store.file_system(spark, str(lost))
-        files_.delete(target, True)  # the table's week is gone, the staged one not yet moved
-        raise OSError("lost driver")
-
-    monkeypatch.setattr(store, "_move_in", breaks)
-    with pytest.raises(OSError):
-        store.merge_facts(spark, table, load("b.csv", ["202401,1001,1,x,8,V,,"]))
-    monkeypatch.setattr(store, "_move_in", move)
+
+    def breaks(spark, path, version):
+        raise OSError("lost driver")  # all rows are written, the version is not
+
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "commit", breaks)
+        with pytest.raises(OSError):
+            store.merge_facts(spark, table, load("b.csv", ["202401,1001,1,x,8,V,,"]))
+    assert [r[3] for r in rows(spark, table)] == [5, 5]
     store.merge_facts(spark, table, load("c.csv", ["202402,1001,2,x,9,V,,"]))
-    assert [r[3] for r in rows(spark, table)] == [8, 9]
-    assert not any(Path(f"{table}__staging").iterdir())
+    assert [r[3] for r in rows(spark, table)] == [5, 9]
+
+
+def test_a_reader_keeps_its_version_during_an_upsert(spark, folder, monkeypatch):
+    table, load = f"{folder}/table", loader(spark, folder)
+    store.merge_facts(spark, table, load("a.csv", ["202401,1001,1,x,5,V,,", "202402,1001,2,x,5,V,,"]))
+    opened = store.read_facts(spark, table)
+    seen = []
+    commit = versions.commit
+
+    def watched(spark, path, version):
+        seen.append([r[3] for r in rows(spark, table)])  # all new rows lie in the folder, none is visible
+        commit(spark, path, version)
+        seen.append([r[3] for r in rows(spark, table)])
+
+    monkeypatch.setattr(versions, "commit", watched)
+    store.merge_facts(spark, table, load("b.csv", ["202401,1001,1,x,8,V,,", "202402,1001,2,x,9,V,,", "202403,1001,2,x,1,V,,"]))
+    assert seen == [[5, 5], [8, 9, 1]]
+    assert sorted(r[UNITS] for r in opened.collect()) == [5, 5]
+    assert sorted(r[UNITS] for r in store.read_facts(spark, table, version=1).collect()) == [5, 5]
+
+
+def test_a_second_writer_is_refused(spark, folder, monkeypatch):
+    table, load = f"{folder}/table", loader(spark, folder)
+    one, other = load("a.csv", ["202401,1001,1,x,5,V,,"]), load("b.csv", ["202401,1001,1,x,6,V,,"])
+    add = versions.add_folders
+
+    def slow(df, path, partitions):
+        folders = add(df, path, partitions)
+        monkeypatch.setattr(versions, "add_folders", add)
+        store.append_facts(other, path)  # another writer commits before this one does
+        return folders
+
+    monkeypatch.setattr(versions, "add_folders", slow)
+    with pytest.raises(versions.StaleVersion):
+        store.merge_facts(spark, table, one)
+    assert [r[3] for r in rows(spark, table)] == [6]
+
+
+def test_a_replayed_batch_leaves_a_later_correction(spark, folder):
+    table, load = f"{folder}/table", loader(spark, folder)
+    batch = load("a.csv", ["202401,1001,1,x,5,V,,"])
+    assert store.merge_facts(spark, table, batch, batch=("s", 0)) == store.UpsertResult(0, 1)
+    store.merge_facts(spark, table, load("b.csv", ["202401,1001,1,x,6,V,,"]))
+    assert store.merge_facts(spark, table, batch, batch=("s", 0)) == store.UpsertResult(0, 0, replayed=True)
+    assert [r[3] for r in rows(spark, table)] == [6]
+    assert store.merge_facts(spark, table, batch, batch=("another", 0)) == store.UpsertResult(1, 1)
+    assert not store.merge_facts(spark, table, batch.limit(0), batch=("s", 1)).replayed
+    assert store.merge_facts(spark, table, batch, batch=("s", 1)).replayed
+
+
+def test_a_replayed_stream_batch_leaves_a_later_correction(spark, folder):
+    names = ["f5c_calendar_week", "subcategory_number", "store_number", "f5c_item_number", "pos_quantity_this_year"]
+    header, drop, table, state = ",".join(names), f"{folder}/drop", f"{folder}/table", f"{folder}/state"
+    os.mkdir(drop)
+    run = lambda: stream_weekly_updates(spark, drop, table, state, names).awaitTermination()
+    write(drop, "w1.csv", ["202401,1001,1,x,5", "202401,2001,1,y,6,surplus"], header)
+    run()
+    os.remove(next(Path(state, "commits").glob("0")))  # the driver was lost before Spark noted the batch
+    for crc in Path(state, "commits").glob(".0.crc"):
+        os.remove(crc)
+    files.weekly_update(spark, write(folder, "fix.csv", ["202401,1001,1,x,50"], header), table)
+    run()
+    assert [r[3] for r in rows(spark, table)] == [50]
+    assert [r["line"] for r in files.read_rejected(spark, table).collect()] == ["202401,2001,1,y,6,surplus"]
+
+
+def test_old_versions_and_their_folders_go(spark, folder):
+    table, load = f"{folder}/table", loader(spark, folder)
+    for k in range(5):
+        store.merge_facts(spark, table, load(f"{k}.csv", [f"202401,1001,1,x,{k},V,,", *(["202402,1001,1,x,7,V,,"] if not k else [])]), keep_versions=2)
+    assert versions.numbers(spark, table) == [4, 5]
+    assert len(list(Path(table, "f5c_calendar_week=202401").glob("*/load=*"))) == 2
+    assert [r[3] for r in rows(spark, table)] == [4, 7]
+    assert sorted(r[UNITS] for r in store.read_facts(spark, table, version=4).collect()) == [3, 7]
+
+
+def test_a_plain_folder_is_not_written_to(spark, folder):
+    load = loader(spark, folder)("a.csv", ["202401,1001,1,x,5,V,,"])
+    load.write.partitionBy("f5c_calendar_week").parquet(f"{folder}/plain")
+    with pytest.raises(ValueError, match="no versions"):
+        store.append_facts(load, f"{folder}/plain")
 
 
 def test_a_replayed_upsert_keeps_what_others_wrote_in_between(spark, folder):
@@ -264,3 +342,63 @@ def test_report_sinks(spark, folder):
     paths = write_report(spark.range(3), folder, "report")
     assert [p.rsplit(".")[-1] for p in paths] == ["csv", "parquet"]
     assert spark.read.option("header", True).csv(paths[0]).count() == spark.read.parquet(paths[1]).count() == 3
+
+
+def test_one_csv_file_of_a_summary(spark, folder):
+    path = write_single_csv(spark.range(30).repartition(4), f"{folder}/summary.csv")
+    assert Path(path).is_file() and len(Path(path).read_text().split()) == 31
+    write_single_csv(spark.range(2), path)
+    assert Path(path).read_text().split() == ["id", "0", "1"]
+
+
+def test_lines_with_too_many_fields_are_kept_aside(spark, folder):
+    table, drop = f"{folder}/table", f"{folder}/drop"
+    os.mkdir(drop)
+    write(drop, "a.csv", ["202401,1001,1,x,5,V,red,?", "202401,1001,2,x,6,V,red,?,more", '202401,1001,3,x,7,V,"red, dark",?', "202401,1001,4,x,8"])
+    write(drop, "b.csv", ["202402,1001,1,x,9,V,red,?,", '202402,1001,2,x,9,V,"a, b",?,c'])
+    write(drop, "other.csv", ["1,y,202402,2001"], header="store_number,f5c_item_number,f5c_calendar_week,subcategory_number")
+    result = files.initial_load(spark, drop, table)
+    assert len(result.loaded) == 3 and {p.split("/")[-1]: n for p, n in result.rejected.items()} == {"a.csv": 1, "b.csv": 2}
+    assert [(r[0], r[1], r[3]) for r in rows(spark, table)] == [(202401, "1", 5), (202401, "3", 7), (202401, "4", 8), (202402, "1", None)]
+    kept = {r["line"]: (r["field_count"], r["expected_count"]) for r in files.read_rejected(spark, table).collect()}
+    assert kept == {"202401,1001,2,x,6,V,red,?,more": (9, 8), "202402,1001,1,x,9,V,red,?,": (9, 8), '202402,1001,2,x,9,V,"a, b",?,c': (9, 8)}
+    result = files.weekly_update(spark, [f"{drop}/a.csv", f"{drop}/b.csv"], table)
+    assert {p.split("/")[-1]: n for p, n in result.rejected.items()} == {"a.csv": 1, "b.csv": 2}
+    assert files.read_rejected(spark, table).count() == 6
+    assert files.weekly_update(spark, f"{drop}/other.csv", table).rejected == {}
+    empty = write(folder, "empty.csv", [])
+    assert files.weekly_update(spark, empty, table).upserted == store.UpsertResult(0, 0)
+
+
+def test_a_failing_dimension_load_leaves_the_old_table(spark, folder):
+    target = f"{folder}/out"
+    dims.load_dimension(spark, write(folder, "packs.csv", ["8,B,,"], header="Item Nbr,Status,VNPK Qty,Case Pack Qty"), dims.CASE_PACK, target)
+    opened = dims.read_dimension(spark, dims.CASE_PACK, target)
+    for wrong in (write(folder, "wrong.csv", ["1,2"], header="Colour,Size"), f"{folder}/absent.csv"):
+        with pytest.raises((dims.RejectedLoad, PySparkException)):
+            dims.load_dimension(spark, wrong, dims.CASE_PACK, target)
+        assert dims.read_dimension(spark, dims.CASE_PACK, target).collect() == opened.collect()
+    dims.load_dimension(spark, write(folder, "new.csv", ["9,C,,", "10,C,,"], header="Item Nbr,Status,VNPK Qty,Case Pack Qty"), dims.CASE_PACK, target)
+    assert (opened.count(), dims.read_dimension(spark, dims.CASE_PACK, target).count()) == (1, 2)
+    with pytest.raises(PySparkException, match="several last-year weeks"):
+        dims.load_week_mapping(spark, write(folder, "m.csv", ["202501,202402", "202501,202403"], header="ty_week,ly_week"), f"{folder}/map")
+    assert dims.read_dimension(spark, dims.WEEK_MAPPING, f"{folder}/map").count() == 0
+
+
+def test_all_dimensions_or_none(spark, folder):
+    write(folder, "dim_stores.csv", ["1,TX,S,75001,3"], header="Store Number,State,Region,Zip Code,Merch Zone Number")
+    write(folder, "dim_items.csv", ["x,1001,d,s,1.5,2.5,A"], header="f5c_item_number,Subcategory,Description,Style ID,Cost,Retail,Item Status")
+    write(folder, "dim_capacity.csv", ["x,12"], header="Item,Capacity")
+    write(folder, "dim_case_pack.csv", ["x,A,1,2"], header="Wrong,Status,vnpk_qty,case_pack_qty")
+    write(folder, "fact_forecast_vendor.csv", ["SE,0.1,0.2,0,0,0"], header="region,tw,nw,m1,m2,m3")
+    with pytest.raises(dims.RejectedLoad):
+        dims.load_all_dimensions(spark, folder, f"{folder}/out", week_date="2025-01-06")
+    assert all(dims.read_dimension(spark, spec, f"{folder}/out/{spec.name}").count() == 0 for spec in (dims.STORES, dims.ITEMS, dims.WEATHER))
+
+
+def test_weather_of_one_day_is_imported_once(spark, folder):
+    header = "Region,TW,NW,M1,M2,M3"
+    for day, value in (("2025-01-06", 1), ("2025-01-13", 2), ("2025-01-13", 3)):
+        dims.load_weather_forecast(spark, write(folder, "w.csv", [f"SE,{value},0,0,0,0"], header), f"{folder}/out", day, history=True)
+    kept = dims.read_dimension(spark, dims.WEATHER, f"{folder}/out").orderBy("week_imported").collect()
+    assert [(str(r["week_imported"]), r["tw_pct"]) for r in kept] == [("2025-01-06", 1.0), ("2025-01-13", 3.0)]
