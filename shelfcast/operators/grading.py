@@ -17,14 +17,14 @@ def _percent(part: Column, total: Column) -> Column:
     return part.cast("double") / total.cast("double") * 100
 
 
-def abc_grade(df: DataFrame, cuts: tuple, slices: int | None = None) -> DataFrame:
-    """Share of total baseline, cumulative share in descending order, and grade.
+def abc_running(df: DataFrame, groups: list[str] = [], slices: int | None = None) -> DataFrame:  # noqa: B006
+    """Append what grades follow from: the exact baseline and its running and grand total, within ``groups``."""
+    rows = df.withColumn("_baseline", as_share(F.col("baseline_weekly_sales")))
+    return running_total(rows, groups, "_baseline", [STORE, ITEM], slices)
 
-    Ties are ordered by store and item.  Rows without a baseline come last, have
-    no share and grade D; so does every row when the total is not positive.
-    """
-    order = [F.desc_nulls_last("_baseline"), F.asc(STORE), F.asc(ITEM)]
-    ranked = running_total(df.withColumn("_baseline", as_share(F.col("baseline_weekly_sales"))), "_baseline", order, slices)
+
+def abc_labels(ranked: DataFrame, cuts: tuple) -> DataFrame:
+    """Shares and grades from the running totals of ``abc_running``."""
     positive, known = F.col("grand_total") > 0, F.col("_baseline").isNotNull()
     return ranked.withColumns(
         {
@@ -37,11 +37,20 @@ def abc_grade(df: DataFrame, cuts: tuple, slices: int | None = None) -> DataFram
     ).drop("_baseline", "running", "grand_total")
 
 
-def store_totals(detail: DataFrame) -> DataFrame:
-    """Sums per store; stores without region or state do not take part."""
+def abc_grade(df: DataFrame, cuts: tuple, slices: int | None = None) -> DataFrame:
+    """Share of total baseline, cumulative share in descending order, and grade.
+
+    Ties are ordered by store and item.  Rows without a baseline come last, have
+    no share and grade D; so does every row when the total is not positive.
+    """
+    return abc_labels(abc_running(df, slices=slices), cuts)
+
+
+def store_totals(detail: DataFrame, groups: list[str] = []) -> DataFrame:  # noqa: B006
+    """Sums per store (and per value of ``groups``); stores without region or state do not take part."""
     return (
         detail.dropna(subset=STORE_GROUP)
-        .groupBy(STORE_GROUP)
+        .groupBy(*groups, *STORE_GROUP)
         .agg(
             F.coalesce(F.sum(as_share(F.col("baseline_weekly_sales"))), F.lit(0).cast("decimal(30,6)")).alias("_baseline"),
             F.coalesce(F.sum("projected_weekly_sales"), F.lit(0.0)).alias("store_projected"),
@@ -49,14 +58,14 @@ def store_totals(detail: DataFrame) -> DataFrame:
             exact_mean(F.col("current_wos")).alias("store_current_wos"),
         )
         .withColumn("store_baseline", F.col("_baseline").cast("double"))
-        .select(*STORE_GROUP, "store_baseline", "store_projected", "store_push", "store_current_wos", "_baseline")
+        .select(*groups, *STORE_GROUP, "store_baseline", "store_projected", "store_push", "store_current_wos", "_baseline")
     )
 
 
-def store_clusters(detail: DataFrame, slices: int | None = None) -> DataFrame:
-    """Stores labelled by cumulative share of baseline sales, largest first."""
-    order = [F.desc("_baseline"), F.asc(STORE)]
-    ranked = running_total(store_totals(detail).withColumn("_baseline", F.col("_baseline").cast("decimal(30,6)")), "_baseline", order, slices)
+def store_clusters(detail: DataFrame, slices: int | None = None, groups: list[str] = []) -> DataFrame:  # noqa: B006
+    """Stores labelled by cumulative share of baseline sales, largest first, within ``groups``."""
+    totals = store_totals(detail, groups).withColumn("_baseline", F.col("_baseline").cast("decimal(30,6)"))
+    ranked = running_total(totals, groups, "_baseline", [STORE, "region", "state"], slices)
     nonzero = F.col("grand_total") != 0
     return ranked.withColumns(
         {
@@ -69,9 +78,9 @@ def store_clusters(detail: DataFrame, slices: int | None = None) -> DataFrame:
     ).drop("_baseline", "running", "grand_total")
 
 
-def attach_clusters(detail: DataFrame, clusters: DataFrame) -> DataFrame:
+def attach_clusters(detail: DataFrame, clusters: DataFrame, groups: list[str] = []) -> DataFrame:  # noqa: B006
     columns = ["store_cluster", "store_pct_of_total_sales", "store_cumulative_pct"]
-    return detail.join(clusters.select(*STORE_GROUP, *columns), STORE_GROUP, "left")
+    return detail.join(clusters.select(*groups, *STORE_GROUP, *columns), [*groups, *STORE_GROUP], "left")
 
 
 def _with_change(summary: DataFrame) -> DataFrame:

@@ -9,15 +9,36 @@ from shelfcast.functions.numeric import SHARE_TYPE
 from shelfcast.sources.durable import materialise
 
 
+def group_of(keys: list[str]) -> Column:
+    """The keys as one value, NULL if one of them is.
+
+    Rows that an earlier join has dealt out by some of the keys are not dealt out by this value, so grouping by it is a
+    partial aggregate with an exchange of its own, and neither it nor a join by it keeps adaptive execution from
+    splitting the earlier join where a key is hot.
+    """
+    known = F.lit(True)
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    return F.when(known, F.struct(*keys))
+
+
+def totals_of(df: DataFrame, keys: list[str], *totals: Column) -> DataFrame:
+    """Aggregates by known keys, combined before an exchange of their own: (keys, totals)."""
+    grouped = df.withColumn("_group", group_of(keys)).where("_group is not null").groupBy("_group").agg(*totals)
+    return grouped.select("_group.*", *[name for name in grouped.columns if name != "_group"])
+
+
 def with_group_totals(df: DataFrame, keys: list[str], **totals: str) -> DataFrame:
     """Append ``sum(column)`` of each row's group; NULL keys get NULL totals.
 
     An aggregate joined back rather than a window: sums are combined before the
-    shuffle, and a hot group is never gathered in one task.  Small totals are
-    broadcast by adaptive execution, large ones join with skew splitting.
+    shuffle, and a hot group is never gathered in one task, whatever the rows were
+    joined by before (see ``group_of``).  Small totals are broadcast by adaptive
+    execution, large ones join with skew splitting.
     """
-    sums = df.groupBy(keys).agg(*[F.sum(source).alias(name) for name, source in totals.items()])
-    return df.join(sums, keys, "left")
+    rows = df.withColumn("_group", group_of(keys))
+    sums = rows.where("_group is not null").groupBy("_group").agg(*[F.sum(source).alias(name) for name, source in totals.items()])
+    return rows.join(sums, "_group", "left").drop("_group")
 
 
 def share_of_group(df: DataFrame, keys: list[str], value: str, total: str, name: str) -> DataFrame:
@@ -26,35 +47,45 @@ def share_of_group(df: DataFrame, keys: list[str], value: str, total: str, name:
     return with_group_totals(df, keys, **{total: value}).withColumn(name, share)
 
 
-def running_total(df: DataFrame, value: str, order: list[Column], slices: int | None = None) -> DataFrame:
-    """Append ``running`` and ``grand_total`` of a decimal column in global order.
-
-    Two passes instead of one global window: rows are range-partitioned by the
-    full order (ties included, so equal values spread over slices), each slice is
-    summed, and every slice starts from the sum of those before it.  The sliced
-    rows are written once, which fixes slice membership and lets both passes
-    survive lost executors.  Only one row per slice is ever broadcast.
+def running_total(df: DataFrame, groups: list[str], value: str, keys: list[str], slices: int | None = None) -> DataFrame:
+    """Append ``running`` and ``grand_total`` of a decimal column, largest first, ties by ``keys``.
 
-    Without ``slices`` adaptive execution merges neighbouring ranges to a sensible
-    size, which keeps them in order.
+    Each value of ``groups`` (a few, as categories) is ranked on its own, all in the same passes.  The rows are written
+    once; only (groups, value, keys) are ranked, and the result is joined back.  Ranking takes two passes instead of
+    one global window: the narrow rows are range-partitioned by the full order (ties included, so equal values spread
+    over slices), each slice is summed, and every slice starts from the sum of those before it.  Only one row per
+    slice and group is ever broadcast.  Rows equal in value and keys have the running total of the last of them; NULL
+    values come last.  Without ``slices`` adaptive execution merges neighbouring ranges to a sensible size.
     """
-    ranged = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
-    sliced = materialise(ranged.withColumn("_slice", F.spark_partition_id()))
-    sums = sliced.groupBy("_slice").agg(F.sum(value).alias("_sum"))
-    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     wide = "decimal(38,6)"
+    rows = materialise(df)
+    columns = [*groups, value, *keys]
+    order = [*(F.asc(name) for name in groups), F.desc_nulls_last(value), *(F.asc(key) for key in keys)]
+    narrow = rows.select(columns)
+    ranged = narrow.repartitionByRange(slices, *order) if slices else narrow.repartitionByRange(*order)
+    sliced = materialise(ranged.withColumn("_slice", F.spark_partition_id()))
+    sums = sliced.groupBy(*groups, "_slice").agg(F.sum(value).alias("_sum"))
+    by_group = Window.partitionBy(*groups).orderBy("_slice")
+    before = by_group.rowsBetween(Window.unboundedPreceding, -1)
+    everything = by_group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = sums.select(
-        "_slice",
+        *groups, "_slice",
         F.coalesce(F.sum("_sum").over(before), F.lit(0)).cast(wide).alias("_offset"),
         F.coalesce(F.sum("_sum").over(everything), F.lit(0)).cast(wide).alias("grand_total"),
+    )
+    here = Window.partitionBy("_slice", *groups).orderBy(*order[len(groups) :])
+    following = F.lead(F.struct(value, *keys)).over(here)
+    ranked = (
+        sliced.join(F.broadcast(offsets), [*groups, "_slice"])
+        .withColumn("running", (F.col("_offset") + F.coalesce(F.sum(value).over(here.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))).cast(wide))
+        .withColumn("_last", ~F.struct(value, *keys).eqNullSafe(following))
+        .where("_last")
+        .select(*[F.col(name).alias(f"_r_{name}") for name in columns], "running", "grand_total")
     )
-    within = Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        sliced.join(F.broadcast(offsets), "_slice")
-        .withColumn("running", (F.col("_offset") + F.coalesce(F.sum(value).over(within), F.lit(0))).cast(wide))
-        .drop("_slice", "_offset")
-    )
+    same = F.lit(True)
+    for name in columns:
+        same = same & F.col(name).eqNullSafe(F.col(f"_r_{name}"))
+    return rows.join(ranked, same, "left").drop(*[f"_r_{name}" for name in columns])
 
 
 def as_share(column: Column) -> Column:

@@ -10,9 +10,9 @@ from shelfcast.config import WEATHER_FLOOR
 from shelfcast.functions.labels import performance_label
 from shelfcast.functions.numeric import at_least, coerce_numeric, growth
 from shelfcast.operators.calendar import LY_OFFSETS, Period
-from shelfcast.operators.facts import inventory_position
+from shelfcast.operators.facts import inventory_position, style_key, with_style_left
 from shelfcast.operators.features import ly_window_name
-from shelfcast.operators.grouping import with_group_totals
+from shelfcast.operators.grouping import totals_of, with_group_totals
 from shelfcast.schemas import ITEM, KEY, STORE, STYLE, STYLE_KEY, UNITS, WEEK
 
 MIN_PROJECTION = 0.01
@@ -45,8 +45,8 @@ def _week_bits(first: int, last: int, name: str) -> dict[str, Column]:
     return {f"{name}_{k}": F.when(F.floor(F.col(WEEK) / 100) == year, bit) for k, year in enumerate(_years(first, last))}
 
 
-def size_signals(styled: DataFrame, period: Period) -> DataFrame:
-    """Units of both years and current inventory per (store, style, item).
+def _signals(rows: DataFrame, period: Period, keys: list[str], known: list[str]) -> DataFrame:
+    """Units of both years, current inventory and the weeks with a row, by keys of which ``known`` are not NULL.
 
     One conditional aggregation gives what a full outer join of three separate
     aggregates would: a row wherever any of the three has one.  Stock columns are
@@ -55,7 +55,8 @@ def size_signals(styled: DataFrame, period: Period) -> DataFrame:
     """
     # All keys are tested here: the plan branches that read this frame then ask
     # for the same rows, and Spark runs the shared exchange once.
-    known = styled.where(F.col(STORE).isNotNull() & F.col(STYLE).isNotNull() & F.col(ITEM).isNotNull())
+    for key in known:
+        rows = rows.where(F.col(key).isNotNull())
     this_year = F.col(WEEK).between(period.ty_start, period.latest)
     last_year = F.col(WEEK).between(period.ly_start, period.ly_current)
     none = F.lit(None).cast("bigint")
@@ -65,13 +66,13 @@ def size_signals(styled: DataFrame, period: Period) -> DataFrame:
 
     ty_bits, ly_bits = _week_bits(period.ty_start, period.latest, "ty_weeks"), _week_bits(period.ly_start, period.ly_current, "ly_weeks")
     bits = [*ty_bits, *ly_bits]
-    sales = known.where(this_year | last_year).select(
-        STORE, STYLE, ITEM,
+    sales = rows.where(this_year | last_year).select(
+        *keys,
         when(this_year, F.col(UNITS), "ty"), when(last_year, F.col(UNITS), "ly"), none.alias("stock"),
         *[when(this_year, bit, name) for name, bit in ty_bits.items()], *[when(last_year, bit, name) for name, bit in ly_bits.items()],
     )
-    stock = known.where(F.col(WEEK) == period.latest).select(
-        STORE, STYLE, ITEM, none.alias("ty"), none.alias("ly"), inventory_position("ty").alias("stock"), *[none.alias(name) for name in bits],
+    stock = rows.where(F.col(WEEK) == period.latest).select(
+        *keys, none.alias("ty"), none.alias("ly"), inventory_position("ty").alias("stock"), *[none.alias(name) for name in bits],
     )
 
     def total(value: str, name: str) -> Column:
@@ -79,19 +80,44 @@ def size_signals(styled: DataFrame, period: Period) -> DataFrame:
 
     return (
         sales.unionByName(stock)
-        .groupBy(STORE, STYLE, ITEM)
+        .groupBy(*keys)
         .agg(
             total("ty", "size_sales_ty_13wk"),
             total("ly", "size_sales_ly_13wk"),
             total("stock", "total_pipeline"),
             *[F.bit_or(name).alias(name) for name in bits],
         )
-        # True of every row.  It keeps the bit sets in all branches that read this
-        # frame; were they pruned from one, Spark could not share the exchange.
-        .where(F.greatest(F.lit(0), *bits) >= 0)
+        .transform(_with_all_bits)
     )
 
 
+def _with_all_bits(signals: DataFrame) -> DataFrame:
+    """True of every row.  It keeps the bit sets in all branches that read the frame; were they pruned from one, Spark
+    could not share the exchange below."""
+    return signals.where(F.greatest(F.lit(0), F.lit(0), *_bit_sets(signals, "ty"), *_bit_sets(signals, "ly")) >= 0)
+
+
+def size_signals(styled: DataFrame, period: Period) -> DataFrame:
+    """Signals per (store, style, item) of rows that have a style already."""
+    return _signals(styled, period, [*STYLE_KEY, ITEM], [*STYLE_KEY, ITEM])
+
+
+def item_signals(rows: DataFrame, period: Period) -> DataFrame:
+    """Signals per (store, item, vendor's stock id): all that styles are derived from, a row in place of up to 27."""
+    return _signals(rows, period, [STORE, ITEM, "vendor_stock_id"], [STORE, ITEM])
+
+
+def style_signals(items: DataFrame, style: DataFrame) -> DataFrame:
+    """Signals per (store, style, item) from those by item: the style bridge meets aggregated rows only.
+
+    The sums by style have an exchange of their own, so that adaptive execution may split the join for a hot item.
+    """
+    bits = [*_bit_sets(items, "ty"), *_bit_sets(items, "ly")]
+    sums = [F.sum(name).alias(name) for name in ("size_sales_ty_13wk", "size_sales_ly_13wk", "total_pipeline")]
+    styled = style_key(with_style_left(items, style))
+    return _with_all_bits(totals_of(styled, [*STYLE_KEY, ITEM], *sums, *[F.bit_or(name).alias(name) for name in bits]))
+
+
 def _bit_sets(signals: DataFrame, year: str) -> list[str]:
     return [name for name in signals.columns if name.startswith(f"{year}_weeks_")]
 
@@ -203,7 +229,11 @@ def weighted_mix(styled: DataFrame, period: Period) -> DataFrame:
 
     A style without a row this year has no growth, projection or class.
     """
-    signals = size_signals(styled, period)
+    return mix_of(size_signals(styled, period))
+
+
+def mix_of(signals: DataFrame) -> DataFrame:
+    """``weighted_mix`` from the signals per (store, style, item)."""
     totals = style_totals(signals)
     sold = F.col("style_ty_13wk_avg").isNotNull()
     grown = style_growth(totals)
@@ -230,7 +260,12 @@ def style_projection(styled: DataFrame, period: Period) -> DataFrame:
     ``styled`` are category rows with a ``style`` column and report-named stock
     columns; rows without a style do not take part.
     """
-    return distribute_to_sizes(blended_size_mix(weighted_mix(styled, period)))
+    return projection_of(size_signals(styled, period))
+
+
+def projection_of(signals: DataFrame) -> DataFrame:
+    """``style_projection`` from the signals per (store, style, item)."""
+    return distribute_to_sizes(blended_size_mix(mix_of(signals)))
 
 
 def attach_projection(current: DataFrame, projection: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shelfcast.config import PushPreset
 from shelfcast.functions.labels import trend_reason, weather_reason
 from shelfcast.functions.numeric import at_least, at_most, half_even, weeks_cover
-from shelfcast.operators.grouping import with_group_totals
+from shelfcast.operators.grouping import totals_of, with_group_totals
 from shelfcast.schemas import STORE, STYLE, STYLE_KEY
 
 MIN_DEMAND = 0.01
@@ -107,13 +107,10 @@ def to_case_packs(df: DataFrame) -> DataFrame:
 
 def style_target_gap(df: DataFrame, style_target_wos: float) -> DataFrame:
     """Per (store, style): demand, target, inventory and the gap between them."""
+    demand = F.coalesce(F.sum("projected_weekly_sales"), F.lit(0.0)).alias("style_demand")
+    pipeline = F.coalesce(F.sum("total_pipeline"), F.lit(0)).alias("style_total_pipeline")
     return (
-        df.where(F.col(STYLE).isNotNull())
-        .groupBy(STORE, STYLE)
-        .agg(
-            F.coalesce(F.sum("projected_weekly_sales"), F.lit(0.0)).alias("style_demand"),
-            F.coalesce(F.sum("total_pipeline"), F.lit(0)).alias("style_total_pipeline"),
-        )
+        totals_of(df, STYLE_KEY, demand, pipeline)
         .withColumn("style_target_inventory", F.greatest(F.lit(0.0), F.col("style_demand") * float(style_target_wos)))
         .withColumn(
             "style_gap", F.greatest(F.lit(0.0), F.col("style_target_inventory") - F.col("style_total_pipeline"))

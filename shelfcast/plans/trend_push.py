@@ -26,7 +26,9 @@ from shelfcast.operators.projection import (
     blend_forecast,
     client_forecast_avg,
     item_projection,
-    style_projection,
+    item_signals,
+    projection_of,
+    style_signals,
 )
 from shelfcast.operators.push import push_reason_trend, push_style_rop, push_wos, round_trend, sell_through, wos_trend
 from shelfcast.plans.tables import PushReport, RetailTables
@@ -56,10 +58,10 @@ EXTRA_COLUMNS = [
 ]
 
 
-def styled_rows(facts: DataFrame, style: DataFrame, subcategories, period: Period) -> DataFrame:
-    """Category rows of both 13-week windows with their style; narrow columns only."""
+def window_rows(facts: DataFrame, subcategories, period: Period) -> DataFrame:
+    """Category rows of both 13-week windows; narrow columns only."""
     stock = {name: source for name, source in STOCK_COLUMNS.items() if name.endswith("_ty")}
-    rows = (
+    return (
         filter_category(facts, subcategories)
         .where(
             F.col(WEEK).between(period.ty_start, period.latest)
@@ -70,7 +72,11 @@ def styled_rows(facts: DataFrame, style: DataFrame, subcategories, period: Perio
             *[F.col(source).alias(name) for name, source in stock.items()],
         )
     )
-    return style_key(with_style_left(rows, style))
+
+
+def styled_rows(facts: DataFrame, style: DataFrame, subcategories, period: Period) -> DataFrame:
+    """Category rows of both 13-week windows with their style."""
+    return style_key(with_style_left(window_rows(facts, subcategories, period), style))
 
 
 def trend_inputs(tables: RetailTables, preset: PushPreset, period: Period) -> DataFrame:
@@ -86,8 +92,8 @@ def trend_scored(tables: RetailTables, preset: PushPreset, period: Period) -> Da
     """Inputs with projection, client forecast and weeks of supply."""
     rows = trend_inputs(tables, preset, period)
     if preset.use_style_projection:
-        styled = styled_rows(tables.facts, tables.style, preset.subcategories, period)
-        rows = attach_projection(rows.drop("ly_current_week", "ly_next_week"), style_projection(styled, period))
+        signals = style_signals(item_signals(window_rows(tables.facts, preset.subcategories, period), period), tables.style)
+        rows = attach_projection(rows.drop("ly_current_week", "ly_next_week"), projection_of(signals))
     else:
         rows = item_projection(rows, filter_category(tables.facts, preset.subcategories), period)
     if preset.use_client_forecast:

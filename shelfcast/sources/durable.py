@@ -24,6 +24,14 @@ def ensure_checkpoint_folder(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and read it from there (one job)."""
-    ensure_checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` below the checkpoint folder as Parquet and read it from there (one job).
+
+    Later plans read only the columns they need and know the size; lost executors cost nothing but a read.  The files
+    go when the application ends.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_folder(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(own)
+    return spark.read.schema(df.schema).parquet(path)
