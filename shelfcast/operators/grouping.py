@@ -58,12 +58,12 @@ def running_total(df: DataFrame, groups: list[str], value: str, keys: list[str],
     values come last.  Without ``slices`` adaptive execution merges neighbouring ranges to a sensible size.
     """
     wide = "decimal(38,6)"
-    rows = materialise(df)
+    rows = materialise(df, groups)
     columns = [*groups, value, *keys]
     order = [*(F.asc(name) for name in groups), F.desc_nulls_last(value), *(F.asc(key) for key in keys)]
     narrow = rows.select(columns)
     ranged = narrow.repartitionByRange(slices, *order) if slices else narrow.repartitionByRange(*order)
-    sliced = materialise(ranged.withColumn("_slice", F.spark_partition_id()))
+    sliced = materialise(ranged.withColumn("_slice", F.spark_partition_id()), groups)
     sums = sliced.groupBy(*groups, "_slice").agg(F.sum(value).alias("_sum"))
     by_group = Window.partitionBy(*groups).orderBy("_slice")
     before = by_group.rowsBetween(Window.unboundedPreceding, -1)
@@ -84,7 +84,8 @@ def running_total(df: DataFrame, groups: list[str], value: str, keys: list[str],
     )
     same = F.lit(True)
     for name in columns:
-        same = same & F.col(name).eqNullSafe(F.col(f"_r_{name}"))
+        other = F.col(f"_r_{name}")  # groups are never NULL, and their equality prunes both sides
+        same = same & (F.col(name) == other if name in groups else F.col(name).eqNullSafe(other))
     return rows.join(ranked, same, "left").drop(*[f"_r_{name}" for name in columns])
 
 

@@ -12,7 +12,6 @@ from shelfcast.operators.calendar import Period
 from shelfcast.operators.facts import (
     STOCK_COLUMNS,
     filter_category,
-    select_report,
     style_key,
     with_case_pack,
     with_inventory_position,
@@ -20,7 +19,7 @@ from shelfcast.operators.facts import (
     with_style_left,
 )
 from shelfcast.operators.features import feature_frame, style_spread
-from shelfcast.operators.grading import abc_grade, attach_clusters, region_summary_trend, store_clusters
+from shelfcast.operators.grading import region_summary_trend
 from shelfcast.operators.projection import (
     attach_projection,
     blend_forecast,
@@ -31,6 +30,7 @@ from shelfcast.operators.projection import (
     style_signals,
 )
 from shelfcast.operators.push import push_reason_trend, push_style_rop, push_wos, round_trend, sell_through, wos_trend
+from shelfcast.plans.finish import Method, Pushed, finished
 from shelfcast.plans.tables import PushReport, RetailTables
 from shelfcast.schemas import CATEGORY_A, ITEM, STORE, UNITS, WEEK
 from shelfcast.sources.durable import materialise
@@ -102,30 +102,41 @@ def trend_scored(tables: RetailTables, preset: PushPreset, period: Period) -> Da
     return wos_trend(rows)
 
 
-def trend_pushed(tables: RetailTables, preset: PushPreset, period: Period, parity: bool = False) -> DataFrame:
-    """Scored rows with unrounded push quantities."""
-    scored = trend_scored(tables, preset, period)
-    if preset.push_strategy == "style_rop" and preset.use_style_projection:
-        # The style strategy reads the rows several times; write them once.
+def by_style(preset: PushPreset) -> bool:
+    """Whether units are pushed by style first; the style strategy reads its scored rows several times."""
+    return preset.push_strategy == "style_rop" and preset.use_style_projection
+
+
+def pushed_of(scored: DataFrame, tables: RetailTables, preset: PushPreset, period: Period, parity: bool = False) -> DataFrame:
+    """Scored rows, written already if ``by_style``, with unrounded push quantities."""
+    if by_style(preset):
         spread = style_spread(styled_rows(tables.facts, tables.style, preset.subcategories, period), period)
-        return push_style_rop(materialise(scored), spread, preset, parity=parity)
+        return push_style_rop(scored, spread, preset, parity=parity)
     return push_wos(scored, preset.target_wos, preset.hysteresis_weeks, preset.min_push_units)
 
 
-def trend_push(tables: RetailTables, preset: PushPreset, period: Period, parity: bool = False) -> PushReport:
-    """Detail, regional summary and store clusters of one category.
+def trend_pushed(tables: RetailTables, preset: PushPreset, period: Period, parity: bool = False) -> DataFrame:
+    """``pushed_of`` one category from its tables."""
+    scored = trend_scored(tables, preset, period)
+    return pushed_of(materialise(scored) if by_style(preset) else scored, tables, preset, period, parity)
+
 
-    Runs jobs while planning: the global ranking writes its rows once (see
-    ``grouping.running_total``).  A category without rows yields empty frames.
-    """
-    graded = abc_grade(trend_pushed(tables, preset, period, parity), TREND_GRADE_CUTS)
+def _finish(graded: DataFrame, preset: PushPreset) -> DataFrame:
     detail = round_trend(push_reason_trend(graded, preset.target_wos))
     if preset.convert_to_case_pack:
         packs = half_even(F.col("push_units") / F.col("case_pack_qty")).cast("bigint")
         detail = detail.withColumn("push_case_pack", packs)
-    clusters = store_clusters(detail)
-    detail = attach_clusters(detail, clusters)
+    return detail
+
+
+def _columns(preset: PushPreset, detail: DataFrame) -> list[str]:
     base = BASE_COLUMNS + (CATEGORY_A_COLUMNS if preset.source == CATEGORY_A else [])
-    columns = base + [c for c in EXTRA_COLUMNS if c in detail.columns]
-    detail = select_report(detail, columns)
-    return PushReport(detail, region_summary_trend(detail), clusters)
+    return base + [c for c in EXTRA_COLUMNS if c in detail.columns]
+
+
+TREND = Method(TREND_GRADE_CUTS, _finish, _columns, region_summary_trend)
+
+
+def trend_push(tables: RetailTables, preset: PushPreset, period: Period, parity: bool = False) -> PushReport:
+    """Detail, regional summary and store clusters of one category; see ``finished``."""
+    return finished({preset.name: Pushed(TREND, preset, trend_pushed(tables, preset, period, parity))})[preset.name]

@@ -13,14 +13,13 @@ from shelfcast.operators.facts import (
     current_rows,
     filter_category,
     lower_region,
-    select_report,
     with_case_pack,
     with_inventory_position,
     with_store,
     with_weather,
 )
 from shelfcast.operators.features import ly_window_name, weather_features
-from shelfcast.operators.grading import abc_grade, attach_clusters, region_summary_weather, store_clusters
+from shelfcast.operators.grading import region_summary_weather
 from shelfcast.operators.projection import weather_projection
 from shelfcast.operators.push import (
     push_reason_weather,
@@ -31,6 +30,7 @@ from shelfcast.operators.push import (
     to_case_packs,
     wos_weather,
 )
+from shelfcast.plans.finish import Method, Pushed, finished
 from shelfcast.plans.tables import PushReport, RetailTables
 from shelfcast.schemas import CATEGORY_A, KEY
 
@@ -70,12 +70,17 @@ def weather_pushed(tables: RetailTables, preset: PushPreset, period: Period) ->
     return shelf_fill(pushed, preset.shelf_fill_region) if preset.apply_shelf_fill else pushed
 
 
+def _finish(graded: DataFrame, preset: PushPreset) -> DataFrame:
+    return round_weather(push_reason_weather(to_case_packs(graded), preset.target_wos))
+
+
+def _columns(preset: PushPreset, detail: DataFrame) -> list[str]:
+    return BASE_COLUMNS + (CATEGORY_A_COLUMNS if preset.source == CATEGORY_A else []) + REPORT_COLUMNS
+
+
+WEATHER = Method(WEATHER_GRADE_CUTS, _finish, _columns, region_summary_weather)
+
+
 def weather_push(tables: RetailTables, preset: PushPreset, period: Period) -> PushReport:
-    """Detail, regional summary and store clusters; runs jobs like ``trend_push``."""
-    graded = to_case_packs(abc_grade(weather_pushed(tables, preset, period), WEATHER_GRADE_CUTS))
-    detail = round_weather(push_reason_weather(graded, preset.target_wos))
-    clusters = store_clusters(detail)
-    detail = attach_clusters(detail, clusters)
-    columns = BASE_COLUMNS + (CATEGORY_A_COLUMNS if preset.source == CATEGORY_A else []) + REPORT_COLUMNS
-    detail = select_report(detail, columns)
-    return PushReport(detail, region_summary_weather(detail), clusters)
+    """Detail, regional summary and store clusters of one category; see ``finished``."""
+    return finished({preset.name: Pushed(WEATHER, preset, weather_pushed(tables, preset, period))})[preset.name]

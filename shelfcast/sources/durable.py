@@ -23,7 +23,7 @@ def ensure_checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, partitions: list[str] = []) -> DataFrame:  # noqa: B006
     """Write ``df`` below the checkpoint folder as Parquet and read it from there (one job).
 
     Later plans read only the columns they need and know the size; lost executors cost nothing but a read.  The files
@@ -31,7 +31,7 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_folder(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partitions).parquet(path)
     own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(own)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(df.columns)

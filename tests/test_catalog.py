@@ -10,7 +10,11 @@ from shelfcast.catalog import registry
 from shelfcast.catalog.compare import compare, connect
 from shelfcast.catalog.workspace import Workspace
 from shelfcast.config import PUSH_PRESETS
-from shelfcast.plans.runner import run_category
+from shelfcast.operators import calendar as cal
+from shelfcast.operators import diagnostics as diag
+from shelfcast.operators import grouping
+from shelfcast.plans import finish
+from shelfcast.plans.runner import run_all, run_category
 from shelfcast.plans.trend_push import styled_rows, trend_scored
 
 DATA = "/root/testdata/sf0.001"
@@ -19,6 +23,8 @@ CHECKED = [
     "weekly_productivity", "weekly_productivity_category_d", "feature_frame", "style_projection", "item_projection",
     "blend_forecast", "weather_projection", "rop_gate", "push_style_rop", "push_style_rop_parity", "shelf_fill", "abc_grade",
     "store_clusters", "region_summary_trend", "region_summary_weather", "week_windows", "table_summary", "weekly_update",
+    "fact_versions", "upsert_replayed_batch", "stored_weeks", "rejected_lines", "load_all_dimensions_rows", "write_push_report_detail",
+    "calendar_dimension", "week_windows_all_targets", "rolling_units_all_targets",
     "trend_push_detail_category_a", "trend_push_detail_item_projection", "weather_push_detail_category_d", "run_all",
 ]
 
@@ -77,6 +83,41 @@ def test_each_fact_slice_is_read_once(workspace):
     assert len(scans) == 4  # current rows, features, sales of both years, current stock
 
 
+def test_eager_writes_do_not_grow_with_the_categories(workspace, monkeypatch):
+    writes = []
+    write = grouping.materialise
+
+    def counted(*args):
+        writes.append(args)
+        return write(*args)
+
+    monkeypatch.setattr(grouping, "materialise", counted)
+    monkeypatch.setattr(finish, "materialise", counted)
+    counts = []
+    for keys in (["category_a"], list(PUSH_PRESETS)):
+        writes.clear()
+        assert run_all(workspace.tables, {key: PUSH_PRESETS[key] for key in keys}, workspace.period).keys() == set(keys)
+        counts.append(len(writes))
+    assert counts == [5, 5]
+
+
+def test_reports_of_all_categories_equal_those_of_each(workspace):
+    together = run_all(workspace.tables, period=workspace.period)
+    for key in ("category_a", "category_d", "category_e"):
+        alone = run_category(workspace.tables, key, workspace.period)
+        for name in ("detail", "summary", "clusters"):
+            mine, theirs = getattr(together[key], name), getattr(alone, name)
+            assert mine.schema == theirs.schema
+            assert sorted(map(str, mine.collect())) == sorted(map(str, theirs.collect()))
+
+
+def test_counts_by_partition_read_no_column(workspace):
+    text = plan(contract.queries()["stored_weeks"](workspace.spark, DATA)) + plan(cal.latest_week(workspace.facts))
+    text += plan(diag.table_summary({"general": workspace.facts.where("source_table <> 'category_a'")}))
+    scans = [line for line in text.splitlines() if "FileScan" in line]
+    assert len(scans) == 3 and all("ReadSchema: struct<>" in line for line in scans)
+
+
 @pytest.mark.parametrize("key", PUSH_PRESETS)
 def test_a_category_without_rows_gives_empty_reports(workspace, key):
     nothing = dataclasses.replace(PUSH_PRESETS[key], subcategories=("none",))

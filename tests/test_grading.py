@@ -1,4 +1,5 @@
 import random
+import re
 from decimal import Decimal
 
 import pytest
@@ -66,3 +67,67 @@ def test_grades_fall_with_baseline(frame):
     graded = grading.abc_grade(frame([("1", f"i{n}", float(n)) for n in range(50)], ROWS), (50, 80, 95))
     labels = [r["store_item_grade"] for r in graded.orderBy(F.desc("baseline_weekly_sales")).collect()]
     assert labels == sorted(labels)
+
+
+def formatted(df) -> str:
+    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def exchanges(df) -> list[str]:
+    """Input columns and arguments of each exchange of a plan."""
+    return re.findall(r"\) Exchange\nInput \[\d+\]: (.*?)\n\n", formatted(df), re.S)
+
+
+def test_only_the_ranked_columns_are_dealt_into_slices(spark, frame):
+    rows = [("1", f"i{n}", float(n % 7), f"text {n}") for n in range(60)]
+    with_broadcasts_off(spark, lambda: check_slices(frame(rows, ROWS + ", wide string")))
+
+
+def check_slices(df):
+    found = exchanges(grading.abc_grade(df, (20, 50, 95)))
+    slices = [text for text in found if "_slice" in text]
+    assert slices and not any("wide" in text for text in slices)
+    assert sum("wide" in text for text in found) == 1  # of the join by key
+
+
+def with_broadcasts_off(spark, run):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        run()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_totals_after_a_join_by_the_same_key_are_combined_before_an_exchange(spark, frame):
+    """A third of all rows have one key; the join before the totals deals rows out by it."""
+    rows = [("hot" if n % 3 == 0 else f"k{n % 50}", n) for n in range(3000)]
+
+    def check():
+        joined = frame(rows, "k string, v bigint").join(frame([("hot", 1)] + [(f"k{n}", 2) for n in range(50)], "k string, w bigint"), "k")
+        totals = grouping.with_group_totals(joined, ["k"], total="v")
+        text = formatted(totals)
+        assert "partial_sum(v" in text and any("hashpartitioning(_group" in found and "sum#" in found for found in exchanges(totals))
+        expected = {}
+        for key, value in rows:
+            expected[key] = expected.get(key, 0) + value
+        assert {(r["k"], r["v"]): r["total"] for r in totals.collect()} == {(key, value): expected[key] for key, value in rows}
+
+    with_broadcasts_off(spark, check)
+
+
+def test_rows_equal_in_value_and_key_are_not_multiplied(frame):
+    rows = [("1", "a", 2.0), ("1", "a", 2.0), ("1", "a", 1.0), ("2", "b", 5.0), (None, "c", 1.0), (None, "c", 1.0)]
+    graded = grading.abc_grade(frame(rows, ROWS), (20, 50, 95)).collect()
+    assert sorted((str(r["store_number"]), r["baseline_weekly_sales"], round(r["cumulative_pct"], 2)) for r in graded) == [
+        ("1", 1.0, 100.0), ("1", 2.0, 75.0), ("1", 2.0, 75.0), ("2", 5.0, 41.67), ("None", 1.0, 91.67), ("None", 1.0, 91.67),
+    ]
+
+
+def test_groups_are_ranked_apart(frame):
+    rows = [(g, str(n % 3), f"i{n}", float(n + 1)) for g in ("x", "y") for n in range(20 if g == "x" else 7)]
+    df = frame(rows, "g string, " + ROWS)
+    together = grading.abc_labels(grading.abc_running(df, ["g"], slices=4), (20, 50, 95))
+    for g in ("x", "y"):
+        alone = grading.abc_grade(df.where(F.col("g") == g), (20, 50, 95))
+        assert sorted(map(str, together.where(F.col("g") == g).select(alone.columns).collect())) == sorted(map(str, alone.collect()))

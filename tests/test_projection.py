@@ -4,12 +4,14 @@ import dataclasses
 
 import itertools
 import random
+import re
 from collections import defaultdict
 
 import pytest
 
 from shelfcast.operators import projection as proj
 from shelfcast.operators.calendar import Period
+from shelfcast.operators.facts import style_key, with_style_left
 
 PERIOD = Period(202444, 202432, 202345, 202419, (202443, 202442, 202441, 202440), 202332, 202344, 202345,
                 (202341, 202342, 202343, 202344, 202345, 202346))
@@ -126,6 +128,37 @@ def test_style_projection_with_a_hot_style(frame):
         assert got[key]["baseline_weekly_sales"] == pytest.approx(baseline)
 
 
+def test_signals_by_item_give_the_same_projection_with_a_hot_item(spark, frame):
+    """A third of all rows are of one item; items have several vendor ids, two styles share an item, nothing is broadcast."""
+    rng = random.Random(5)
+    weeks = [*range(202332, 202345), *range(202432, 202445)]
+    rows = [
+        (week, str(rng.randint(0, 5)), "HOT" if n % 3 == 0 else f"i{n % 17}", rng.choice(["V1", "V2", None]), rng.randint(0, 9), rng.randint(0, 20), 0, 0, 0)
+        for week in weeks for n in range(40)
+    ]
+    schema = (
+        "f5c_calendar_week int, store_number string, f5c_item_number string, vendor_stock_id string, pos_quantity_this_year bigint,"
+        "on_hand_ty bigint, in_warehouse_ty bigint, in_transit_ty bigint, on_order_ty bigint"
+    )
+    bridge = [("HOT", "S1"), *((f"i{n}", f"S{n % 4}") for n in range(12)), ("i3", "S9")]
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts, style = frame(rows, schema), frame(bridge, "customer_style_number string, internal_style_color string")
+        before = proj.style_projection(style_key(with_style_left(facts, style)), PERIOD)
+        after = proj.projection_of(proj.style_signals(proj.item_signals(facts, PERIOD), style))
+        text = after._jdf.queryExecution().executedPlan().toString()
+        values = {name: {(r["store_number"], r["style"], r["f5c_item_number"]): (r["projected_weekly_sales"], r["baseline_weekly_sales"]) for r in frame_.collect()} for name, frame_ in (("a", before), ("b", after))}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert values["a"].keys() == values["b"].keys() and len(values["a"]) > 50
+    for key, (projected, baseline) in values["a"].items():
+        assert values["b"][key] == (projected if projected is None else pytest.approx(projected), pytest.approx(baseline))
+    assert re.search(r"SortMergeJoin \[f5c_item_number", text)
+    below = text[re.search(r"SortMergeJoin \[f5c_item_number", text).end() :]
+    assert "HashAggregate" in below  # the bridge meets aggregated rows
+
+
 def test_mix_sums_to_one_or_zero(frame):
     df = frame(
         [("1", "S", "a", 3, 0, 1), ("1", "S", "b", 1, 0, 1), ("1", "T", "c", 0, 0, 0)],
