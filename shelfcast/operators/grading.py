@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.labels import CLUSTER_CUTS, CLUSTER_LABELS, GRADE_LABELS, share_label
 from shelfcast.functions.numeric import half_even
-from shelfcast.operators.grouping import as_share, exact_mean, running_total
+from shelfcast.operators.grouping import as_share, exact_mean, ranked, running_total
 from shelfcast.schemas import ITEM, STORE
 
 STORE_GROUP = ["region", "state", STORE]
@@ -23,10 +23,10 @@ def abc_running(df: DataFrame, groups: list[str] = [], slices: int | None = None
     return running_total(rows, groups, "_baseline", [STORE, ITEM], slices)
 
 
-def abc_labels(ranked: DataFrame, cuts: tuple) -> DataFrame:
+def abc_labels(placed: DataFrame, cuts: tuple) -> DataFrame:
     """Shares and grades from the running totals of ``abc_running``."""
     positive, known = F.col("grand_total") > 0, F.col("_baseline").isNotNull()
-    return ranked.withColumns(
+    return placed.withColumns(
         {
             "pct_of_total_sales": F.when(~positive, F.lit(0.0)).when(known, _percent(F.col("_baseline"), F.col("grand_total"))),
             "cumulative_pct": F.when(~positive, F.lit(0.0)).when(known, _percent(F.col("running"), F.col("grand_total"))),
@@ -65,9 +65,9 @@ def store_totals(detail: DataFrame, groups: list[str] = []) -> DataFrame:  # noq
 def store_clusters(detail: DataFrame, slices: int | None = None, groups: list[str] = []) -> DataFrame:  # noqa: B006
     """Stores labelled by cumulative share of baseline sales, largest first, within ``groups``."""
     totals = store_totals(detail, groups).withColumn("_baseline", F.col("_baseline").cast("decimal(30,6)"))
-    ranked = running_total(totals, groups, "_baseline", [STORE, "region", "state"], slices)
+    placed = ranked(totals, groups, "_baseline", [STORE, "region", "state"], slices).drop("_next")
     nonzero = F.col("grand_total") != 0
-    return ranked.withColumns(
+    return placed.withColumns(
         {
             "store_pct_of_total_sales": F.when(nonzero, _percent(F.col("_baseline"), F.col("grand_total"))),
             "store_cumulative_pct": F.when(nonzero, _percent(F.col("running"), F.col("grand_total"))),

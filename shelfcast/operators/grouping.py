@@ -47,22 +47,18 @@ def share_of_group(df: DataFrame, keys: list[str], value: str, total: str, name:
     return with_group_totals(df, keys, **{total: value}).withColumn(name, share)
 
 
-def running_total(df: DataFrame, groups: list[str], value: str, keys: list[str], slices: int | None = None) -> DataFrame:
-    """Append ``running`` and ``grand_total`` of a decimal column, largest first, ties by ``keys``.
-
-    Each value of ``groups`` (a few, as categories) is ranked on its own, all in the same passes.  The rows are written
-    once; only (groups, value, keys) are ranked, and the result is joined back.  Ranking takes two passes instead of
-    one global window: the narrow rows are range-partitioned by the full order (ties included, so equal values spread
-    over slices), each slice is summed, and every slice starts from the sum of those before it.  Only one row per
-    slice and group is ever broadcast.  Rows equal in value and keys have the running total of the last of them; NULL
-    values come last.  Without ``slices`` adaptive execution merges neighbouring ranges to a sensible size.
+def ranked(df: DataFrame, groups: list[str], value: str, keys: list[str], slices: int | None = None) -> DataFrame:
+    """Append ``running`` and ``grand_total`` of a decimal column, largest first, ties by ``keys``; for narrow rows.
+
+    Each value of ``groups`` (a few, as categories) is ranked on its own, all in the same passes.  Two passes instead
+    of one global window: rows are range-partitioned by the full order (ties included, so equal values spread over
+    slices) and written once, each slice is summed, and every slice starts from the sum of those before it.  Only one
+    row per slice and group is ever broadcast.  NULL values come last.  Without ``slices`` adaptive execution merges
+    neighbouring ranges to a sensible size.
     """
     wide = "decimal(38,6)"
-    rows = materialise(df, groups)
-    columns = [*groups, value, *keys]
     order = [*(F.asc(name) for name in groups), F.desc_nulls_last(value), *(F.asc(key) for key in keys)]
-    narrow = rows.select(columns)
-    ranged = narrow.repartitionByRange(slices, *order) if slices else narrow.repartitionByRange(*order)
+    ranged = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
     sliced = materialise(ranged.withColumn("_slice", F.spark_partition_id()), groups)
     sums = sliced.groupBy(*groups, "_slice").agg(F.sum(value).alias("_sum"))
     by_group = Window.partitionBy(*groups).orderBy("_slice")
@@ -74,19 +70,29 @@ def running_total(df: DataFrame, groups: list[str], value: str, keys: list[str],
         F.coalesce(F.sum("_sum").over(everything), F.lit(0)).cast(wide).alias("grand_total"),
     )
     here = Window.partitionBy("_slice", *groups).orderBy(*order[len(groups) :])
-    following = F.lead(F.struct(value, *keys)).over(here)
-    ranked = (
+    running = F.coalesce(F.sum(value).over(here.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))
+    return (
         sliced.join(F.broadcast(offsets), [*groups, "_slice"])
-        .withColumn("running", (F.col("_offset") + F.coalesce(F.sum(value).over(here.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))).cast(wide))
-        .withColumn("_last", ~F.struct(value, *keys).eqNullSafe(following))
-        .where("_last")
-        .select(*[F.col(name).alias(f"_r_{name}") for name in columns], "running", "grand_total")
+        .withColumn("running", (F.col("_offset") + running).cast(wide))
+        .withColumn("_next", F.lead(F.struct(value, *keys)).over(here))
+        .drop("_slice", "_offset")
     )
+
+
+def running_total(df: DataFrame, groups: list[str], value: str, keys: list[str], slices: int | None = None) -> DataFrame:
+    """``ranked`` for wide rows: they are written once, (groups, value, keys) alone are ranked and joined back.
+
+    Rows equal in value and keys have the running total of the last of them.
+    """
+    columns = [*groups, value, *keys]
+    rows = materialise(df, groups)
+    places = ranked(rows.select(columns), groups, value, keys, slices).where(~F.struct(value, *keys).eqNullSafe(F.col("_next")))
+    places = places.select(*[F.col(name).alias(f"_r_{name}") for name in columns], "running", "grand_total")
     same = F.lit(True)
     for name in columns:
         other = F.col(f"_r_{name}")  # groups are never NULL, and their equality prunes both sides
         same = same & (F.col(name) == other if name in groups else F.col(name).eqNullSafe(other))
-    return rows.join(ranked, same, "left").drop(*[f"_r_{name}" for name in columns])
+    return rows.join(places, same, "left").drop(*[f"_r_{name}" for name in columns])
 
 
 def as_share(column: Column) -> Column:

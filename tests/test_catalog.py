@@ -98,7 +98,7 @@ def test_eager_writes_do_not_grow_with_the_categories(workspace, monkeypatch):
         writes.clear()
         assert run_all(workspace.tables, {key: PUSH_PRESETS[key] for key in keys}, workspace.period).keys() == set(keys)
         counts.append(len(writes))
-    assert counts == [5, 5]
+    assert counts == [4, 4]
 
 
 def test_reports_of_all_categories_equal_those_of_each(workspace):
