@@ -24,7 +24,7 @@ class Merges:
 
     def __init__(self, symbols: np.ndarray, last: np.ndarray, left: np.ndarray, right: np.ndarray, merged: np.ndarray, rank: np.ndarray):
         self.symbols, self.last = symbols.astype(np.uint32), last.astype(np.uint32)
-        self.bits = 22
+        self.bits = max(8, int(3 * len(left)).bit_length())
         size = 1 << self.bits
         self.keys = np.full(size, np.uint64(0xFFFFFFFFFFFFFFFF))
         self.rank, self.merged = np.full(size, _NONE), np.full(size, _NONE)

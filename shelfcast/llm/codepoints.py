@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import regex
 
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
@@ -57,6 +58,29 @@ def span_hashes(points: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return mix((sums[end] - sums[start]) * inverses[start])
 
 
+def distinct_spans(points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each span [begin, end) among the distinct ones, and the first span of each number.
+
+    Spans are grouped by hash and then compared with the first of their group, code point by code point, so that
+    different spans of one hash are told apart.
+    """
+    codes, hashes = pd.factorize(span_hashes(points, begin, end))
+    first = np.empty(len(hashes), dtype=np.int64)
+    first[codes[::-1]] = np.arange(len(codes))[::-1]
+    model, size = first[codes], end - begin
+    if len(size):
+        same_size = size == size[model]
+        own = np.where(same_size, size, 0)
+        at = np.repeat(begin - (np.cumsum(own) - own), own) + np.arange(own.sum())
+        if same_size.all() and np.array_equal(points[at], points[at + np.repeat(begin[model] - begin, own)]):
+            return codes, first
+        numbers: dict[bytes, int] = {}
+        codes = np.array([numbers.setdefault(points[a:b].tobytes(), len(numbers)) for a, b in zip(begin.tolist(), end.tolist(), strict=True)], dtype=np.int64)
+        first = np.empty(len(numbers), dtype=np.int64)
+        first[codes[::-1]] = np.arange(len(codes))[::-1]
+    return codes, first
+
+
 def words_between(points: np.ndarray, starts: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Maximal spans of non-blank code points within a text: start, end, and the text's number."""
     solid = ~blank

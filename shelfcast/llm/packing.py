@@ -13,7 +13,6 @@ import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
@@ -21,13 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm import bpe
-from shelfcast.llm.codepoints import decode, span_hashes
+from shelfcast.llm.codepoints import decode, distinct_spans
 from shelfcast.llm.shared import chunks, map_batches, materialise, ship_code, strings
 
 WINDOW, END = 2048, 1
 SHARD_TOKENS = 400_000
 K1, B = 1.2, 0.75
-_CHUNK, _WORDS = 2 << 20, 400_000
+_CHUNK, _WORDS = 1 << 19, 200_000
 
 
 def normal(text: str) -> str:
@@ -45,7 +44,7 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known: dict[str, int] = {}
         self.ids = np.zeros(0, dtype=np.uint16)
         self.bounds = np.zeros(1, dtype=np.int64)
 
@@ -56,17 +55,16 @@ class Encoder:
         texts = [normal(text) for text in texts]
         points, starts = decode(texts)
         begin, end = bpe.split_words(points, starts)
-        codes, hashes = pd.factorize(span_hashes(points, begin, end))
-        place = np.array([self.known.get(value, -1) for value in hashes.tolist()], dtype=np.int64)
+        codes, first = distinct_spans(points, begin, end)
+        every = "".join(texts)
+        words = [every[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist(), strict=True)]
+        place = np.fromiter((self.known.get(word, -1) for word in words), dtype=np.int64, count=len(words))
         fresh = np.flatnonzero(place < 0)
         if len(fresh):
-            first = np.empty(len(hashes), dtype=np.int64)
-            first[codes[::-1]] = np.arange(len(codes))[::-1]
-            every = "".join(texts)
-            words = [every[a:b].encode() for a, b in zip(begin[first[fresh]].tolist(), end[first[fresh]].tolist(), strict=True)]
-            ids, counts = self.merges.encode(words)
+            unknown = [words[row] for row in fresh.tolist()]
+            ids, counts = self.merges.encode([word.encode() for word in unknown])
             place[fresh] = np.arange(len(self.known), len(self.known) + len(fresh))
-            self.known.update(zip(hashes[fresh].tolist(), place[fresh].tolist(), strict=True))
+            self.known.update(zip(unknown, place[fresh].tolist(), strict=True))
             self.ids = np.concatenate((self.ids, ids.astype(np.uint16)))
             self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(counts)))
         own = place[codes]

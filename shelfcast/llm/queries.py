@@ -64,8 +64,7 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = tokens.encode(table(spark, sf_dir, "documents"), ranks)
-    return tokens.decode_ids(encoded, ranks).select(
+    return tokens.round_trip(table(spark, sf_dir, "documents"), ranks, stable=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),

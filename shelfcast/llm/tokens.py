@@ -3,8 +3,12 @@
 Texts are cut into pre-tokens in blocks of about ``BLOCK_TOKENS``.  A block lists its distinct pre-tokens once and
 holds its documents as places in that list.  The lists of all blocks are exploded and exchanged by pre-token, so that
 each distinct one is merged once; its ids go back to the blocks that hold it (a frequent pre-token travels once a
-block, not once an occurrence), and each block reassembles its documents by position.  A block is rebuilt the same way whenever Spark
-recomputes its partition, so nothing depends on one executor.
+block, not once an occurrence), and each block reassembles its documents by position.  Pre-tokens are told apart by
+their bytes.
+
+Texts are read twice, for the lists and for the documents.  Input that may come in another order when it is read again
+(behind a shuffle) is written to the shared folder first; a block is named by its content, so that two readings that
+differ fail and never exchange ids.
 
 Null and empty texts give no ids.  Repeated rows and repeated keys give one result each; other columns are not read.
 """
@@ -14,45 +18,45 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm import bpe
-from shelfcast.llm.codepoints import decode, span_hashes
-from shelfcast.llm.shared import chunks, map_batches, strings
+from shelfcast.llm.codepoints import decode, distinct_spans
+from shelfcast.llm.shared import chunks, map_batches, materialise, strings
 
 #: Pre-tokens in a block, and UTF-8 bytes of text handled at once.
-BLOCK_TOKENS, CHUNK_BYTES = 3_000_000, 1 << 20
+BLOCK_TOKENS, CHUNK_BYTES = 3_000_000, 1 << 19
 
 
-def _distinct(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """Pre-tokens of each text, the number of each in the list of distinct ones, their hashes, their bytes."""
+def _distinct(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """How many pre-tokens each text has, the number of each in the list of distinct ones, and that list."""
     points, starts = decode(texts)
     begin = bpe.split_spaced(points, starts)
     end = np.append(begin[1:], len(points))
-    codes, hashes = pd.factorize(span_hashes(points, begin, end))
-    first = np.empty(len(hashes), dtype=np.int64)
-    first[codes[::-1]] = np.arange(len(codes))[::-1]
+    codes, first = distinct_spans(points, begin, end)
     every = "".join(texts)
     pieces = [every[a:b].encode() for a, b in zip(begin[first].tolist(), end[first].tolist(), strict=True)]
-    return np.diff(np.searchsorted(begin, starts)), codes, hashes, pieces
+    return np.diff(np.searchsorted(begin, starts)), codes, pieces
 
 
 def _blocks(what: str):
     """Blocks of documents: ``words`` gives their pre-tokens with a place, ``documents`` the documents as places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        place_of_task, ordinal = TaskContext.get().partitionId(), 0
         keys: list[int] = []
-        counts, codes, known, words = [], [], {}, []
-        held = 0
+        counts, codes, known = [], [], {}
+        content, held = xxhash.xxh64(), 0
 
         def block() -> Iterator[pa.RecordBatch]:
-            flat = np.concatenate(codes)
+            content.update(f"{place_of_task} {ordinal} {keys}".encode())
+            number = content.intdigest() - (1 << 63)
+            flat, words = np.concatenate(codes), list(known)
             often = np.bincount(flat, minlength=len(words))
             by_count = np.argsort(-often, kind="stable")
             if what == "words":
@@ -72,20 +76,19 @@ def _blocks(what: str):
             )
 
         for batch in chunks(batches, "text", CHUNK_BYTES):
-            each, local, hashes, pieces = _distinct(strings(batch, "text"))
-            place = np.empty(len(hashes), dtype=np.uint32)
-            for row, value in enumerate(hashes.tolist()):
-                at = known.setdefault(value, len(words))
-                if at == len(words):
-                    words.append(pieces[row] if what == "words" else b"")
-                place[row] = at
+            texts = strings(batch, "text")
+            for text in texts:
+                content.update(text.encode())
+                content.update(b"\xff")
+            each, local, pieces = _distinct(texts)
+            place = np.fromiter((known.setdefault(piece, len(known)) for piece in pieces), dtype=np.uint32, count=len(pieces))
             keys.extend(batch.column("key").to_pylist())
             counts.append(each)
             codes.append(place[local])
             held += len(local)
             if held >= BLOCK_TOKENS:
                 yield from block()
-                keys, counts, codes, known, words, held, number = [], [], [], {}, [], 0, number + 1
+                keys, counts, codes, known, held, ordinal, content = [], [], [], {}, 0, ordinal + 1, xxhash.xxh64()
         if keys:
             yield from block()
 
@@ -130,6 +133,8 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             begin, length = np.zeros(len(place), dtype=np.int64), np.zeros(len(place), dtype=np.int64)
             begin[place], length[place] = np.cumsum(size) - size, size
             codes = _unpacked(one.column("codes")[0].as_py())
+            if codes.size and codes.max() >= len(place):
+                raise RuntimeError("the documents came in another order when they were read again: write them first (stable=False)")
             counts = one.column("counts").flatten().to_numpy(zero_copy_only=False)
             keys = one.column("keys").flatten()
             ends = np.concatenate(([0], np.cumsum(counts)))
@@ -145,23 +150,30 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at = to
 
 
-def encode(documents: DataFrame, ranks: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, ids): the ids of each text by the rank file ``ranks``, each match of its pattern merged by itself.
-
-    Equal to encoding text by text.  The key is a long; an empty table gives an empty result.
-    """
+def _in_blocks(documents: DataFrame, ranks: str, key: str, text: str, stable: bool) -> DataFrame:
+    """Blocks of documents as places, with the ids of the block's pre-tokens."""
     rows = documents.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    if not stable:
+        rows = materialise(rows)
     words = map_batches(rows, _blocks("words"), "word binary, block long, place int")
     # one exchange brings every occurrence of a word together; sorted, it is merged once
     sorted_words = words.repartition("word").sortWithinPartitions("word")
     pieces = map_batches(sorted_words, _merge_words(ranks), "block long, packed binary").groupBy("block").agg(F.collect_list("packed").alias("pieces"))
     blocks = map_batches(rows, _blocks("documents"), "block long, keys array<long>, counts array<int>, codes binary")
-    whole = blocks.join(pieces, "block", "left").select("keys", "counts", "codes", F.coalesce("pieces", F.array().cast("array<binary>")).alias("pieces"))
-    return map_batches(whole, _assemble, "key long, ids array<int>").withColumnRenamed("key", key)
+    return blocks.join(pieces, "block", "left").select("keys", "counts", "codes", F.coalesce("pieces", F.array().cast("array<binary>")).alias("pieces"))
 
 
-def decode_ids(encoded: DataFrame, ranks: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
-    """(key, ids, bytes): the ids and the bytes that they stand for, from the table of token bytes (bounded by the vocabulary)."""
+def encode(documents: DataFrame, ranks: str, key: str = "doc_id", text: str = "text", stable: bool = False) -> DataFrame:
+    """(key, ids): the ids of each text by the rank file ``ranks``, each match of its pattern merged by itself.
+
+    Equal to encoding text by text.  The key is a long; an empty table gives an empty result.  ``stable`` says that
+    the rows come in the same order whenever they are read, as those of a file scan do, and need not be written first.
+    """
+    return map_batches(_in_blocks(documents, ranks, key, text, stable), _assemble, "key long, ids array<int>").withColumnRenamed("key", key)
+
+
+def _decoded(ranks: str):
+    """Batches (key, ids) with the bytes that the ids stand for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bpe.token_bytes(ranks)
@@ -175,5 +187,20 @@ def decode_ids(encoded: DataFrame, ranks: str, key: str = "doc_id", ids: str = "
             out = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(bounds), data])
             yield pa.record_batch([batch.column("key"), rows, out], ["key", "ids", "bytes"])
 
+    return run
+
+
+def decode_ids(encoded: DataFrame, ranks: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
+    """(key, ids, bytes): the ids and the bytes that they stand for, from the table of token bytes (bounded by the vocabulary)."""
     rows = encoded.select(F.col(key).cast("long").alias("key"), F.col(ids).alias("ids"))
-    return map_batches(rows, run, "key long, ids array<int>, bytes binary").withColumnRenamed("key", key)
+    return map_batches(rows, _decoded(ranks), "key long, ids array<int>, bytes binary").withColumnRenamed("key", key)
+
+
+def round_trip(documents: DataFrame, ranks: str, key: str = "doc_id", text: str = "text", stable: bool = False) -> DataFrame:
+    """(key, ids, bytes): ``encode`` and ``decode_ids`` in the same Python workers, half as many as one after the other."""
+    decoded = _decoded(ranks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return decoded(_assemble(batches))
+
+    return map_batches(_in_blocks(documents, ranks, key, text, stable), run, "key long, ids array<int>, bytes binary").withColumnRenamed("key", key)

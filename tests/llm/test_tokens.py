@@ -4,7 +4,9 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pytest
 import tiktoken
+from pyspark.errors import PySparkException
 from tokenizers import Tokenizer
 
 from shelfcast.llm import bpe, packing, tokens
@@ -37,12 +39,45 @@ def test_ids_equal_tiktoken_and_decode_to_the_text(frame):
 
 
 def test_many_blocks_give_the_same_ids(frame, monkeypatch):
+    monkeypatch.setattr(tokens, "BLOCK_TOKENS", 50)
     texts = odd_texts(60)
     whole = {row["doc_id"]: row["ids"] for row in tokens.encode(frame(list(enumerate(texts)), "doc_id long, text string"), RANKS).collect()}
     own = own_encoding()
     assert all(whole[number] == own.encode_ordinary(text) for number, text in enumerate(texts))
 
 
+def thue_morse(length):
+    """Two words that polynomial hashes modulo a power of two cannot tell apart."""
+    word = "".join("ab"[bin(place).count("1") % 2] for place in range(length))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("length", [1024, 2048, 4096])
+def test_words_of_equal_hashes_are_told_apart(frame, length):
+    one, other = thue_morse(length)
+    texts = [one, other, f"{one} {other} {one}", f"x {other}"]
+    own, library = own_encoding(), Tokenizer.from_file(WORDS)
+    for row in tokens.round_trip(frame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), RANKS).collect():
+        assert row["ids"] == own.encode_ordinary(texts[row["doc_id"]]) and bytes(row["bytes"]).decode() == texts[row["doc_id"]]
+    encoder = packing.Encoder(WORDS)
+    for some in (texts, texts[::-1]):  # words known from before as well
+        ids, counts = encoder.encode(some)
+        for text, part in zip(some, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+            assert part.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_input_in_another_order_at_each_reading(spark, frame, monkeypatch):
+    """Rows in a random order that changes with every reading."""
+    monkeypatch.setattr(tokens, "BLOCK_TOKENS", 40)
+    texts, own = odd_texts(80), own_encoding()
+    rows = frame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    shuffled = rows.mapInPandas(lambda batches: (batch.sample(frac=1) for batch in batches), rows.schema)
+    found = {row["doc_id"]: row["ids"] for row in tokens.encode(shuffled, RANKS).collect()}
+    assert found == {number: own.encode_ordinary(text) for number, text in enumerate(texts)}
+    with pytest.raises(PySparkException, match="another order"):
+        tokens.encode(shuffled, RANKS, stable=True).collect()
+
+
 def test_no_documents_give_no_ids(frame):
     encoded = tokens.encode(frame([], "doc_id long, text string"), RANKS)
     assert encoded.columns == ["doc_id", "ids"] and encoded.count() == 0
