@@ -30,7 +30,7 @@ from shelfcast.llm.codepoints import decode, distinct_spans
 from shelfcast.llm.shared import chunks, map_batches, materialise, strings
 
 #: Pre-tokens in a block, and UTF-8 bytes of text handled at once.
-BLOCK_TOKENS, CHUNK_BYTES = 3_000_000, 1 << 19
+BLOCK_TOKENS, CHUNK_BYTES = 6_000_000, 1 << 19
 
 
 def _distinct(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
