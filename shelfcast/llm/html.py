@@ -3,8 +3,9 @@
 A page is read as a stream of tags and texts.  Streams of a host are aligned one after another into a union-free
 expression: elements met on both sides merge, runs of like siblings become repeated groups, elements met on one side
 only become optional, and texts that differ become slots.  Each task folds its pages into one small expression a
-host; those merge in two rounds, so all pages count and no host's pages meet in one task.  From the expression of its
-host a page gets the region of the article and the fixed parts around it; what it holds there is its text.
+host; those merge in two rounds, so all pages count and no host's pages meet in one task.  The expression says where
+the article is.  Blocks that recur on half of a host's different pages, of any length, are its constants; they are
+counted by host over all pages with partial sums.  What a page holds in the article's region but these is its text.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from difflib import SequenceMatcher
 
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,8 +34,10 @@ NEVER = set(f"{RAW} head nav footer aside form button input dialog menu".split()
 AWAY = set(
     "ad ads advert advertisement banner sponsor sponsored promo cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe signup login "
     "sidebar side widget related recommended share sharing social menu nav navbar navigation breadcrumb breadcrumbs pagination header masthead footer copyright "
-    "comment comments reply replies discussion disqus tags toolbar search skip".split()
+    "comment comments reply replies discussion disqus reader readers thoughts responses feedback reviews tags toolbar search skip".split()
 )
+#: Words that make a class name say how a page is laid out, not what an element holds.
+STATES = set("no not has have with without is are enabled disabled hide hidden show shown allow open closed on off".split())
 HOME = ("article", "main")
 NEAR = set("article content post entry story main body text".split())
 _TOKEN = re.compile(
@@ -45,6 +49,8 @@ _WORD = re.compile(r"[a-z]+")
 _BLANK = re.compile(r"\s+")
 #: Children that an expression keeps apart under one element before they fold into a repeated group, and levels.
 WIDTH, DEPTH = 40, 60
+#: Share of a host's different pages on which a constant is.
+SHARE = 0.5
 
 
 class Node:
@@ -54,14 +60,26 @@ class Node:
 
     def __init__(self, tag: str, names: str = ""):
         self.tag, self.words = tag, " ".join(dict.fromkeys(_WORD.findall(names.lower())))
-        own = set(self.words.split())
-        self.away = tag in NEVER or bool(own & AWAY) and tag not in ("html", "body", *HOME)
-        self.near = bool(own & NEAR)
+        self.away = _is_away(tag, names)
+        self.near = bool(set(self.words.split()) & NEAR)
         self.children: list[Node | str] = []
 
     @property
     def sign(self) -> str:
-        return f"{self.tag}|{self.words}"
+        return f"{self.tag}|{self.words}|{'-' if self.away else ''}"
+
+
+def _is_away(tag: str, names: str) -> bool:
+    """Whether an element is not of the article, by its tag and its class names, each taken as a whole.
+
+    A name counts that has such a word and none of STATES; beside a name that marks the article only one that has
+    nothing but such words.
+    """
+    if tag in NEVER or tag in ("html", "body", *HOME):
+        return tag in NEVER
+    each = [set(_WORD.findall(name)) for name in names.lower().split()]
+    marked = any(words and words <= NEAR for words in each)
+    return any(words & AWAY and not words & STATES and (words <= AWAY or not marked) for words in each)
 
 
 def parse(source: str) -> Node:
@@ -120,17 +138,26 @@ def _close(stack: list[Node], tags: set[str], walls: set[str]) -> None:
             return
 
 
-# An expression is a list [sign, pages, repeated, optional, children] for an element and ["#", pages, constant or None,
-# characters] for a text slot, plain lists so that it can travel as JSON.
+def normal(text: str) -> str:
+    """A block as it is given out: references decoded, white space as single spaces."""
+    return _BLANK.sub(" ", html.unescape(text)).strip()
+
+
+def digest(text: str) -> str:
+    return xxhash.xxh128_hexdigest(text.encode("utf-8", "replace"))
+
+
+# An expression is a list [sign, pages, repeated, optional, children] for an element and ["#", pages, constant
+# (the digest of a long one) or None, characters] for a text slot, plain lists so that it can travel as JSON.
 def expression(node: Node, depth: int = 0) -> list:
     """The expression of one page."""
     children, texts = [], []
 
     def flush() -> None:
-        value = _BLANK.sub(" ", "".join(texts)).strip()
+        value = normal("".join(texts))
         texts.clear()
         if value:
-            children.append(["#", 1, value if len(value) <= 80 else None, len(value)])
+            children.append(["#", 1, value if len(value) <= 80 else digest(value), len(value)])
 
     for child in node.children:
         if isinstance(child, str):
@@ -170,6 +197,20 @@ def _fold(children: list, own: bool) -> list:
                 first[child[0]] = len(kept)
                 kept.append(child)
         out = kept
+    if len(out) > 2 * WIDTH:  # names that are a page's own: the rarer ones become one element by tag
+        often = set(sorted(range(len(out)), key=lambda at: -out[at][1])[:WIDTH])
+        first, kept = {}, []
+        for at, child in enumerate(out):
+            if at in often or child[0] == "#":
+                kept.append(child)
+                continue
+            plain = [f"{child[0].split('|')[0]}||{child[0].split('|')[2]}", child[1], True, True, child[4]]
+            if plain[0] in first:
+                kept[first[plain[0]]] = _both(kept[first[plain[0]]], plain, own)
+            else:
+                first[plain[0]] = len(kept)
+                kept.append(plain)
+        out = kept
     return out
 
 
@@ -200,48 +241,36 @@ def _size(part: list) -> tuple[int, int]:
 
 
 def regions(wrapper: list) -> dict:
-    """What extraction needs of an expression: signs from the root to the article, and fixed texts around it."""
+    """What extraction needs of an expression: signs from the root to the article."""
     best: tuple[float, list[str]] = (0.0, [])
 
     def walk(part: list, path: list[str], home: float) -> None:
         nonlocal best
         if part[0] == "#":
             return
-        node = Node(part[0].split("|")[0], part[0].split("|")[1])
-        if node.away:
+        tag, words, away = part[0].split("|")
+        if away:
             return
-        home = max(home, 3.0 if node.tag == "article" else 2.5 if node.tag == "main" else 1.5 if node.near else 1.0)
+        home = max(home, 3.0 if tag == "article" else 2.5 if tag == "main" else 1.5 if set(words.split()) & NEAR else 1.0)
         varying, whole = _size(part)
         inner = max((_size(child)[0] for child in part[4] if child[0] != "#" and child[0].split("|")[0] in ("div", "section", "article", "main", "td", "body")), default=0)
-        score = home * (varying + 0.1 * whole) - (0.8 * home * inner if node.tag not in HOME else 0)
+        score = home * (varying + 0.1 * whole) - (0.8 * home * inner if tag not in HOME else 0)
         if score > best[0]:
             best = (score, [*path, part[0]])
         for child in part[4]:
             walk(child, [*path, part[0]], home)
 
     walk(wrapper, [], 0.0)
-    inside = best[1]
-    fixed = set()
-
-    def constants(part: list, away: bool) -> None:
-        for child in part[4]:
-            if child[0] == "#":
-                if away and child[1] >= 5 and child[2]:
-                    fixed.add(child[2])
-            else:
-                constants(child, away and child[0] not in inside[-1:])
-
-    constants(wrapper, True)
-    return {"path": inside, "fixed": sorted(fixed)[:200]}
+    return {"path": best[1]}
 
 
 def _blocks(node: Node, fixed: set[str], out: list[str]) -> None:
     texts: list[str] = []
 
     def flush() -> None:
-        value = _BLANK.sub(" ", html.unescape("".join(texts))).strip()
+        value = normal("".join(texts))
         texts.clear()
-        if value and value not in fixed:
+        if value and not (fixed and digest(value) in fixed):
             out.append(value)
 
     for child in node.children:
@@ -271,23 +300,27 @@ def _nearest(node: Node) -> list[Node]:
     return found
 
 
-def extract(source: str | None, known: dict | None) -> str:
-    """Blocks of the article, joined by an empty line; an empty text if there is none."""
+def extract(source: str | None, known: dict | None, fixed: set[str] = frozenset()) -> str:
+    """Blocks of the article but the host's constants, joined by an empty line; an empty text if there is none.
+
+    A page that holds nothing but constants keeps them: its article itself recurs.
+    """
     if not source:
         return ""
     root = parse(source)
-    path, fixed = (known["path"], set(known["fixed"])) if known else ([], set())
+    path = known["path"] if known else []
     homes = _homes(root, path) if len(path) > 1 else []
-    inside = bool(homes) and any(sign.split("|")[0] in HOME for sign in path)
     if not homes:
         homes = _nearest(root)
-        inside = bool(homes)
     if not homes:
         own = regions(expression(root))["path"]
         homes = _homes(root, own) or [root]
     out: list[str] = []
     for home in homes:
-        _blocks(home, set() if inside else fixed, out)
+        _blocks(home, fixed, out)
+    if not out and fixed:
+        for home in homes:
+            _blocks(home, set(), out)
     return "\n\n".join(out)
 
 
@@ -296,27 +329,49 @@ def _host(url: str) -> Column:
 
 
 def _infer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One expression a host from the pages of a task; handed on early when there are many hosts."""
+    """One expression a host from the pages of a task, handed on early when there are many hosts; and the digests of
+    each page's different blocks with that of the page, a row each."""
     part = TaskContext.get().partitionId()
     known: dict[str, list] = {}
 
     def packed() -> pa.RecordBatch:
         names = list(known)
-        rows = [pa.array(names, pa.string()), pa.array([part % 64] * len(names), pa.int32()), pa.array([json.dumps(known[name]) for name in names], pa.string())]
-        return pa.record_batch(rows, ["host", "salt", "wrapper"])
+        nothing = pa.nulls(len(names), pa.string())
+        rows = [pa.array(names, pa.string()), pa.array([part % 64] * len(names), pa.int32()), pa.array([json.dumps(known[name]) for name in names], pa.string()), nothing, nothing]
+        return pa.record_batch(rows, ["host", "salt", "wrapper", "page", "block"])
 
     for batch in chunks(batches, "html", 1 << 20):
+        hosts, pages, blocks = [], [], []
         for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
             if source:
-                known[host] = merge(known.get(host), expression(parse(source)))
+                root = parse(source)
+                known[host] = merge(known.get(host), expression(root))
+                texts: list[str] = []
+                _blocks(root, set(), texts)
+                each = {digest(text) for text in texts}
+                hosts += [host] * len(each)
+                pages += [digest(source)] * len(each)
+                blocks += each
+        nothing = pa.nulls(len(hosts))
+        columns = [pa.array(hosts, pa.string()), nothing.cast(pa.int32()), nothing.cast(pa.string()), pa.array(pages, pa.string()), pa.array(blocks, pa.string())]
+        yield pa.record_batch(columns, ["host", "salt", "wrapper", "page", "block"])
         if len(known) > 1000:
             yield packed()
             known.clear()
     yield packed()
 
 
+def constants(blocks: DataFrame) -> DataFrame:
+    """(host, fixed): the blocks on at least SHARE of a host's different pages and on two of them, a few times what a
+    page holds at most.  ``blocks`` has host, page and block; repeated pages count once."""
+    once = blocks.groupBy("host", "page", "block").agg(F.lit(1).alias("one"))
+    often = once.groupBy("host", "block").agg(F.count("*").alias("n")).where("n > 1")
+    pages = blocks.groupBy("host", "page").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("pages"))
+    return often.join(pages, "host").where(F.col("n") >= SHARE * F.col("pages")).groupBy("host").agg(F.sort_array(F.collect_list("block")).alias("fixed"))
+
+
 def wrappers(pages: DataFrame, url: str = "url", source: str = "html") -> DataFrame:
-    """(host, regions): the article's place in the pages of each host, as JSON."""
+    """(host, regions, fixed): the article's place in the pages of each host, as JSON, and the host's constants."""
     ship_code(pages.sparkSession)
 
     def combine(last: bool):
@@ -329,9 +384,17 @@ def wrappers(pages: DataFrame, url: str = "url", source: str = "html") -> DataFr
         return run
 
     rows = pages.select(_host(url).alias("host"), F.col(source).alias("html"))
-    some = map_batches(rows, _infer, "host string, salt int, wrapper string")
-    fewer = some.groupBy("host", "salt").applyInPandas(combine(False), "host string, wrapper string")
-    return fewer.groupBy("host").applyInPandas(combine(True), "host string, wrapper string").withColumnRenamed("wrapper", "regions")
+    some = materialise(map_batches(rows, _infer, "host string, salt int, wrapper string, page string, block string"))
+    fewer = some.where("wrapper is not null").groupBy("host", "salt").applyInPandas(combine(False), "host string, wrapper string")
+    whole = fewer.groupBy("host").applyInPandas(combine(True), "host string, wrapper string").withColumnRenamed("wrapper", "regions")
+    return whole.join(constants(some.where("block is not null").select("host", "page", "block")), "host", "left")
+
+
+def _free(name: str, taken: list[str]) -> str:
+    """A column name that a table does not have."""
+    while name in {other.lower() for other in taken}:
+        name += "_"
+    return name
 
 
 def main_text(pages: DataFrame, url: str = "url", source: str = "html") -> DataFrame:
@@ -342,19 +405,20 @@ def main_text(pages: DataFrame, url: str = "url", source: str = "html") -> DataF
     """
     found = materialise(wrappers(pages, url, source))  # small: read back, Spark sees its size and picks the join by it
     kept = [name for name in pages.columns if name != "text"]
-    rows = pages.select(*kept, _host(url).alias("_host")).join(found.withColumnRenamed("host", "_host"), "_host", "left").drop("_host").withColumnRenamed("regions", "_regions")
+    host, place, fixed = (_free(name, kept) for name in ("host", "regions", "fixed"))
+    rows = pages.select(*kept, _host(url).alias(host)).join(found.toDF(host, place, fixed), host, "left").drop(host)
     schema = ", ".join(f"`{name}` {kind}" for name, kind in pages.select(*kept).dtypes) + ", text string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, dict] = {}
         for batch in chunks(batches, source, 1 << 20):
             texts = []
-            for page, region in zip(batch.column(source).to_pylist(), batch.column("_regions").to_pylist(), strict=True):
+            for page, region, own in zip(*(batch.column(name).to_pylist() for name in (source, place, fixed)), strict=True):
                 if region is not None and region not in known:
                     if len(known) > 1000:
                         known.clear()
                     known[region] = json.loads(region)
-                texts.append(extract(page, known.get(region)))
+                texts.append(extract(page, known.get(region), set(own or ())))
             columns = [batch.column(name) for name in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*kept, "text"])
 

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from shelfcast.llm import html
@@ -60,3 +62,73 @@ def test_merging_covers_all_pages_in_any_order(order):
     for one in pages:
         whole = html.merge(whole, one)
     assert whole[1] == 9 and [sign.split("|")[0] for sign in html.regions(whole)["path"]][-1] == "article"
+
+
+def texts_of(frame, pages, schema="page_id long, url string, html string"):
+    return {row["page_id"]: row["text"] for row in html.main_text(frame(pages, schema)).collect()}
+
+
+@pytest.mark.parametrize("names", ["content no-sidebar", "post has-comments", "article-body with-tags", "post share-enabled"])
+def test_names_that_say_how_a_page_is_laid_out(frame, names):
+    rows = [(n, "http://a.example/x", f'<body><div class="{names}"><p>Words of {n}.</p></div><div class="post-comments"><p>Hi {n}</p></div></body>') for n in range(6)]
+    assert texts_of(frame, rows) == {n: f"Words of {n}." for n in range(6)}
+
+
+def test_readers_comments_of_an_article(frame):
+    rows = [(n, "http://a.example/x", f'<article><p>Words of {n}.</p><div class="reader-thoughts"><p>Nice {n}</p></div></article>') for n in range(6)]
+    assert texts_of(frame, rows) == {n: f"Words of {n}." for n in range(6)}
+
+
+@pytest.mark.parametrize("home", ["article", "div"])
+@pytest.mark.parametrize("count", [2, 40])
+def test_a_line_that_all_pages_have_is_no_article_text(frame, home, count):
+    line = "Sign in &amp; read on &copy; us"
+    rows = [(n, "http://a.example/x", f"<body><{home}><p>Text {n} of a page, of some length.</p><p>{line}</p><p>More of {n} here.</p></{home}></body>") for n in range(count)]
+    assert texts_of(frame, rows) == {n: f"Text {n} of a page, of some length.\n\nMore of {n} here." for n in range(count)}
+
+
+def test_long_constant_text_beside_short_articles(frame):
+    legal = "Terms of all pages. " * 120
+    rows = [(n, "http://a.example/x", f"<body><div><p>{legal}</p></div><div><p>{f'Word{n} ' * 100}</p></div></body>") for n in range(8)]
+    assert texts_of(frame, rows) == {n: (f"Word{n} " * 100).strip() for n in range(8)}
+
+
+def test_repeated_pages_are_no_constants(frame):
+    one = "<body><div><p>Only article.</p><p>Second block.</p></div></body>"
+    rows = [(n, "http://a.example/x", one) for n in range(5)] + [(9, "http://b.example/x", one)]
+    assert set(texts_of(frame, rows).values()) == {"Only article.\n\nSecond block."}
+
+
+def test_clashing_columns(frame):
+    rows = [(1, "http://a.example/", "<article><p>x</p></article>", "h", "r", "f")]
+    found = html.main_text(frame(rows, "page_id long, url string, html string, host string, regions string, fixed string")).collect()
+    assert [tuple(row) for row in found] == [(*rows[0], "x")]
+
+
+def test_names_of_a_page_alone_keep_the_expression_small():
+    whole, sizes = None, []
+    for n in range(400):
+        whole = html.merge(whole, html.expression(html.parse(f'<body><div class="c{chr(97 + n % 26)}{chr(97 + n // 26)}x"><p>text {n}</p></div></body>')))
+        if n in (199, 399):
+            sizes.append(len(str(whole)))
+    assert sizes[1] < 1.2 * sizes[0]
+
+
+def test_generated_hosts_against_their_plan(frame):
+    """Pages are written from a plan of article blocks and template parts; the plan is the brute force."""
+    chance = random.Random(8)
+    words = ["".join(chance.choice("abcdefghij") for _ in range(chance.randint(2, 8))) for _ in range(400)]
+    say = lambda least, most: " ".join(chance.choice(words) for _ in range(chance.randint(least, most)))
+    rows, plan = [], {}
+    for host in range(8):
+        notice, legal, menu = say(5, 9), say(30, 60), "".join(f"<li>{say(1, 2)}</li>" for _ in range(6))
+        home = chance.choice(["article", 'div class="post"', "main", "div"])
+        for n in range(chance.choice([2, 3, 25])):
+            key = host * 100 + n
+            blocks = [say(8, 50) for _ in range(chance.randint(2, 6))]
+            inner = f"<h1>{blocks[0]}</h1>" + "".join(f"<p>{block}</p>" for block in blocks[1:])
+            at = chance.randint(0, 1)
+            inner = f"<p>{notice}</p>{inner}" if at else f"{inner}<p>{notice}</p>"
+            rows.append((key, f"https://h{host}.example/{n}", f"<html><body><nav><ul>{menu}</ul></nav><{home}>{inner}</{home.split()[0]}><div>{legal}</div><footer>{say(2, 4)}</footer></body></html>"))
+            plan[key] = "\n\n".join(blocks)
+    assert texts_of(frame, rows) == plan
