@@ -2,7 +2,10 @@
 
 Shingles are five consecutive words (runs of letters and digits, lower case); a text of fewer words is one shingle.
 A shingle weighs its count times ln(1 + 1 / share), its share of documents being counted over all of them in a
-count-min sketch and taken as ``RARE`` at least, so that only shingles found in more than that weigh less.  Signatures
+count-min sketch and taken as ``RARE`` at least, so that only shingles found in more than that weigh less.  So that a
+group of copies and near copies does not make its own shingles weigh less the larger it is, a document counts in the
+shares only if none with a smaller key has the same least shingle by either of two hashes (``sketch_shares``): of a
+group about one counts, whatever its size.  Signatures
 of improved consistent weighted sampling (Ioffe, 2010) are cut into bands; documents that share a band are candidates,
 and pairs count as linked from a weighted Jaccard similarity of ``threshold`` on, computed exactly.
 
@@ -29,8 +32,8 @@ from shelfcast.llm.shared import chunks, map_batches, materialise, ship_code, st
 
 WORDS, BANDS, ROWS = 5, 14, 4
 RARE = 0.01
-#: Count-min sketch: two rows of cells; and the share of documents from which copies of one text count once in it.
-CELLS, HOT = 1 << 19, 0.001
+#: Count-min sketch: two rows of so many cells.
+CELLS = 1 << 19
 #: Parity sketch: bits of each class of weights, and the least weight of each class of document shares.
 BITS = 512
 LEAST = (np.log(2), 1.5, 2.4, 3.3, 4.2, np.log1p(1 / RARE))
@@ -151,15 +154,16 @@ def jaccard(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.nda
 
 
 def _count_documents(texts: DataFrame) -> np.ndarray:
-    """How many documents hold a shingle of each cell of the sketch."""
+    """How many documents hold a shingle of each cell of the sketch; a column ``times`` says as how many a row counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.zeros(2 * CELLS, dtype=np.int32)
+        found = np.zeros(2 * CELLS, dtype=np.int64)
         for batch in chunks(batches, "text", _CHUNK):
-            _, hashes, _ = shingles(strings(batch, "text"))
+            owner, hashes, _ = shingles(strings(batch, "text"))
+            times = batch.column("times").to_numpy()[owner] if "times" in batch.schema.names else None
             for cell in _cells(hashes):
-                found += np.bincount(cell, minlength=2 * CELLS).astype(np.int32)
-        blocks = found.astype(np.int64).reshape(-1, _BLOCK)
+                found += np.bincount(cell, weights=times, minlength=2 * CELLS).astype(np.int64)
+        blocks = found.reshape(-1, _BLOCK)
         some = np.flatnonzero(blocks.any(axis=1))
         packed = [zstandard.compress(blocks[row].tobytes(), 1) for row in some]
         yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array(packed, pa.binary())], ["block", "counts"])
@@ -179,23 +183,44 @@ def _count_documents(texts: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
-def sketch_shares(rows: DataFrame, classes_: DataFrame, total: int) -> np.ndarray:
-    """Shares of documents by cell, from all rows; copies of a text that makes up ``HOT`` of the rows count once."""
-    counts = _count_documents(rows.select("text"))
-    hot = classes_.where((F.col("copies") > 1) & (F.col("copies") >= F.lit(HOT * total))).select(F.col("least").alias("id"), "digest", "copies")  # 1 / HOT rows at most
-    for row in rows.join(F.broadcast(hot), ["id", "digest"]).dropDuplicates(["digest"]).select("text", "copies").collect():
-        for cell in _cells(shingles([row["text"]])[1]):
-            np.subtract.at(counts, cell, row["copies"] - 1)
-    return counts / max(total, 1)
+def _looks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each document with a shingle: the least of its shingles by two hashes."""
+    for batch in chunks(batches, "text", _CHUNK):
+        owner, hashes, _ = shingles(strings(batch, "text"))
+        has, begin = np.unique(owner, return_index=True)
+        rows = batch.select(["id", "digest"]).take(pa.array(has))
+        least = [np.minimum.reduceat(mix(hashes ^ np.uint64(seed)), begin).view(np.int64) if len(has) else np.zeros(0, dtype=np.int64) for seed in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
+        yield pa.record_batch([*rows.columns, *(pa.array(values) for values in least)], ["id", "digest", "one", "two"])
+
+
+def _likely(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose id may be wanted: a set of 2**21 hash values at most lets only these reach an exchange."""
+    cell = F.pmod(F.xxhash64("id"), F.lit(1 << 21))
+    return rows.withColumn("cell", cell).join(F.broadcast(wanted.select(cell.alias("cell")).distinct()), "cell", "left_semi").drop("cell")
+
+
+def sketch_shares(rows: DataFrame) -> np.ndarray:
+    """Shares by cell of the documents (id, digest, text) that are the least of both their looks.
+
+    All documents are counted; those that are not the least of a look, and repeated rows, are then taken off again, so
+    that only their texts move.
+    """
+    looks = materialise(map_batches(rows.where("id is not null").select("id", "digest", "text"), _looks, "id long, digest binary, one long, two long"))
+    each = looks.groupBy("id", "digest", "one", "two").agg(F.count("*").alias("n"))
+    own = F.struct("id", "digest")
+    leaders = [looks.groupBy(name).agg(F.min(own).alias(f"least_{name}")) for name in ("one", "two")]
+    judged = materialise(each.join(leaders[0], "one").join(leaders[1], "two").withColumn("counted", ((F.col("least_one") == own) & (F.col("least_two") == own)).cast("long")))
+    off = materialise(judged.select("id", "digest", (F.col("n") - F.col("counted")).alias("times")).where("times > 0"))
+    counts = _count_documents(rows.where("id is not null").select("text"))
+    texts = _likely(rows, off).join(off, ["id", "digest"]).dropDuplicates(["id", "digest"]).select("text", "times")
+    total = judged.agg(F.sum("counted")).first()[0] or 0
+    return (counts - _count_documents(texts)) / max(total, 1)
 
 
 def _near(rows: DataFrame, pairs: DataFrame, sketch, threshold: float) -> DataFrame:
     """Those of the pairs (a, b) of ids whose similarity reaches the threshold."""
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    # a set of 2**21 hash values at most lets only texts that may be wanted reach the exchange
-    cell = F.pmod(F.xxhash64("id"), F.lit(1 << 21))
-    likely = rows.withColumn("cell", cell).join(F.broadcast(wanted.select(cell.alias("cell")).distinct()), "cell", "left_semi")
-    texts = materialise(likely.join(wanted, "id", "left_semi").select("id", "text"))
+    texts = materialise(_likely(rows, wanted).join(wanted, "id", "left_semi").select("id", "text"))
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,8 +275,7 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8, key: str = "do
     ids = materialise(rows.select("id", "digest", F.col("text").rlike(r"[\p{L}\p{N}]").alias("some")))
     usable = F.col("some") & F.col("id").isNotNull()
     classes_ = materialise(ids.where(usable).groupBy("digest").agg(F.min("id").alias("least"), F.count("*").alias("copies")))
-    total = ids.count()
-    sketch = spark.sparkContext.broadcast(sketch_shares(rows, classes_, total).astype(np.float32))  # CELLS * 8 bytes, always
+    sketch = spark.sparkContext.broadcast(sketch_shares(rows).astype(np.float32))  # CELLS * 8 bytes, always
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shares = sketch.value
