@@ -25,6 +25,7 @@ GRIDS: dict[str, tuple[float, ...]] = {
     "marks_per_word": (0.02, 0.05, 0.1, 0.2, 0.5, 1.0),
     "long_words": (7.0, 8.0, 9.0, 10.0, 12.0, 15.0),
 }
+#: Terms of a binomial tail that are added one by one; a bound stands for those below.
 _TERMS = 4000
 
 
@@ -98,14 +99,21 @@ def _log_factorial(n: Column) -> Column:
 
 
 def binomial_tail(n: Column, k: Column, rate: float) -> Column:
-    """P(X <= k) of a binomial with n trials; terms more than ``_TERMS`` below k vanish for the k that matter."""
+    """P(X <= k) of a binomial with n trials, or a little more where k is beyond ``_TERMS``.
+
+    Below the mean each term is at most q times the one above it, with q taken at the lowest term added: the terms left
+    out are at most those of a geometric series, which is added for them, so that a cutoff is never certified too soon.
+    """
 
     def term(i: Column) -> Column:
         ways = _log_factorial(n) - _log_factorial(i) - _log_factorial(n - i)
         return F.exp(ways + i * F.log(F.lit(rate)) + (n - i) * F.log1p(F.lit(-rate)))
 
     low = F.greatest(F.lit(0).cast("long"), k - _TERMS)
-    return F.when(k >= n, F.lit(1.0)).otherwise(F.aggregate(F.sequence(low, k), F.lit(0.0), lambda total, i: total + term(i)))
+    q = low * (1 - rate) / ((n - low + 1) * rate)
+    below = F.when(low == 0, 0.0).when(q < 1, term(low) * q / (1 - q)).otherwise(1.0)
+    added = F.aggregate(F.sequence(low, k), F.lit(0.0), lambda total, i: total + term(i))
+    return F.when(k >= n, F.lit(1.0)).otherwise(F.least(F.lit(1.0), added + below))
 
 
 def certified_cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
@@ -167,7 +175,7 @@ held AS (SELECT * FROM measured WHERE NOT base_failed AND doc_id IN (SELECT doc_
 tests AS (SELECT stratum, rule, cut, count(*) AS n, count(*) FILTER ({value} > cut) AS k
     FROM held, (VALUES {grid}) AS g(rule, cut) GROUP BY ALL),
 proven AS (SELECT stratum, rule, min(cut) AS cut FROM (SELECT *,
-    list_sum(list_transform(range(greatest(0, k - {_TERMS}), k + 1), lambda i:
+    list_sum(list_transform(range(0, k + 1), lambda i:
       exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({rate}) + (n - i) * ln(1 - {rate})))) AS p FROM tests)
     WHERE p <= {DELTA} / ({len(tests)} * (SELECT count(DISTINCT stratum) FROM held)) GROUP BY ALL)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

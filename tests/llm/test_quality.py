@@ -43,6 +43,19 @@ def test_binomial_tail_is_exact(spark, n, k, rate):
     assert found == pytest.approx(exact, rel=1e-8)
 
 
+def test_binomial_tail_of_very_many_trials_is_never_too_small(spark):
+    n, rate = 500_000_000, 0.004
+    for k in (1_990_000, 1_995_000):  # about 7 and 3.5 deviations below the mean, thousands of terms each
+        log = lambda i: math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(rate) + (n - i) * math.log1p(-rate)
+        exact, term, i = 0.0, math.exp(log(k)), k
+        while term > 1e-30:  # by the ratio of neighbours
+            exact += term
+            term *= i * (1 - rate) / ((n - i + 1) * rate)
+            i -= 1
+        found = spark.range(1).select(quality.binomial_tail(F.lit(n).cast("long"), F.lit(k).cast("long"), rate)).first()[0]
+        assert exact * (1 - 1e-5) <= found <= exact * 1.01 + 1e-12
+
+
 def marked(count, bad):
     """Good documents of plain words, bad ones with a sign behind every word; a few good ones have signs too."""
     chance = random.Random(8)
