@@ -293,3 +293,54 @@ def damage(turns: DataFrame) -> DataFrame:
     role = F.when(what == 4, "user").otherwise(known("role"))
     copies = F.explode(F.array_repeat(F.lit(0), F.when(what == 0, 0).when(what == 3, 2).otherwise(1)))
     return turns.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies).select("conv_id", "turn", "role", "text")
+
+
+def oracle_sql() -> str:
+    """The registered query's rows in DuckDB: damage, and the cheapest edits by a walk over turns and last initials."""
+    return r"""
+WITH RECURSIVE given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations
+), checked AS (
+  SELECT *, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(name, ''), lambda c: CAST(ord(c) AS BIGINT))), lambda crc, byte:
+    list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, step: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) % 20 AS kind FROM given
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM checked, range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS core FROM damaged
+), judged AS (
+  SELECT *, left(role, 1) AS c, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before, CASE WHEN core = '' THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN right(core, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM placed
+), moves(st, ins, st2) AS (VALUES ('', '', ''), ('', 'I', 'u'), ('', 'II', 'a'), ('s', '', 's'), ('s', 'I', 'u'), ('s', 'II', 'a'), ('u', '', 'u'), ('u', 'I', 'a'), ('a', '', 'a'), ('a', 'I', 'u')
+), walk AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, '' AS st, {'cost': CAST(0 AS BIGINT), 'audit': ''} AS best FROM judged
+  UNION ALL
+  SELECT conv_id, i, st, min({'cost': cost, 'audit': audit}) AS best FROM (
+    SELECT f.conv_id, f.i, e.st3 AS st, w.best.cost + 2 * len(m.ins) + e.price + CASE WHEN e.op <> 'D' AND f.fault = 'truncated' THEN 1 ELSE 0 END AS cost, w.best.audit || m.ins || e.op AS audit
+    FROM walk AS w JOIN judged AS f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1 JOIN moves AS m ON m.st = w.st,
+      LATERAL (SELECT 'D' AS op, m.st2 AS st3, 3 AS price
+        UNION ALL SELECT 'K', f.c, 0 WHERE f.fault NOT IN ('blank', 'duplicate') AND (f.c = CASE WHEN m.st2 = 'u' THEN 'a' ELSE 'u' END OR f.c = 's' AND m.st2 = '')
+        UNION ALL SELECT 'R', CASE WHEN m.st2 = 'u' THEN 'a' ELSE 'u' END, 2 WHERE f.fault NOT IN ('blank', 'duplicate')) AS e
+  ) GROUP BY conv_id, i, st
+), ended AS (
+  SELECT w.conv_id, min({'cost': w.best.cost + CASE st WHEN 's' THEN 4 WHEN 'u' THEN 2 ELSE 0 END, 'audit': w.best.audit || CASE st WHEN 's' THEN 'II' WHEN 'u' THEN 'I' ELSE '' END}) AS best
+  FROM walk AS w JOIN (SELECT conv_id, max(i) AS n FROM judged GROUP BY conv_id) AS l ON l.conv_id IS NOT DISTINCT FROM w.conv_id AND l.n = w.i GROUP BY w.conv_id
+), edits AS (
+  SELECT conv_id, p, substr(best.audit, p, 1) AS op, len(replace(left(best.audit, p), 'I', '')) AS i, len(replace(left(best.audit, p), 'D', '')) AS j FROM ended, LATERAL (SELECT unnest(range(1, len(best.audit) + 1)) AS p)
+), given_out AS (
+  SELECT e.conv_id, e.p, e.op, e.j, f.c, CASE WHEN e.op <> 'I' THEN f.role END AS role, CASE WHEN e.op = 'I' THEN '' ELSE f.text END AS text
+  FROM edits AS e LEFT JOIN judged AS f ON f.conv_id IS NOT DISTINCT FROM e.conv_id AND f.i = e.i AND e.op <> 'I' WHERE e.op <> 'D'
+), opened AS (SELECT conv_id, max(CASE WHEN j = 1 AND op = 'K' AND c = 's' THEN 1 ELSE 0 END) AS off FROM given_out GROUP BY conv_id
+), written AS (
+  SELECT g.conv_id, sha256(string_agg(CASE WHEN op = 'K' THEN role WHEN (j - off) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY p)) AS sha
+  FROM given_out AS g JOIN opened AS o ON o.conv_id IS NOT DISTINCT FROM g.conv_id GROUP BY g.conv_id
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (i > 1 AND before || c NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id
+)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(e.best.cost, 0) AS cost, coalesce(e.best.audit, '') AS audit, coalesce(w.sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS o LEFT JOIN counted AS c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+  LEFT JOIN ended AS e ON e.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN written AS w ON w.conv_id IS NOT DISTINCT FROM o.conv_id
+"""

@@ -113,4 +113,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": quality.oracle_sql(), "op9_line_dedup": lines.oracle_sql(least=1), "op13_hard_negatives": negatives.oracle_sql()}
+    return {
+        "op3_quality_rules": quality.oracle_sql(),
+        "op9_line_dedup": lines.oracle_sql(least=1),
+        "op10_near_vectors": vectors.oracle_sql(),
+        "op11_conversations": conversations.oracle_sql(),
+        "op13_hard_negatives": negatives.oracle_sql(),
+    }

@@ -182,3 +182,20 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, key: str = "vec_id
     alone = rows.where(~F.coalesce(fits & finite, F.lit(False))).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     out = linked.unionByName(alone)
     return out.select(F.col("id").alias(key), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def oracle_sql(threshold: float = 0.93) -> str:
+    """The query's rows in DuckDB: all pairs of a label, and all that can be reached from each vector."""
+    return f"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable AS a JOIN usable AS b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    AND list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v)) / sqrt(list_dot_product(b.v, b.v)) >= {threshold}
+), reach AS (
+  SELECT DISTINCT a AS v, a AS o FROM links UNION SELECT r.v, l.b FROM reach AS r JOIN links AS l ON l.a = r.o
+), least AS (SELECT v, min(o) AS component_id FROM reach GROUP BY v), counts AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(vec_id = coalesce(component_id, vec_id), true) AS kept
+FROM embeddings LEFT JOIN least ON v = vec_id LEFT JOIN counts ON a = vec_id
+"""

@@ -3,6 +3,7 @@ import heapq
 import random
 import zlib
 
+import duckdb
 import pytest
 
 from shelfcast.llm import conversations, queries
@@ -148,5 +149,9 @@ def test_query_equals_brute_force(spark, tmp_path):
     groups: dict = {}
     for row in source.unionByName(extra).collect():
         groups.setdefault(row["conv_id"], []).extend(damaged(tuple(row)))
-    found = {row[0]: tuple(row)[1:] for row in queries.op11_conversations(spark, str(tmp_path)).collect()}
+    result = queries.op11_conversations(spark, str(tmp_path))
+    found = {row[0]: tuple(row)[1:] for row in result.collect()}
     assert found == {key: expected(rows) for key, rows in groups.items()}
+    sql = duckdb.connect()
+    sql.sql(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    assert {row[0]: row[1:] for row in sql.sql(conversations.oracle_sql()).project(", ".join(result.columns)).fetchall()} == found
