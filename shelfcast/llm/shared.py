@@ -41,9 +41,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def materialise(frame: DataFrame) -> DataFrame:
-    """Write a frame to the shared folder as Parquet and read it back: cut lineage that survives lost executors."""
-    path = shared_folder(frame.sparkSession)
+    """Write a frame to the shared folder as Parquet and read it back: cut lineage that survives lost executors.
+
+    The files go when the application ends.
+    """
+    path, context = shared_folder(frame.sparkSession), frame.sparkSession.sparkContext
     frame.write.option("compression", "zstd").parquet(path)
+    own = context._jvm.org.apache.hadoop.fs.Path(path)
+    own.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(own)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
