@@ -12,6 +12,32 @@ from shelfcast.config import PushPreset
 
 ALL_SUBCATEGORIES = ("1001", "1002", "2001", "3001", "4001", "4002", "4003", "4004", "5001", "6001", "6002", "6003")
 
+# What the presets of the reports must hold, written here again so that a slip in the configuration shows.
+PRESETS = {
+    "category_a": PushPreset(
+        "Category A", ("1001", "1002"), method="trend", source="category_a", use_style_projection=True, use_client_forecast=True, client_forecast_weight=0.8,
+        client_forecast_weeks=4, push_strategy="style_rop", target_wos=6.0, style_target_wos=10.0, size_min_wos=2.0, hysteresis_weeks=0.25, min_push_units=1.0,
+        lead_weeks=1.0, review_weeks=1.0, z_service=1.0, ramp_weeks=0.75, use_rop_gate=True, front_capacity=4, backroom_units=6,
+    ),
+    "category_b": PushPreset(
+        "Category B", ("2001",), method="trend", use_style_projection=True, use_client_forecast=True, client_forecast_weight=1.0, client_forecast_weeks=4,
+        push_strategy="wos", target_wos=8.0, hysteresis_weeks=0.5, min_push_units=1.0,
+    ),
+    "category_c": PushPreset(
+        "Category C", ("3001",), method="trend", use_style_projection=True, use_client_forecast=False, client_forecast_weight=0.5, push_strategy="wos",
+        target_wos=10.0, hysteresis_weeks=0.5, min_push_units=1.0,
+    ),
+    "category_d": PushPreset("Category D", ("4001", "4002", "4003", "4004"), method="weather", use_style_projection=False, target_wos=6.0),
+    "category_e": PushPreset(
+        "Category E", ("5001",), method="trend", use_style_projection=True, push_strategy="wos", target_wos=6.0, hysteresis_weeks=0.5, min_push_units=1.0,
+        convert_to_case_pack=True,
+    ),
+    "category_f": PushPreset(
+        "Category F", ("6001", "6002", "6003"), method="trend", use_style_projection=True, push_strategy="wos", target_wos=4.0, hysteresis_weeks=0.5,
+        min_push_units=1.0, convert_to_case_pack=True,
+    ),
+}
+
 
 def shift(week: str, n: int) -> str:
     """SQL for a week ``n`` weeks away in a calendar of 52-week years."""

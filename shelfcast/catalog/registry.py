@@ -1026,18 +1026,19 @@ def _(ws):
 # --- full reports -----------------------------------------------------------
 
 
-def _register_report(name: str, preset: PushPreset):
-    if preset.method == "trend":
-        stages, columns, summary = o.trend_stages(preset), o.trend_columns(preset), o.summary_sql(False)
+def _register_report(name: str, preset: PushPreset, expected: PushPreset | None = None):
+    expected = expected or preset
+    if expected.method == "trend":
+        stages, columns, summary = o.trend_stages(expected), o.trend_columns(expected), o.summary_sql(False)
     else:
-        stages, columns, summary = o.weather_stages(preset), o.WEATHER_COLUMNS, o.summary_sql(True)
+        stages, columns, summary = o.weather_stages(expected), o.WEATHER_COLUMNS, o.summary_sql(True)
     kind = f"{preset.method}_push"
     query(f"{kind}_detail_{name}", compose(f"SELECT {columns} FROM detail", stages))(lambda ws: _whole(ws, preset).detail)
     query(f"{kind}_summary_{name}", compose(summary, stages))(lambda ws: _whole(ws, preset).summary)
 
 
 for _key, _preset in PUSH_PRESETS.items():
-    _register_report(_key, _preset)
+    _register_report(_key, _preset, o.PRESETS[_key])
 _register_report("item_projection", ALL_ITEM)
 _register_report("shelf_fill_region", REGION_SHELF)
 
@@ -1492,7 +1493,7 @@ def _(ws):
 
 def _all_categories_sql() -> str:
     parts = []
-    for key, preset in PUSH_PRESETS.items():
+    for key, preset in o.PRESETS.items():
         stages = o.trend_stages(preset) if preset.method == "trend" else o.weather_stages(preset)
         inner = compose("SELECT store_number, f5c_item_number, push_units, store_item_grade, push_reason FROM detail", stages)
         parts.append(f"SELECT '{key}' AS category, * FROM ({inner})")
