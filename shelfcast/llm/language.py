@@ -163,7 +163,9 @@ def learn(documents: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS
 def identify(documents: DataFrame, model: Languages, text: str = "text") -> DataFrame:
     """All rows and columns with ``lang_pred`` and ``score`` (0 to 1) of the whole text; columns of those names are replaced.
 
-    ``und`` with a score of 0 where the text is null or has no letter, or nothing was learned.
+    ``und`` with a score of 0 where the text is null or has no letter, or nothing was learned.  Of languages that score
+    alike the alphabetically first is given.  Each row is rated by itself: repeated rows get the same result each, an
+    empty table gives none.
     """
     kept = [name for name in documents.columns if name not in ("lang_pred", "score")]
     source = documents.select(*kept)

@@ -135,7 +135,8 @@ def risk_controlled(documents: DataFrame, labels: DataFrame, stratum: str = "lan
     """One row per document: doc_id, the stratum, the counts and measures, base_failed and kept.
 
     ``labels`` (doc_id, quality 0 or 1) hold out the documents that thresholds are proven on; the higher of repeated
-    labels counts, a null one none.  A null stratum is one of its own.  Empty tables give empty results.
+    labels counts, a null one none.  A null stratum is one of its own.  Rows that repeat a doc_id are judged by their own
+    texts, each labelled alike.  Measures equal to a cutoff stay.  Empty tables give empty results.
     """
     columns = ["doc_id", stratum, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", *GRIDS]
     measured = materialise(measure(documents).select(*dict.fromkeys(columns)))

@@ -103,6 +103,10 @@ def shard_by_bytes(documents: DataFrame, shards: int = 8, key: str = "doc_id", t
     A null text counts as an empty one.  Rows that agree in text and key cannot be told apart and keep together.
     An empty table gives an empty result; columns named size, shard or slot are replaced.
     """
+    own_names = {name: f"{name}__given" for name in documents.columns if name.lower() in ("_hash", "_own", "_starts", "_numbers", "_range", "_first")}
+    if own_names:  # columns of the names used below
+        dealt = shard_by_bytes(documents.withColumnsRenamed(own_names), shards, own_names.get(key, key), own_names.get(text, text), tolerance, rows_per_task)
+        return dealt.withColumnsRenamed({other: name for name, other in own_names.items()})
     spark = documents.sparkSession
     kept = [name for name in documents.columns if name not in ("size", "shard", "slot")]
     plain = F.coalesce(F.col(text), F.lit(""))

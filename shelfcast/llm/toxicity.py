@@ -242,7 +242,8 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, least:
 def score(documents: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
     """All rows and columns with a ``score`` from 0 to 1 of the whole text (null: empty); a column of that name is replaced.
 
-    An empty text gets the score of a text without hits.  Very long texts are read whole, one at a time.
+    An empty text gets the score of a text without hits.  Very long texts are read whole, one at a time.  Each row is
+    scored by itself: repeated rows get the same score each, ties are left as they are, an empty table gives none.
     """
     kept = [name for name in documents.columns if name != "score"]
     source = documents.select(*kept)

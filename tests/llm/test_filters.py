@@ -102,3 +102,14 @@ def test_long_labelled_texts_and_all_languages_are_learned(frame, monkeypatch):
     model = language.learn(frame(rows, "doc_id long, text string, lang string"))
     assert model.names == ["aa", "bb", "cc", "dd"]
     assert [model.names[k] for k in model.rate([dense(name, chance, 4000) for name in model.names])[0]] == model.names
+
+
+def test_repeated_rows_ties_and_empty_tables(frame, languages):
+    rows = [(1, "ka lo mi nu", "x"), (1, "ka lo mi nu", "x"), (2, "ka lo mi nu", "y"), (1, "другой вет", "x")]
+    found = language.identify(frame(rows, "doc_id long, text string, held_out string"), languages).collect()
+    assert len({(row["lang_pred"], row["score"]) for row in found if row["text"].startswith("ka")}) == 1 and len(found) == 4
+    lexicon = toxicity.Lexicon({" bad": 2.0})
+    scored = toxicity.score(frame([(1, "bad day", 1), (1, "bad day", 1), (2, "bad day", 2), (3, "good day", 3)], "doc_id long, text string, label int"), lexicon).collect()
+    assert len({row["score"] for row in scored if row["text"] == "bad day"}) == 1 and len(scored) == 4
+    for empty in (language.identify(frame([], "doc_id long, text string"), languages), toxicity.score(frame([], "doc_id long, text string"), lexicon)):
+        assert empty.collect() == []

@@ -53,3 +53,11 @@ def test_the_result_is_the_same_each_time(frame):
     rows = [(k, text) for k, text in enumerate(texts(500))]
     one, two = ({row["doc_id"]: (row["shard"], row["slot"]) for row in shard_by_bytes(frame(order, "doc_id long, text string"), 8).collect()} for order in (rows, rows[::-1]))
     assert one == two and zlib.crc32(b"") == 0
+
+
+def test_very_long_texts_and_clashing_columns(frame):
+    long = "long text " * 300_000
+    rows = [(k, text, "a", 1) for k, text in enumerate(texts(50))] + [(100, long, "b", 2), (101, long, "c", 3), (102, None, "d", 4)]
+    found = shard_by_bytes(frame(rows, "doc_id long, text string, _hash string, _range int"), 4).collect()
+    check(rows, found, 4)
+    assert sorted((row["doc_id"], row["_hash"], row["_range"]) for row in found) == sorted((row[0], row[2], row[3]) for row in rows)
