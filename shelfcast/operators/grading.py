@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.labels import CLUSTER_CUTS, CLUSTER_LABELS, GRADE_LABELS, share_label
 from shelfcast.functions.numeric import half_even
-from shelfcast.operators.grouping import as_share, exact_mean, ranked, running_total
+from shelfcast.operators.grouping import as_share, exact_mean, ranked, ranked_by_key
 from shelfcast.schemas import ITEM, STORE
 
 STORE_GROUP = ["region", "state", STORE]
@@ -20,7 +20,7 @@ def _percent(part: Column, total: Column) -> Column:
 def abc_running(df: DataFrame, groups: list[str] = [], slices: int | None = None) -> DataFrame:  # noqa: B006
     """Append what grades follow from: the exact baseline and its running and grand total, within ``groups``."""
     rows = df.withColumn("_baseline", as_share(F.col("baseline_weekly_sales")))
-    return running_total(rows, groups, "_baseline", [STORE, ITEM], slices)
+    return ranked_by_key(rows, groups, "_baseline", [STORE, ITEM], slices)
 
 
 def abc_labels(placed: DataFrame, cuts: tuple) -> DataFrame:

@@ -47,7 +47,9 @@ def share_of_group(df: DataFrame, keys: list[str], value: str, total: str, name:
     return with_group_totals(df, keys, **{total: value}).withColumn(name, share)
 
 
-def ranked(df: DataFrame, groups: list[str], value: str, keys: list[str], slices: int | None = None) -> DataFrame:
+def ranked(
+    df: DataFrame, groups: list[str], value: str, keys: list[str], slices: int | None = None, order: list[Column] | None = None
+) -> DataFrame:
     """Append ``running`` and ``grand_total`` of a decimal column, largest first, ties by ``keys``; for narrow rows.
 
     Each value of ``groups`` (a few, as categories) is ranked on its own, all in the same passes.  Two passes instead
@@ -57,7 +59,8 @@ def ranked(df: DataFrame, groups: list[str], value: str, keys: list[str], slices
     neighbouring ranges to a sensible size.
     """
     wide = "decimal(38,6)"
-    order = [*(F.asc(name) for name in groups), F.desc_nulls_last(value), *(F.asc(key) for key in keys)]
+    within = order or [F.desc_nulls_last(value), *(F.asc(key) for key in keys)]
+    order = [*(F.asc(name) for name in groups), *within]
     ranged = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
     sliced = materialise(ranged.withColumn("_slice", F.spark_partition_id()), groups)
     sums = sliced.groupBy(*groups, "_slice").agg(F.sum(value).alias("_sum"))
@@ -69,7 +72,7 @@ def ranked(df: DataFrame, groups: list[str], value: str, keys: list[str], slices
         F.coalesce(F.sum("_sum").over(before), F.lit(0)).cast(wide).alias("_offset"),
         F.coalesce(F.sum("_sum").over(everything), F.lit(0)).cast(wide).alias("grand_total"),
     )
-    here = Window.partitionBy("_slice", *groups).orderBy(*order[len(groups) :])
+    here = Window.partitionBy("_slice", *groups).orderBy(*within)
     running = F.coalesce(F.sum(value).over(here.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))
     return (
         sliced.join(F.broadcast(offsets), [*groups, "_slice"])
@@ -79,7 +82,12 @@ def ranked(df: DataFrame, groups: list[str], value: str, keys: list[str], slices
     )
 
 
-def running_total(df: DataFrame, groups: list[str], value: str, keys: list[str], slices: int | None = None) -> DataFrame:
+def running_total(df: DataFrame, value: str, order: list[Column], slices: int | None = None) -> DataFrame:
+    """Append ``running`` and ``grand_total`` of a decimal column in any global order, for narrow rows; see ``ranked``."""
+    return ranked(df, [], value, [], slices, order).drop("_next")
+
+
+def ranked_by_key(df: DataFrame, groups: list[str], value: str, keys: list[str], slices: int | None = None) -> DataFrame:
     """``ranked`` for wide rows: they are written once, (groups, value, keys) alone are ranked and joined back.
 
     Rows equal in value and keys have the running total of the last of them.

@@ -61,7 +61,7 @@ def finished(pushed: dict[str, Pushed]) -> dict[str, PushReport]:
     """Detail, regional summary and store clusters of each category.
 
     Runs jobs while planning, as many for all categories as for one: the pushed rows, the ranking of rows and that of
-    stores are each written once with the category as leading key (see ``grouping.running_total``).  Categories without
+    stores are each written once with the category as leading key (see ``grouping.ranked_by_key``).  Categories without
     rows yield empty frames.
     """
     if not pushed:
