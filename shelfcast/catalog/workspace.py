@@ -42,7 +42,7 @@ class Workspace:
     @cached_property
     def facts(self) -> DataFrame:
         path = self.new_folder("facts")
-        append_facts(self.demo.facts, path)
+        append_facts(self.demo.facts, path, dealt=True)
         return read_pos_all(self.spark, path)
 
     @cached_property

@@ -15,17 +15,24 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators.calendar import Period, resolve_period, week_to_ly
 from shelfcast.schemas import CATEGORY_A, CATEGORY_A_SUBCATEGORIES, GENERAL, ITEM, STORE, WEEK
+from shelfcast.sources.durable import materialise
 
 SUPPLIERS_PER_STORE = 4
 PARTS_PER_ITEM = 40
 SUBCATEGORIES = ("1001", "1002", "2001", "3001", "4001", "4002", "4003", "4004", "5001", "6001", "6002", "6003")
+MEASURES = ["qty", "cents", "oh", "wh", "tr", "oo"]
+#: Line items that a part of a week, and a task that makes facts of them, hold at most (about).
+PART_ROWS = 200_000
+TASK_ROWS = 400_000
 UNMAPPED_ITEMS = (9, 25, 37, 41)
 VENDORLESS_ITEMS = (37, 41)
 
 
 def _code(prefix: str, number: Column) -> Column:
     """Five digits at least; longer numbers keep all of theirs."""
-    return F.format_string(f"{prefix}%05d", number.cast("bigint"))
+    whole = number.cast("bigint")
+    padded = F.concat(F.lit(prefix), F.lpad(whole.cast("string"), 5, "0"))  # a formatter for each row costs more than its other columns
+    return F.when(whole.between(0, 99_999), padded).otherwise(F.format_string(f"{prefix}%05d", whole))
 
 
 def _item_columns(i: Column) -> dict[str, Column]:
@@ -69,18 +76,21 @@ class DemoTables:
         """Units and stock per (week, store, item)."""
         return (
             self.events.groupBy("wk", "st", "i")
-            .agg(*[F.sum(c).alias(c) for c in ("qty", "cents", "oh", "wh", "tr", "oo")])
+            .agg(*[F.sum(c).alias(c) for c in MEASURES])
             .withColumn("tc", (F.col("wk") + F.col("st") + F.col("i")) % 4)
         )
 
+    @cached_property
+    def weeks(self) -> DataFrame:
+        """Line items of each week, counted once: grows with the calendar only."""
+        return materialise(self.events.groupBy("wk").agg(F.count(F.lit(1)).alias("n")))
+
     @cached_property
     def week_map(self) -> DataFrame:
         """One-week shift in 2001; every fifth week is left unmapped."""
         shift = F.when((F.floor(F.col("wk") / 100) == 2001) & (F.col("wk") % 100 < 52), 99).otherwise(100)
         return (
-            self.events.select("wk")
-            .distinct()
-            .where((F.col("wk") % 100) % 5 != 0)
+            self.weeks.where((F.col("wk") % 100) % 5 != 0)
             .select(
                 F.col("wk").alias("ty_week"),
                 (F.col("wk") - shift).cast("int").alias("ly_week"),
@@ -88,14 +98,37 @@ class DemoTables:
             )
         )
 
+    @cached_property
+    def reported(self) -> DataFrame:
+        """Line items under every week that reports them: their own, and those that they are the last year (``past``) of.
+
+        Dealt out by week and, in weeks of many line items, by store and item: as facts are stored.
+        """
+        sizes = week_to_ly(self.weeks, self.week_map, "wk").join(F.broadcast(self.weeks.toDF("ly_week", "ly_n")), "ly_week", "left")
+        parts = F.ceil((F.col("n") + F.coalesce("ly_n", F.lit(0))) / PART_ROWS).alias("parts")
+        own = sizes.select(F.col("wk").alias("week"), F.col("wk").alias("origin"), F.lit(False).alias("past"), parts)
+        links = own.unionByName(sizes.where("ly_n > 0").select(F.col("wk").alias("week"), F.col("ly_week").alias("origin"), F.lit(True).alias("past"), parts))
+        rows = self.events.join(F.broadcast(links), F.col("wk").eqNullSafe(F.col("origin"))).where("not past or st is not null and i is not null")
+        rows = rows.select(F.col("week").alias("wk"), F.pmod(F.xxhash64("st", "i"), F.col("parts")).alias("part"), "past", "st", "i", *MEASURES)
+        total = self.weeks.agg(F.sum("n").alias("n")).first()["n"] or 0
+        return rows.repartition(max(self.spark.sparkContext.defaultParallelism, 2 * total // TASK_ROWS), "wk", "part")
+
     @cached_property
     def facts(self) -> DataFrame:
-        """The unified fact view, with last-year columns joined in."""
-        measures = ["qty", "cents", "oh", "wh", "tr", "oo", "tc"]
-        past = self.cells.select(
-            F.col("wk").alias("ly_week"), "st", "i", *[F.col(c).alias(f"l_{c}") for c in measures]
+        """The unified fact view with last-year columns, dealt out by week (see ``reported``).
+
+        This year's and last year's line items of a cell meet in one exchange and one aggregation.
+        """
+        both_years = self.reported.groupBy("wk", "part", "st", "i").agg(
+            F.count_if(~F.col("past")).alias("rows"),
+            F.count_if("past").alias("l_rows"),
+            *[F.sum(F.when(~F.col("past"), F.col(c))).alias(c) for c in MEASURES],
+            *[F.sum(F.when(F.col("past"), F.col(c))).alias(f"l_{c}") for c in MEASURES],
+        )
+        parity = lambda week: (F.col(week) + F.col("st") + F.col("i")) % 4
+        aligned = week_to_ly(both_years.where("rows > 0"), self.week_map, "wk").withColumns(
+            {"tc": parity("wk"), "l_tc": F.when(F.col("l_rows") > 0, parity("ly_week"))}
         )
-        aligned = week_to_ly(self.cells, self.week_map, "wk").join(past, ["ly_week", "st", "i"], "left")
         i = F.col("i")
 
         def dollars(cents: Column) -> Column:
@@ -198,7 +231,8 @@ class DemoTables:
     @cached_property
     def weather(self) -> DataFrame:
         """A regional outlook per week; the last region has none."""
-        located = self.cells.withColumn(STORE, F.col("st").cast("string")).join(
+        by_store = self.events.groupBy("wk", "st").agg(*[F.sum(c).alias(c) for c in MEASURES])
+        located = by_store.withColumn(STORE, F.col("st").cast("string")).join(
             self.stores.select(STORE, "region"), STORE
         )
         last_region = self.table("region").agg(F.max("r_name")).scalar()
@@ -244,4 +278,4 @@ class DemoTables:
 
     @cached_property
     def period(self) -> Period:
-        return resolve_period(self.events.withColumnRenamed("wk", WEEK), self.week_map)
+        return resolve_period(self.weeks.withColumnRenamed("wk", WEEK), self.week_map)

@@ -36,17 +36,23 @@ class UpsertResult:
     replayed: bool = False
 
 
-def _laid_out(df: DataFrame) -> DataFrame:
+def _laid_out(df: DataFrame, dealt: bool = False) -> DataFrame:
     """Rebalanced by partition (hot weeks are split, small ones merged) and sorted so
     that subcategory filters skip row groups."""
-    return df.hint("rebalance", *PARTITIONS).sortWithinPartitions(*SORT)
+    return (df if dealt else df.hint("rebalance", *PARTITIONS)).sortWithinPartitions(*SORT)
 
 
-def append_facts(df: DataFrame, path: str, overwrite: bool = False, keep_versions: int = KEPT_VERSIONS) -> None:
-    """Bulk append without looking for duplicates; ``overwrite`` leaves the earlier rows to earlier versions."""
+def append_facts(
+    df: DataFrame, path: str, overwrite: bool = False, keep_versions: int = KEPT_VERSIONS, dealt: bool = False
+) -> None:
+    """Bulk append without looking for duplicates; ``overwrite`` leaves the earlier rows to earlier versions.
+
+    ``dealt`` says that rows of a week come in few tasks already, as when they are read from a fact table: they are
+    sorted and written where they are, without an exchange.  It changes the number of files only.
+    """
     spark = df.sparkSession
     before = _opened(spark, path)
-    added = versions.add_folders(_laid_out(df), path, PARTITIONS)
+    added = versions.add_folders(_laid_out(df, dealt), path, PARTITIONS)
     versions.commit(spark, path, before.next(added if overwrite else before.folders + added))
     versions.tidy(spark, path, keep_versions)
 
