@@ -1229,7 +1229,7 @@ def _(ws):
     table = ws.new_folder("table")
     old, fresh = weekly_change(ws)
     wrong = fresh.withColumn(UNITS, F.col(UNITS) + 100)
-    fact_store.append_facts(pos_files.conform(old), table)
+    fact_store.append_facts(pos_files.conform(old), table, dealt=True)
     files = [export_csv(wrong, ws.new_folder("drop")), export_csv(fresh, ws.new_folder("drop")), f"{table}-absent.csv"]
     pos_files.weekly_update(ws.spark, files, table)
     return fact_store.read_pos_all(ws.spark, table).select(LOADED)
@@ -1239,7 +1239,7 @@ def _(ws):
 def _(ws):
     table = ws.new_folder("table")
     old, fresh = weekly_change(ws)
-    fact_store.append_facts(pos_files.conform(old), table)
+    fact_store.append_facts(pos_files.conform(old), table, dealt=True)
     drop = export_csv(fresh, ws.new_folder("drop"))
     columns = [c for c in fresh.columns if c != SOURCE]
     stream_weekly_updates(ws.spark, drop, table, ws.new_folder("stream"), columns).awaitTermination()
@@ -1256,7 +1256,7 @@ def _(ws):
     """The version before an upsert, opened before and read after it, beside the newest."""
     table = ws.new_folder("table")
     old, fresh = weekly_change(ws)
-    fact_store.append_facts(pos_files.conform(old), table)
+    fact_store.append_facts(pos_files.conform(old), table, dealt=True)
     before = fact_store.read_facts(ws.spark, table)
     fact_store.merge_facts(ws.spark, table, pos_files.conform(fresh))
     units = lambda frame, name: frame.groupBy(WEEK).agg(F.sum(UNITS).alias(name))
@@ -1268,7 +1268,7 @@ def _(ws):
     """A batch, a correction of it, and the batch again: the correction stays."""
     table = ws.new_folder("table")
     old, fresh = weekly_change(ws)
-    fact_store.append_facts(pos_files.conform(old), table)
+    fact_store.append_facts(pos_files.conform(old), table, dealt=True)
     fact_store.merge_facts(ws.spark, table, pos_files.conform(fresh), batch=("drops", 0))
     fact_store.merge_facts(ws.spark, table, pos_files.conform(fresh.withColumn(UNITS, F.col(UNITS) + 1)))
     fact_store.merge_facts(ws.spark, table, pos_files.conform(fresh), batch=("drops", 0))
