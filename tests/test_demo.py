@@ -7,8 +7,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from shelfcast.catalog.registry import export_damaged_csv
 from shelfcast.schemas import ITEM, STORE, UNITS, WEEK
-from shelfcast.sources import demo
+from shelfcast.sources import demo, pos_files
 from shelfcast.sources import fact_store as store
 
 LINES = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double, l_shipdate timestamp"
@@ -75,3 +76,19 @@ def test_rows_that_are_dealt_out_are_appended_without_an_exchange(tables, spark,
     one, other = (store.read_facts(spark, f"{tmp_path}/{name}") for name in ("dealt", "plain"))
     assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty() and not one.isEmpty()
     assert "Exchange" not in store._laid_out(one, dealt=True)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_year_of_many_lines_is_exported_in_several_files(tables, spark, tmp_path):
+    facts = tables.facts.where(F.col(WEEK).isNotNull() & F.col(STORE).isNotNull() & F.col(ITEM).isNotNull())
+    store.append_facts(facts, f"{tmp_path}/facts")
+
+    class Shop:
+        pass
+
+    shop = Shop()
+    shop.spark, shop.facts = spark, store.read_pos_all(spark, f"{tmp_path}/facts")
+    paths = export_damaged_csv(shop, f"{tmp_path}/drop", file_lines=10)
+    n = shop.facts.count()
+    assert len(paths) >= n // 10
+    result = pos_files.weekly_update(spark, paths, f"{tmp_path}/table")
+    assert store.read_facts(spark, f"{tmp_path}/table").count() + sum(result.rejected.values()) == n and result.rejected
