@@ -1284,27 +1284,21 @@ def _(ws):
 DAMAGED = "(CAST(store_number AS INTEGER) + f5c_calendar_week) % 7 = 0"
 
 
-#: Lines that one damaged file holds at most (about).
-FILE_LINES = 200_000
+def export_damaged_csv(ws, folder: str) -> list[str]:
+    """A file folder for each year, in which the lines of some stores have a field too many.
 
-
-def export_damaged_csv(ws, folder: str, file_lines: int = FILE_LINES) -> list[str]:
-    """File folders for each year, more in years of more lines, in which the lines of some stores have a field too many."""
+    Each year's weeks are written where they are read, line by line: no task holds a year, or any rows at all.
+    """
     columns = [c for c in ws.facts.columns if c != SOURCE]
     cells = [F.concat(F.lit('"'), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit('"')) for c in columns]
     line = F.concat_ws(",", *cells, F.when(F.expr(DAMAGED), F.lit('"more, and more"')))
-    year = F.floor(F.col(WEEK) / 100).alias("year")
-    parts = ws.facts.groupBy(year).agg(F.ceil(F.count(F.lit(1)) / file_lines).alias("parts")).collect()  # a row a year, from footers
-    if not parts:
-        return []
-    sizes = F.broadcast(ws.spark.createDataFrame(parts, "_year bigint, parts bigint"))
-    rows = ws.facts.select(year, F.xxhash64(*FACT_KEY).alias("key"), line.alias("value")).join(sizes, F.col("year").eqNullSafe(F.col("_year")))
-    rows = rows.select("year", F.pmod("key", "parts").alias("part"), F.lit(1).alias("place"), "value")
-    heads = sizes.select(F.col("_year").alias("year"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("place"), F.lit(",".join(columns)).alias("value"))
-    tasks = max(int(ws.spark.conf.get("spark.sql.shuffle.partitions")), 2 * sum(row["parts"] for row in parts))
-    both = rows.unionByName(heads).repartition(tasks, "year", "part").sortWithinPartitions("year", "part", "place")
-    both.select("year", "part", "value").write.partitionBy("year", "part").text(folder)
-    return [f"{folder}/year={row['year']}/part={part}" for row in sorted(parts, key=lambda row: row["year"] or 0) for part in range(row["parts"])]
+    years = [row["year"] for row in ws.facts.select(F.floor(F.col(WEEK) / 100).alias("year")).distinct().orderBy("year").toLocalIterator()]
+    as_it_is = {"header": True, "sep": "\u0001", "quote": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    for year in years:
+        if year is not None:
+            rows = ws.facts.where(F.col(WEEK).between(year * 100, year * 100 + 99))
+            rows.select(line.alias(",".join(columns))).write.options(**as_it_is).csv(f"{folder}/year={year}")
+    return [f"{folder}/year={year}" for year in years]
 
 
 @query(

@@ -3,12 +3,13 @@
 import datetime
 import re
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from shelfcast.catalog.registry import export_damaged_csv
-from shelfcast.schemas import ITEM, STORE, UNITS, WEEK
+from shelfcast.catalog.registry import DAMAGED, export_damaged_csv
+from shelfcast.schemas import FACT_KEY, ITEM, STORE, UNITS, WEEK
 from shelfcast.sources import demo, pos_files
 from shelfcast.sources import fact_store as store
 
@@ -78,17 +79,22 @@ def test_rows_that_are_dealt_out_are_appended_without_an_exchange(tables, spark,
     assert "Exchange" not in store._laid_out(one, dealt=True)._jdf.queryExecution().executedPlan().toString()
 
 
-def test_a_year_of_many_lines_is_exported_in_several_files(tables, spark, tmp_path):
+def test_a_year_of_many_lines_is_exported_by_several_tasks(tables, spark, tmp_path):
     facts = tables.facts.where(F.col(WEEK).isNotNull() & F.col(STORE).isNotNull() & F.col(ITEM).isNotNull())
-    store.append_facts(facts, f"{tmp_path}/facts")
+    store.append_facts(facts, f"{tmp_path}/facts", dealt=True)
 
     class Shop:
-        pass
-
-    shop = Shop()
-    shop.spark, shop.facts = spark, store.read_pos_all(spark, f"{tmp_path}/facts")
-    paths = export_damaged_csv(shop, f"{tmp_path}/drop", file_lines=10)
-    n = shop.facts.count()
-    assert len(paths) >= n // 10
+        facts = store.read_pos_all(spark, f"{tmp_path}/facts")
+
+    Shop.spark = spark
+    paths = export_damaged_csv(Shop, f"{tmp_path}/drop")
+    files = [file for path in paths for file in Path(path).glob("part-*")]
+    assert len(paths) == 3 and len(files) > 3
+    for file in files:
+        head, *rest = file.read_text().splitlines()
+        assert head.startswith(f"{WEEK},") and rest and all(row.startswith('"') and row.endswith('"') for row in rest)
     result = pos_files.weekly_update(spark, paths, f"{tmp_path}/table")
-    assert store.read_facts(spark, f"{tmp_path}/table").count() + sum(result.rejected.values()) == n and result.rejected
+    kept = store.read_facts(spark, f"{tmp_path}/table")
+    sound = Shop.facts.where(f"not {DAMAGED}").select(*FACT_KEY, UNITS, "pos_sales_this_year")
+    assert kept.select(*sound.columns).exceptAll(sound).isEmpty() and kept.count() == sound.count()
+    assert sum(result.rejected.values()) == Shop.facts.where(DAMAGED).count() > 0
