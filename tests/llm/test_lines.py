@@ -95,3 +95,28 @@ def test_query_and_pipeline_remove_lines_of_few_words(spark, frame, tmp_path):
     assert {row["doc_id"]: row["text"] for row in queries.op9_line_dedup(spark, str(tmp_path)).collect()} == expected
     docs = corpus_pipeline.without_repeated_lines(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
     assert {row["doc_id"]: (row["text"], row["n_chars"]) for row in docs.collect()} == {key: (text, len(text)) for key, text in expected.items()}
+
+
+@pytest.mark.parametrize("threshold", [0.45, 0.6, 0.7, 0.9])
+def test_other_thresholds_equal_all_pairs(frame, threshold):
+    rows = corpus(5, 30) + [(number + 100, text) for number, text in short_lines(2, 20)]
+    found = lines.drop_repeated_lines(frame(rows, "doc_id long, text string"), threshold, least=1).select("doc_id", "n_lines", "n_removed", "text").collect()
+    assert sorted(map(tuple, found)) == sorted(twin(rows, lines.oracle_sql(threshold, least=1)).fetchall())
+
+
+def test_word_classes_add_little_to_a_plan(frame):
+    assert len(lines._rarity(frame(corpus(1), "doc_id long, text string"))) < 1 << 15
+
+
+def test_lines_that_share_single_words_travel_no_further(frame):
+    rows = [(k, " ".join([f"shared{k % 5}", *(f"own{k}x{j}" for j in range(9))])) for k in range(100)]
+    docs = frame([*rows, (100, rows[0][1] + " more")], "doc_id long, text string")
+    signed = lines._signed(docs, lines._rarity(docs), 0.8).selectExpr("doc_id", "line", "n", "posexplode(grams) AS (p, gram)")
+    assert {row["doc_id"] for row in lines._shared(signed, 0.8).collect()} == {0, 100}
+
+
+def test_a_repeated_doc_id_with_other_text_keeps_its_matches(frame):
+    base = [f"word{k}" for k in range(20)]
+    rows = [(1, " ".join(base)), (2, " ".join([*base[:19], "new"])), *[(2, " ".join(f"other{j}x{k}" for k in range(20))) for j in range(5)]]
+    found = lines.drop_repeated_lines(frame(rows, "doc_id long, text string")).select("doc_id", "n_removed").collect()
+    assert sorted(map(tuple, found)) == [(1, 0), *[(2, 1)] * 6]
