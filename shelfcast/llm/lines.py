@@ -165,14 +165,12 @@ def repeated_lines(documents: DataFrame, threshold: float = 0.8, least: int = 5)
     doubtful = _likely(able, again, "doc_id", "line").join(again, ["doc_id", "line"], "left_anti")
     leaders = single.unionByName(doubtful)
 
-    # lines that share a gram with an earlier line that they may match, and those lines
+    # lines that share a gram with a line that they may match; of those the ones whose sketches are alike too
     possible, whole = _possible(threshold), ["doc_id", "line", "n"]
     near = materialise(_shared(leaders.select(*whole, F.posexplode("grams").alias("p", "gram")), threshold))
-    later = materialise(_meeting(near, near, possible, later=True))
-    met = materialise(_meeting(near, later, possible, later=False))
-
-    # of those the lines whose sketches are alike too
-    later, met = _sketched(later, met, able.select(*whole, "s"), f"{possible} and {_alike(threshold, 's')}")
+    other = f"x.gram = y.gram and (x.doc_id <> y.doc_id or x.line <> y.line) and {possible}"
+    near = materialise(near.alias("x").join(near.alias("y"), F.expr(other), "left_semi"))
+    later, met = _sketched(near, near, able.select(*whole, "s"), f"{possible} and {_alike(threshold, 's')}")
 
     # their words, from the texts
     wanted = materialise(later.select("doc_id", "line").union(met.select("doc_id", "line")).distinct())
@@ -191,8 +189,9 @@ def repeated_lines(documents: DataFrame, threshold: float = 0.8, least: int = 5)
     probe = later.groupBy(*whole).agg(F.min_by("gram", "p").alias("gram"), F.min("p").alias("p"))
     first = _meeting(probe.join(words, whole), _meeting(met, probe, possible, later=False).join(words, whole), proven, later=True)
     first = materialise(first.select("doc_id", "line").distinct())
-    rest = later.join(first, ["doc_id", "line"], "left_anti")
-    second = _meeting(rest.join(words, whole), _meeting(met, rest, possible, later=False).join(words, whole), proven, later=True)
+    rest = materialise(later.join(first, ["doc_id", "line"], "left_anti"))
+    met = materialise(_meeting(met, rest, possible, later=False))
+    second = _meeting(rest.join(words, whole), met.join(words, whole), proven, later=True)
     second = materialise(second.select("doc_id", "line").distinct())
     return again.unionByName(first).unionByName(second).distinct()
 
