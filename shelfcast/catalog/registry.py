@@ -1284,10 +1284,15 @@ def _(ws):
 DAMAGED = "(CAST(store_number AS INTEGER) + f5c_calendar_week) % 7 = 0"
 
 
-def export_damaged_csv(ws, folder: str) -> list[str]:
+#: Lines that a compressed file holds at most, as it is read by one task.
+FILE_LINES = 200_000
+
+
+def export_damaged_csv(ws, folder: str, **options) -> list[str]:
     """A file folder for each year, in which the lines of some stores have a field too many.
 
     Each year's weeks are written where they are read, line by line: no task holds a year, or any rows at all.
+    ``options`` of the writer, as ``compression``, go beside those for the lines.
     """
     columns = [c for c in ws.facts.columns if c != SOURCE]
     cells = [F.concat(F.lit('"'), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit('"')) for c in columns]
@@ -1297,7 +1302,7 @@ def export_damaged_csv(ws, folder: str) -> list[str]:
     for year in years:
         if year is not None:
             rows = ws.facts.where(F.col(WEEK).between(year * 100, year * 100 + 99))
-            rows.select(line.alias(",".join(columns))).write.options(**as_it_is).csv(f"{folder}/year={year}")
+            rows.select(line.alias(",".join(columns))).write.options(**as_it_is, **options).csv(f"{folder}/year={year}")
     return [f"{folder}/year={year}" for year in years]
 
 
@@ -1308,7 +1313,8 @@ def export_damaged_csv(ws, folder: str) -> list[str]:
 )
 def _(ws):
     table = ws.new_folder("table")
-    pos_files.weekly_update(ws.spark, export_damaged_csv(ws, ws.new_folder("drop")), table)
+    drops = export_damaged_csv(ws, ws.new_folder("drop"), compression="gzip", maxRecordsPerFile=FILE_LINES)
+    pos_files.weekly_update(ws.spark, drops, table)
     bad = pos_files.read_rejected(ws.spark, table).groupBy(F.col(WEEK).cast("int").alias(WEEK)).agg(F.count(F.lit(1)).alias("rejected_rows"))
     good = fact_store.read_facts(ws.spark, table).groupBy(WEEK).agg(F.count(F.lit(1)).alias("loaded_rows"), F.sum(UNITS).alias("units"))
     counts = [F.coalesce(name, F.lit(0)).alias(name) for name in ("loaded_rows", "rejected_rows")]

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,21 @@ def ensure_checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries that end within it leave no shuffle files, which else lie there until the driver happens to collect garbage.
+
+    A plan that is run again shuffles again.
+    """
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+
+
 def materialise(df: DataFrame, partitions: list[str] = []) -> DataFrame:  # noqa: B006
     """Write ``df`` below the checkpoint folder as Parquet and read it from there (one job).
 

@@ -1,7 +1,7 @@
 """The fact table: versioned Parquet partitioned by week and source, with keyed upserts.
 
-An upsert rewrites only the touched weeks of each source, beside the table's, and takes effect
-with the version that lists them (see ``versions``): readers keep what they have
+An upsert writes its own rows once and, of the touched weeks of each source, the rows that stay, beside
+the table's; it takes effect with the version that lists them (see ``versions``): readers keep what they have
 opened, and a run that breaks off changes nothing.  A second writer at the same
 time is refused when it commits.  Repeating an upsert merges its rows again, into
 whatever the table then holds, unless it names the batch of a stream it belongs to.
@@ -13,10 +13,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfcast.schemas import FACT_KEY, ITEM, POS_ALL_COLUMNS, POS_FACT, SOURCE, STORE, SUBCATEGORY, WEEK
 from shelfcast.sources import versions
-from shelfcast.sources.durable import materialise
 
 PARTITIONS = [WEEK, SOURCE]
 SORT = [WEEK, SOURCE, SUBCATEGORY, STORE, ITEM]
@@ -101,9 +101,17 @@ def keep_latest_file(delta: DataFrame, keys: list[str] = MERGE_KEY) -> DataFrame
     return delta.join(newest, [*keys, FILE_ORDER], "inner").drop(FILE_ORDER)
 
 
-def _touched(delta: DataFrame) -> set[str]:
-    """The partitions of a delta, as versions label them: bounded by the calendar, not by the data."""
-    return {"/".join(str(value) for value in row) for row in delta.select(PARTITIONS).distinct().toLocalIterator()}
+def _settled(spark: SparkSession, path: str, folders, order: T.StructField):
+    """Folders in which each key has the rows of its last file; only weeks that several files have are written again."""
+    read = lambda some: versions.read_folders(spark, path, some, T.StructType([*POS_FACT.fields, order]))
+    ends = read(folders).groupBy(PARTITIONS).agg(F.min(FILE_ORDER).alias("first"), F.max(FILE_ORDER).alias("last"))
+    shared = {"/".join(str(row[name]) for name in PARTITIONS) for row in ends.where("first < last").toLocalIterator()}
+    mixed = [entry for entry in folders if entry[0] in shared]
+    if not mixed:
+        return folders
+    latest = versions.add_folders(_laid_out(keep_latest_file(read(mixed))), path, PARTITIONS)
+    versions.remove_folders(spark, path, [folder for _, folder in mixed])
+    return tuple(entry for entry in folders if entry[0] not in shared) + latest
 
 
 def stored_weeks(spark: SparkSession, path: str, version: int | None = None) -> list[tuple[int, str]]:
@@ -117,6 +125,7 @@ def merge_facts(
 ) -> UpsertResult:
     """Upsert ``delta`` into the stored table; rows deleted and inserted.
 
+    The delta is computed once and written where it stays.  With a column FILE_ORDER the rows of a key's last file count.
     ``batch`` names a stream and a number that grows within it.  The version that
     holds the rows holds that number too, so a batch that comes again is skipped
     and cannot undo what others have written since.
@@ -124,20 +133,18 @@ def merge_facts(
     before = _opened(spark, path)
     if before.has(batch):
         return UpsertResult(0, 0, replayed=True)
-    fresh = materialise(delta)
-    labels = _touched(fresh)
+    added = versions.add_folders(_laid_out(delta), path, PARTITIONS)
+    if FILE_ORDER in delta.columns:
+        added = _settled(spark, path, added, delta.schema[FILE_ORDER])
+    labels = {label for label, _ in added}
     if not labels:
         if batch:
             versions.commit(spark, path, before.next(before.folders, batch))
         return UpsertResult(0, 0)
     touched = [entry for entry in before.folders if entry[0] in labels]
-    inserted, replaced, merged = fresh.count(), 0, fresh
-    if touched:
-        base = versions.read_folders(spark, path, touched, POS_FACT).select(fresh.columns)
-        replaced = base.count()  # from the files' footers
-        merged = upsert_facts(base, fresh)
-    added = versions.add_folders(_laid_out(merged), path, PARTITIONS)
-    deleted = replaced + inserted - versions.read_folders(spark, path, added, POS_FACT).count()
-    versions.commit(spark, path, before.next(before.without(labels) + added, batch))
+    read = lambda folders: versions.read_folders(spark, path, folders, POS_FACT)
+    kept = versions.add_folders(_laid_out(anti_join_keys(read(touched), read(added), MERGE_KEY)), path, PARTITIONS) if touched else ()
+    inserted, deleted = read(added).count(), read(touched).count() - read(kept).count()  # from the files' footers
+    versions.commit(spark, path, before.next(before.without(labels) + kept + added, batch))
     versions.tidy(spark, path, keep_versions)
     return UpsertResult(deleted, inserted)

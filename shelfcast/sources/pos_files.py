@@ -26,7 +26,7 @@ from shelfcast.schemas import (
     SUBCATEGORY,
     WEEK,
 )
-from shelfcast.sources.fact_store import FILE_ORDER, UpsertResult, append_facts, keep_latest_file, merge_facts
+from shelfcast.sources.fact_store import FILE_ORDER, UpsertResult, append_facts, merge_facts
 from shelfcast.sources import versions
 from shelfcast.sources.versions import file_system
 
@@ -212,14 +212,16 @@ def tag_source_file(df: DataFrame, update: bool = False) -> DataFrame:
 
 
 def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """The first line of a file, read without a Spark job."""
+    """The first line of a file, compressed or not, read without a Spark job."""
     files, own = file_system(spark, path)
     jvm = spark.sparkContext._jvm
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(files.open(own), "UTF-8"))
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration()).getCodec(own)
+    stream = files.open(own)
     try:
-        line = reader.readLine()
+        stream = codec.createInputStream(stream) if codec else stream
+        line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
     finally:
-        reader.close()
+        stream.close()
     return tuple(c.strip() for c in next(csv.reader([line.lstrip("\ufeff")]), ())) if line else ()
 
 
@@ -329,9 +331,9 @@ def weekly_update(spark: SparkSession, files, path: str) -> LoadResult:
     parts = _Layouts(spark, layouts)
     frames = []
     for rows in parts.rows:
-        named = rows.withColumn("_file", _plain(F.col("_metadata.file_path"))).join(order, "_file")
+        named = rows.withColumn("_file", _plain(F.col("_metadata.file_path"))).join(F.broadcast(order), "_file")  # a row a file
         frames.append(conform(route_by_subcategory(named), keep=(FILE_ORDER,)))
     rows = _stacked(frames)
-    result.upserted = merge_facts(spark, path, keep_latest_file(rows) if len(result.loaded) > 1 else rows.drop(FILE_ORDER))
+    result.upserted = merge_facts(spark, path, rows if len(given) > 1 else rows.drop(FILE_ORDER))
     result.rejected = parts.keep_rejected(path)
     return result

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfcast.sources.durable import shuffles_dropped
+
 MANIFESTS = "_versions"
 #: Partition column that keeps the data of different writes apart.
 LOAD = "load"
@@ -116,10 +118,11 @@ def commit(spark: SparkSession, path: str, version: Version) -> None:
 def add_folders(df: DataFrame, path: str, partitions: list[str] = []) -> tuple[tuple[str, str], ...]:  # noqa: B006
     """Write rows beside those of all versions; the new folders, labelled by their partition values.
 
-    They are part of no version until one that lists them is committed.
+    They are part of no version until one that lists them is committed.  What the rows were shuffled with goes at once.
     """
     spark, load = df.sparkSession, f"w{uuid.uuid4().hex}"
-    df.withColumn(LOAD, F.lit(load)).write.mode("append").partitionBy(*partitions, LOAD).parquet(path)
+    with shuffles_dropped(spark):
+        df.withColumn(LOAD, F.lit(load)).write.mode("append").partitionBy(*partitions, LOAD).parquet(path)
     files, pattern = file_system(spark, "/".join([path.rstrip("/"), *(f"{name}=*" for name in partitions), f"{LOAD}={load}"]))
     levels = len(partitions) + 1
     found = ["/".join(status.getPath().toString().rsplit("/", levels)[1:]) for status in files.globStatus(pattern) or ()]
@@ -139,6 +142,13 @@ def read(spark: SparkSession, path: str, schema: T.StructType, number: int | Non
     return read_folders(spark, path, open_version(spark, path, number).folders, schema)
 
 
+def remove_folders(spark: SparkSession, path: str, folders) -> None:
+    """Delete data folders, which no version may list any more."""
+    files = file_system(spark, path)[0]
+    for folder in folders:
+        files.delete(file_system(spark, f"{path.rstrip('/')}/{folder}")[1], True)
+
+
 def tidy(spark: SparkSession, path: str, keep: int) -> int:
     """Delete all versions but the last ``keep``, and the data folders that only they list; the number of folders."""
     known = numbers(spark, path)
@@ -147,9 +157,8 @@ def tidy(spark: SparkSession, path: str, keep: int) -> int:
         return 0
     needed = {folder for number in known[len(dropped) :] for _, folder in open_version(spark, path, number).folders}
     gone = {folder for number in dropped for _, folder in open_version(spark, path, number).folders} - needed
+    remove_folders(spark, path, gone)
     files = file_system(spark, path)[0]
-    for folder in gone:
-        files.delete(file_system(spark, f"{path.rstrip('/')}/{folder}")[1], True)
     for number in dropped:
         files.delete(file_system(spark, _manifest(path, number))[1], False)
     return len(gone)

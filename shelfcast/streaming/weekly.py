@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
-from shelfcast.sources.fact_store import FILE_ORDER, keep_latest_file, merge_facts
+from shelfcast.sources.fact_store import FILE_ORDER, merge_facts
 from shelfcast.sources.pos_files import (
     CSV_OPTIONS,
     RAW_LINE,
@@ -57,7 +57,7 @@ def stream_weekly_updates(
     def apply(batch: DataFrame, batch_id: int) -> None:
         delta, seen = observed(batch, len(columns))
         good, _ = split_rejected(delta, len(columns))
-        delta = keep_latest_file(conform(route_by_subcategory(good), keep=(FILE_ORDER,)))
+        delta = conform(route_by_subcategory(good), keep=(FILE_ORDER,))
         done = merge_facts(spark, path, delta, batch=(_stream_id(spark, checkpoint), batch_id))
         if not done.replayed and any_surplus(seen):
             keep_rejected(split_rejected(batch, len(columns))[1], path)

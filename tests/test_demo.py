@@ -1,6 +1,7 @@
 """The derived fact table: last year's columns, null keys, and how often line items move."""
 
 import datetime
+import gzip
 import re
 from collections import Counter
 from pathlib import Path
@@ -98,3 +99,24 @@ def test_a_year_of_many_lines_is_exported_by_several_tasks(tables, spark, tmp_pa
     sound = Shop.facts.where(f"not {DAMAGED}").select(*FACT_KEY, UNITS, "pos_sales_this_year")
     assert kept.select(*sound.columns).exceptAll(sound).isEmpty() and kept.count() == sound.count()
     assert sum(result.rejected.values()) == Shop.facts.where(DAMAGED).count() > 0
+
+
+def test_compressed_exports_are_loaded_like_plain_ones(tables, spark, tmp_path):
+    facts = tables.facts.where(F.col(WEEK).isNotNull() & F.col(STORE).isNotNull() & F.col(ITEM).isNotNull())
+    store.append_facts(facts, f"{tmp_path}/facts", dealt=True)
+
+    class Shop:
+        facts = store.read_pos_all(spark, f"{tmp_path}/facts")
+
+    Shop.spark = spark
+    loaded = {}
+    for name, options in (("plain", {}), ("packed", {"compression": "gzip", "maxRecordsPerFile": 5})):
+        paths = export_damaged_csv(Shop, f"{tmp_path}/{name}", **options)
+        result = pos_files.weekly_update(spark, paths, f"{tmp_path}/table-{name}")
+        bad = pos_files.read_rejected(spark, f"{tmp_path}/table-{name}").select("line", "field_count")
+        loaded[name] = store.read_facts(spark, f"{tmp_path}/table-{name}"), bad, sum(result.rejected.values()), result.upserted
+    archives = [file for path in paths for file in Path(path).glob("part-*")]
+    assert all(file.suffix == ".gz" and len(gzip.open(file, "rt").readlines()) <= 6 for file in archives)
+    for one, other in zip(loaded["plain"][:2], loaded["packed"][:2], strict=True):
+        assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty() and not one.isEmpty()
+    assert loaded["plain"][2:] == loaded["packed"][2:] and loaded["plain"][2] > 0

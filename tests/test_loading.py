@@ -1,5 +1,7 @@
 import datetime as dt
+import gzip
 import os
+import time
 from pathlib import Path
 
 import pytest
@@ -402,3 +404,49 @@ def test_weather_of_one_day_is_imported_once(spark, folder):
         dims.load_weather_forecast(spark, write(folder, "w.csv", [f"SE,{value},0,0,0,0"], header), f"{folder}/out", day, history=True)
     kept = dims.read_dimension(spark, dims.WEATHER, f"{folder}/out").orderBy("week_imported").collect()
     assert [(str(r["week_imported"]), r["tw_pct"]) for r in kept] == [("2025-01-06", 1.0), ("2025-01-13", 3.0)]
+
+
+def test_compressed_files_are_loaded(spark, folder):
+    table, path = f"{folder}/table", f"{folder}/a.csv.gz"
+    with gzip.open(path, "wt") as f:
+        f.write("\n".join(["\ufeff" + HEADER, "202401,1001,1,x,5,V,red,?", "202401,1001,2,x,6,V,red,?,more", ""]))
+    Path(folder, "torn.csv.gz").write_bytes(b"no archive")
+    result = files.weekly_update(spark, [path, f"{folder}/torn.csv.gz"], table)
+    assert result.loaded == [path] and list(result.skipped) == [f"{folder}/torn.csv.gz"] and list(result.rejected.values()) == [1]
+    assert [r[3] for r in rows(spark, table)] == [5]
+
+
+def test_weeks_that_one_file_has_are_written_once(spark, folder, monkeypatch):
+    table, plans = f"{folder}/table", []
+    add = versions.add_folders
+
+    def watched(df, path, partitions=()):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return add(df, path, list(partitions))
+
+    monkeypatch.setattr(versions, "add_folders", watched)
+    one = write(folder, "one.csv", ["202401,1001,1,x,5,V,,", "202402,1001,1,x,6,V,,"])
+    two = write(folder, "two.csv", ["202403,1001,1,x,7,V,,", "202403,1001,1,x,8,V,,"])
+    assert files.weekly_update(spark, [one, two], table).upserted == store.UpsertResult(0, 4)
+    assert len(plans) == 1 and plans[0].count("FileScan csv") == 1 and "SortMergeJoin" not in plans[0]
+    three = write(folder, "three.csv", ["202402,1001,1,x,60,V,,", "202402,2001,1,x,61,,,", "202402,1001,2,x,62,V,,"])
+    assert files.weekly_update(spark, [three, one, two], table).upserted == store.UpsertResult(4, 6)
+    assert [r[3] for r in rows(spark, table)] == [5, 6, 61, 62, 7, 8]
+    there = {"/".join(part.parts[-3:]) for part in Path(table).glob("*/*/load=*")}
+    assert there == {entry for number in (1, 2) for _, entry in versions.open_version(spark, table, number).folders}
+
+
+def test_an_upsert_leaves_no_shuffle_files(spark, folder):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        found = blocks.getAllFiles()
+        return {name for name in (found.apply(k).getName() for k in range(found.size())) if name.startswith("shuffle_")}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    delta, known, before = loader(spark, folder)("a.csv", ["202401,1001,1,x,5,V,,", "202402,1001,1,x,6,V,,"]), shuffled(), spark.conf.get(setting, None)
+    store.append_facts(delta, f"{folder}/table")
+    until = time.time() + 10
+    while (left := shuffled() - known) and time.time() < until:  # Spark deletes them beside the next query
+        time.sleep(0.1)
+    assert not left and spark.conf.get(setting, None) == before
